@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 )
 
 from ..options import TIMESTAMP_UNITS
+from ..session import small_table
 
 # Microseconds and seconds per unit.
 UNIT_MICROS = {"s": 1_000_000, "ms": 1_000}
@@ -96,7 +97,7 @@ def _findings(kind: DataType) -> list[str]:
 def audit(spark: SparkSession, schema: StructType) -> DataFrame:
     """``(column, type, finding)`` for every column some reader may trip over. Never fails."""
     rows = [(f.name, f.dataType.simpleString(), found) for f in schema for found in _findings(f.dataType)]
-    return spark.createDataFrame(rows, "column string, type string, finding string")
+    return small_table(spark, rows, "column string, type string, finding string")
 
 
 def drift(spark: SparkSession, before: StructType, after: StructType) -> DataFrame:
@@ -104,7 +105,7 @@ def drift(spark: SparkSession, before: StructType, after: StructType) -> DataFra
 
     def listing(schema: StructType, label: str) -> DataFrame:
         rows = [(f.name, f.dataType.simpleString()) for f in schema]
-        return spark.createDataFrame(rows, f"column string, {label} string")
+        return small_table(spark, rows, f"column string, {label} string")
 
     both = listing(before, "before_type").join(listing(after, "after_type"), "column", "full_outer")
     change = (

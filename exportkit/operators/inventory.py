@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, StructType
 
-from ..session import path_exists
+from ..session import path_exists, small_table
 from .shards import SHARD, Shards, SingleShard
 from .sink import Written, read_export
 
@@ -81,7 +81,7 @@ def landed_files(
         found = found.join(file_md5(spark, *places), "uri", "left") if places else found
     if "md5" not in found.columns:
         found = found.withColumn("md5", F.lit(None).cast("string"))
-    spec = shards.spec(spark).select(SHARD)
+    spec = shards.spec(spark)
     if only is not None:
         spec = spec.filter(F.col(SHARD).isin(*only))
     return spec.join(found, SHARD, "left").select(
@@ -197,7 +197,7 @@ def validate(spark: SparkSession, written: Written, listing: DataFrame, *, level
             checks.append(("all_columns_decode", count == total["rows"], f"{count} rows decoded"))
     except (PySparkException, OSError) as error:
         checks = [("readable", False, str(error).splitlines()[0])]
-    return spark.createDataFrame(checks, "check_name string, ok boolean, detail string")
+    return small_table(spark, checks, "check_name string, ok boolean, detail string")
 
 
 def require_valid(checks: DataFrame) -> None:

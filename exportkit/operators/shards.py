@@ -68,9 +68,8 @@ class Shards:
         return f"{SHARD}={shard}"
 
     def spec(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            [(i, self.directory(i)) for i in range(self.count)], f"{SHARD} int, directory string"
-        )
+        """All shard numbers, one row each."""
+        return spark.range(self.count).select(F.col("id").cast("int").alias(SHARD))
 
 
 def _keep(df: DataFrame, index: Column, only: Sequence[int] | None) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.inventory import INVENTORY_SCHEMA
 from ..operators.shards import SHARD
-from ..session import conf_scope, path_exists, qualify, read_text, write_text_atomically
+from ..session import conf_scope, path_exists, qualify, read_text, small_table, write_text_atomically
 
 CATALOG_SCHEMA = f"{INVENTORY_SCHEMA}, path string, exported_at timestamp, job string, run_id string"
 
@@ -44,7 +44,7 @@ class Catalog:
 
     def entries(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], CATALOG_SCHEMA)
+            return small_table(self.spark, [], CATALOG_SCHEMA)
         return self.spark.read.schema(CATALOG_SCHEMA).parquet(self.path)
 
     def append(
@@ -92,23 +92,32 @@ class Catalog:
         uris = self.run(job, run_id).filter(F.col("uri") != "").select("uri")
         return self.latest_files().join(uris, "uri", "left_semi")
 
-    def landed(self, job: str, path: str) -> DataFrame:
-        """Entries of the shards of ``job`` that are complete under ``path``.
+    def files_in(self, job: str, path: str) -> DataFrame:
+        """Current entries of one export path."""
+        return self.latest_files().filter((F.col("job") == job) & (F.col("path") == qualify(self.spark, path)))
+
+    def landed_shards(self, job: str, path: str) -> list[int]:
+        """Shards of ``job`` that are complete under ``path``; as long as the shard layout.
 
         A shard counts when its newest recorded attempt wrote files and all of them are
         still there, so neither leftovers of a crashed write nor stale entries pass.
         """
         if not path_exists(self.spark, path):
-            return self.entries().limit(0)
-        known = self.latest_files().filter((F.col("job") == job) & (F.col("path") == qualify(self.spark, path)))
+            return []
         present = (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", "true")
             .load(path)
-            .select(F.col("_metadata.file_path").alias("uri"))
+            .select(F.col("_metadata.file_path").alias("uri"), F.lit(True).alias("there"))
+        )
+        complete = (
+            self.files_in(job, path)
+            .join(present, "uri", "left")
+            .groupBy(SHARD)
+            .agg(F.count("there").alias("found"), F.count("uri").alias("recorded"))
+            .filter("found = recorded")
         )
-        broken = known.join(present, "uri", "left_anti").select(SHARD)
-        return known.join(broken, SHARD, "left_anti").select(*known.columns)
+        return sorted(r[SHARD] for r in complete.collect())
 
 
 def latest_per_uri(entries: DataFrame) -> DataFrame:
@@ -129,7 +138,7 @@ def read_files(files: DataFrame, base: str, schema: StructType, verify: bool = T
     total = files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
     reader = spark.read.schema(schema).option("basePath", base)
     if total["files"] == 0:
-        return spark.createDataFrame([], schema)
+        return small_table(spark, [], schema)
     if total["files"] <= INLINE_FILES:
         data = reader.parquet(*[r["uri"] for r in files.select("uri").collect()])
     else:
@@ -179,23 +188,22 @@ def publish(
     ``files_uri``, a JSON-lines folder that Spark writes in parallel, instead of ``files``.
     """
     spark = entries.sparkSession
-    listed = manifest_files(entries)
-    total = listed.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-    ).first()
+    listed = manifest_files(entries).orderBy(SHARD, "remote_uri")
+    inline = [r.asDict() for r in listed.limit(INLINE_FILES + 1).collect()]
+    total = {"rows": sum(r["rows"] for r in inline), "bytes": sum(r["bytes"] for r in inline)}
+    if len(inline) > INLINE_FILES:
+        total = listed.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).first()
     document: dict[str, Any] = {
         "version": MANIFEST_VERSION,
         "exported_at": (exported_at or datetime.now(timezone.utc)).isoformat(),
         "total_rows": total["rows"],
         "total_bytes": total["bytes"],
     }
-    if total["files"] <= INLINE_FILES:
-        document["files"] = [r.asDict() for r in listed.orderBy(SHARD, "remote_uri").collect()]
+    if len(inline) <= INLINE_FILES:
+        document["files"] = inline
     else:
         document["files_uri"] = f"{location}.files"
-        listed.orderBy(SHARD, "remote_uri").write.mode("overwrite").json(document["files_uri"])
+        listed.write.mode("overwrite").json(document["files_uri"])
     if extra:
         document["extra"] = extra
     write_text_atomically(spark, location, json.dumps(document, indent=2))
@@ -209,5 +217,5 @@ def read_manifest(spark: SparkSession, location: str) -> DataFrame:
     stamp = F.lit(head["exported_at"]).cast("timestamp").alias("exported_at")
     if "files_uri" in head:
         return spark.read.schema(MANIFEST_FILE).json(head["files_uri"]).select("*", stamp)
-    document = spark.createDataFrame([(text,)], "text string").select(F.from_json("text", MANIFEST_DOCUMENT).alias("m"))
+    document = small_table(spark, [(text,)], "text string").select(F.from_json("text", MANIFEST_DOCUMENT).alias("m"))
     return document.select(F.explode("m.files").alias("file")).select("file.*", stamp)

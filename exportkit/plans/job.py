@@ -119,21 +119,20 @@ class ExportJob:
         catalog, state = Catalog(spark, self.catalog), StateTable(spark, self.catalog)
         shards = SingleShard() if self.bulk else self.shards
 
-        had_plan = self.incremental is not None and state.planned(self.name, run_id) is not None
-        bounds = self._plan_window(spark, state, run_id, values)
+        bounds, had_plan = self._plan_window(spark, state, run_id, values)
 
-        landed = catalog.landed(self.name, path) if self.skip_existing and not self.bulk else None
-        skipped = [] if landed is None else sorted(r[0] for r in landed.select(SHARD).distinct().collect())
+        skipped = catalog.landed_shards(self.name, path) if self.skip_existing else []
         left = [s for s in range(shards.count) if s not in skipped]
 
-        written, listing = None, None
+        written, listing, cached = None, None, None
         if left:
             written = self._write(spark, path, self._rows(spark, bounds, values), skipped, left)
-            listing = inv.landed_files(spark, written, shards, md5=self.md5, only=left if skipped else None).persist()
+            listing = inv.landed_files(spark, written, shards, md5=self.md5, only=left if skipped else None)
+            listing = cached = listing.persist()
             if self.check:
                 inv.require_valid(inv.validate(spark, written, listing, level=self.check))
         if skipped:
-            untouched = landed.filter(F.col(SHARD).isin(*skipped)).select(
+            untouched = catalog.files_in(self.name, path).filter(F.col(SHARD).isin(*skipped)).select(
                 SHARD,
                 "uri",
                 F.lit(0).cast("bigint").alias("rows"),
@@ -145,17 +144,17 @@ class ExportJob:
             listing = untouched if listing is None else listing.unionByName(untouched)
 
         exported_at = catalog.append(self.name, run_id, path, listing)
-        listing.unpersist()
-        entries = catalog.run(self.name, run_id)
-        location = self._publish(entries, path, written, exported_at)
+        location = self._publish(listing, path, written, exported_at)
         if bounds is not None and (left or had_plan):
             state.commit(self.name, run_id, bounds)
 
         mode = "unload" if self.bulk else "export"
         watermark = bounds.now if bounds else None
         summary = RunLog(spark, self.catalog).append(
-            self.name, run_id, metrics.run_summary(entries, time.time() - started, watermark, mode)
+            self.name, run_id, metrics.run_summary(listing, time.time() - started, watermark, mode)
         )
+        if cached is not None:
+            cached.unpersist()
         return RunResult(
             job=self.name,
             run_id=run_id,
@@ -166,19 +165,19 @@ class ExportJob:
             **summary,
         )
 
-    def _plan_window(self, spark, state: StateTable, run_id: str, values) -> Bounds | None:
+    def _plan_window(self, spark, state: StateTable, run_id: str, values) -> tuple[Bounds | None, bool]:
+        """The run's window, and whether an earlier attempt of the same run had planned it."""
         rule = self.incremental
         if rule is None:
-            return None
-        known = state.planned(self.name, run_id)
+            return None, False
+        known, prev = state.lookup(self.name, run_id)
         if known is not None:
-            return known
+            return known, True
         type_name = "string"
         source = None
         if rule.column is not None:
             source = self.source.load(spark, values)
             type_name = source.schema[rule.column].dataType.simpleString()
-        prev = state.watermark(self.name)
         if prev is None:
             prev = rule.default
         if prev is None:
@@ -190,7 +189,7 @@ class ExportJob:
             now = scalar(spark, rule.watermark_query, params)
         else:
             now = upper_bound(source, rule.column)
-        return state.plan(self.name, run_id, Bounds(prev, prev if now is None else now, type_name))
+        return state.plan(self.name, run_id, Bounds(prev, prev if now is None else now, type_name)), False
 
     def _rows(self, spark, bounds: Bounds | None, values) -> DataFrame:
         if bounds is not None:

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import conf_scope, path_exists
+from ..session import conf_scope, path_exists, small_table
 
 SUMMARY = ("shards", "total_rows", "total_bytes", "elapsed_s", "watermark", "mode")
 RUN_SCHEMA = (
@@ -24,7 +24,7 @@ class RunLog:
 
     def rows(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], RUN_SCHEMA)
+            return small_table(self.spark, [], RUN_SCHEMA)
         return self.spark.read.schema(RUN_SCHEMA).parquet(self.path)
 
     def append(self, job: str, run_id: str, summary: DataFrame) -> dict[str, Any]:
@@ -32,11 +32,6 @@ class RunLog:
         values = summary.select(*SUMMARY).first().asDict()
         row = (*values.values(), run_id, datetime.now(timezone.utc), job)
         with conf_scope(self.spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
-            (
-                self.spark.createDataFrame([row], RUN_SCHEMA)
-                .coalesce(1)
-                .write.mode("append")
-                .partitionBy("job")
-                .parquet(self.path)
-            )
+            rows = small_table(self.spark, [row], RUN_SCHEMA)
+            rows.coalesce(1).write.mode("append").partitionBy("job").parquet(self.path)
         return values

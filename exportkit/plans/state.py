@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.windows import Bounds
-from ..session import conf_scope, path_exists
+from ..session import conf_scope, path_exists, small_table
 
 STATE_SCHEMA = (
     "run_id string, status string, prev string, now string, type_name string, written_at timestamp, job string"
@@ -29,7 +29,7 @@ class StateTable:
 
     def rows(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], STATE_SCHEMA)
+            return small_table(self.spark, [], STATE_SCHEMA)
         return self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
 
     def latest(self) -> DataFrame:
@@ -43,45 +43,49 @@ class StateTable:
             .select("job", "run_id", F.col("now").alias("watermark"), "type_name")
         )
 
-    def watermark(self, job: str) -> str | None:
-        row = self.latest().filter(F.col("job") == job).first()
-        return None if row is None else row["watermark"]
-
-    def planned(self, job: str, run_id: str) -> Bounds | None:
+    def lookup(self, job: str, run_id: str) -> tuple[Bounds | None, str | None]:
+        """``(window planned by this run, watermark of the job)`` in one pass."""
+        planned = (F.col("status") == PLANNED) & (F.col("run_id") == run_id)
         row = (
             self.rows()
-            .filter((F.col("job") == job) & (F.col("run_id") == run_id) & (F.col("status") == PLANNED))
-            .orderBy("written_at")
+            .filter(F.col("job") == job)
+            .agg(
+                F.min_by(
+                    F.when(planned, F.struct("prev", "now", "type_name")), F.when(planned, F.col("written_at"))
+                ).alias("planned"),
+                _newest_committed().alias("watermark"),
+            )
             .first()
         )
-        return None if row is None else Bounds(row["prev"], row["now"], row["type_name"])
+        known = row["planned"]
+        return (Bounds(known["prev"], known["now"], known["type_name"]) if known else None), row["watermark"]
+
+    def watermark(self, job: str) -> str | None:
+        return self.lookup(job, "")[1]
 
     def plan(self, job: str, run_id: str, bounds: Bounds) -> Bounds:
         """Record the window of a run, or give back the one it recorded before."""
-        known = self.planned(job, run_id)
+        known, _ = self.lookup(job, run_id)
         if known is None:
             self._append(job, run_id, PLANNED, bounds)
         return known or bounds
 
     def commit(self, job: str, run_id: str, bounds: Bounds) -> bool:
         """Make ``bounds.now`` the job's watermark. It never moves back; returns whether it moved."""
-        current = self.watermark(job)
-        if current is not None and not self._is_after(bounds, current):
+        current = self.rows().filter(F.col("job") == job).agg(_newest_committed().alias("now"))
+        moves = bounds.value(bounds.now) > F.col("now").cast(bounds.type_name)
+        if not current.select(F.coalesce(moves, F.lit(True)).alias("moves")).first()["moves"]:
             return False
         self._append(job, run_id, COMMITTED, bounds)
         return True
 
-    def _is_after(self, bounds: Bounds, current: str) -> bool:
-        newer = self.spark.range(1).select((bounds.value(bounds.now) > bounds.value(current)).alias("newer"))
-        return newer.first()["newer"]
-
     def _append(self, job: str, run_id: str, status: str, bounds: Bounds) -> None:
         row = (run_id, status, bounds.prev, bounds.now, bounds.type_name, datetime.now(timezone.utc), job)
         with conf_scope(self.spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
-            (
-                self.spark.createDataFrame([row], STATE_SCHEMA)
-                .coalesce(1)
-                .write.mode("append")
-                .partitionBy("job")
-                .parquet(self.path)
-            )
+            rows = small_table(self.spark, [row], STATE_SCHEMA)
+            rows.coalesce(1).write.mode("append").partitionBy("job").parquet(self.path)
+
+
+def _newest_committed() -> Column:
+    committed = F.col("status") == COMMITTED
+    return F.max_by(F.when(committed, F.col("now")), F.when(committed, F.struct("written_at", "run_id")))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Settings an export session should run with. All of them can be changed at run time.
 RECOMMENDED = {
@@ -25,6 +28,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """A few driver-side rows as a local relation: part of the plan, no job to build it."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    arrays = [pa.array(values, type=field.type) for values, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
 @contextmanager
 def conf_scope(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Apply runtime settings for the actions inside the block, then put the old ones back."""
