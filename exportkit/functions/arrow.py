@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from pyspark.sql.types import StructType
 
 TableFn = Callable[[pa.Table], "pa.Table | None"]
 
+# Functions of this package travel to the tasks with the query, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
+
 
 def output_schema(schema: StructType, fn: TableFn) -> StructType:
     """Schema of ``fn``'s result, found by running it on a table of zero rows."""

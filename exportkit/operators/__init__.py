@@ -1,4 +1,5 @@
-from .inventory import ExportInvalid, file_md5, files, fingerprint, landed_files, reconcile, require_valid, validate
+from .fingerprint import fingerprint
+from .inventory import ExportInvalid, file_md5, files, landed_files, reconcile, require_valid, validate
 from .shards import (
     DAY_COLUMNS,
     SHARD,

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType, StructType
 
 from ..session import path_exists, small_table
+from .fingerprint import SUMS, fingerprint
 from .shards import SHARD, Shards, SingleShard
 from .sink import Written, read_export
 
@@ -95,53 +97,12 @@ def landed_files(
     )
 
 
-# ---------------------------------------------------------------- fingerprints
-
-
-def _has_map(kind: DataType) -> bool:
-    if isinstance(kind, MapType):
-        return True
-    if isinstance(kind, StructType):
-        return any(_has_map(f.dataType) for f in kind)
-    return _has_map(kind.elementType) if hasattr(kind, "elementType") else False
-
-
-def _hashable(field) -> Column:
-    column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, MapType) and not _has_map(field.dataType.valueType):
-        return F.array_sort(F.map_entries(column))
-    return F.to_json(column) if _has_map(field.dataType) else column
-
-
-def fingerprint(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Row count and three sums over a 64-bit row hash, per group.
-
-    Equal multisets of rows give equal values; repeated rows count (unlike a XOR). The hash
-    also takes in which columns are NULL, because the hash function itself skips NULLs. The
-    64 bits are summed as slices of 22, 22 and 20 bits: plain long additions, safe up to
-    2**41 rows per group.
-    """
-    hashed = [f for f in df.schema if f.name not in by]
-    row_hash = F.xxhash64(*[_hashable(f) for f in hashed], *[F.col(f"`{f.name}`").isNull() for f in hashed])
-    slice_mask = F.lit((1 << 22) - 1).cast("bigint")
-    return (
-        df.select(*by, row_hash.alias("_h"))
-        .groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(F.col("_h").bitwiseAND(slice_mask)).alias("sum_low"),
-            F.sum(F.shiftrightunsigned("_h", 22).bitwiseAND(slice_mask)).alias("sum_mid"),
-            F.sum(F.shiftrightunsigned("_h", 44)).alias("sum_high"),
-        )
-    )
-
-
 def reconcile(source: DataFrame, target: DataFrame, by: Sequence[str] = (SHARD,)) -> DataFrame:
     """Compare two sides group by group: ``(by..., source_rows, target_rows, matches)``.
 
     Both sides shrink to one row per group before they meet, so the join is tiny.
     """
-    parts = ["rows", "sum_low", "sum_mid", "sum_high"]
+    parts = ["rows", *SUMS]
 
     def side(df: DataFrame, label: str) -> DataFrame:
         return fingerprint(df, by).withColumnsRenamed({p: f"{label}_{p}" for p in parts})
@@ -151,7 +112,7 @@ def reconcile(source: DataFrame, target: DataFrame, by: Sequence[str] = (SHARD,)
     if not keys:
         left, right, keys = left.withColumn("_all", F.lit(1)), right.withColumn("_all", F.lit(1)), ["_all"]
     same = [F.col(f"source_{p}").eqNullSafe(F.col(f"target_{p}")) for p in parts]
-    everything = same[0] & same[1] & same[2] & same[3]
+    everything = reduce(lambda a, b: a & b, same)
     condition = [left[k].eqNullSafe(right[k]) for k in keys]
     return left.join(right, condition, "full_outer").select(
         *[F.coalesce(left[k], right[k]).alias(k) for k in by],
@@ -173,7 +134,8 @@ def validate(spark: SparkSession, written: Written, listing: DataFrame, *, level
 
     ``listing`` is the write's ``landed_files``. ``footer`` is content with it: it opened every
     footer, so files exist, none is empty, and their row counts add up to what the writing
-    tasks took in. ``full`` decodes every column of every row as well.
+    tasks took in. ``full`` also decodes every column of every row and, when the write was
+    made with ``checksum``, compares the hash sums with those of the rows being written.
     """
     if level not in ("footer", "full"):
         raise ValueError(f"level must be 'footer' or 'full', got {level!r}")
@@ -193,9 +155,16 @@ def validate(spark: SparkSession, written: Written, listing: DataFrame, *, level
         if level == "full":
             export = read_export(spark, written).withColumn("_uri", F.col("_metadata.file_path"))
             decoded = fingerprint(export, ["_uri"]).join(data.select(F.col("uri").alias("_uri")), "_uri", "left_semi")
-            count = decoded.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()["rows"]
-            checks.append(("all_columns_decode", count == total["rows"], f"{count} rows decoded"))
-    except (PySparkException, OSError) as error:
+            # The hash sums have to be asked for: without them no column would be read.
+            found = decoded.agg(
+                F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+                *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in SUMS],
+            ).first()
+            checks.append(("all_columns_decode", found["rows"] == total["rows"], f"{found['rows']} rows decoded"))
+            if written.checksum is not None:
+                same = tuple(found[s] for s in SUMS) == written.checksum
+                checks.append(("content_checksum", same, "hash sums of rows written and rows read back"))
+    except (PySparkException, Py4JJavaError) as error:
         checks = [("readable", False, str(error).splitlines()[0])]
     return small_table(spark, checks, "check_name string, ok boolean, detail string")
 

@@ -5,30 +5,38 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.schema import coerce_timestamps
 from ..options import LayoutOptions, ParquetOptions, UnloadOptions
 from ..session import conf_scope
+from .fingerprint import ROW_HASH, SUMS, hash_sums, row_hash
 from .shards import Shards, SingleShard
 
 ROW_SIZE_PROBE = 1_000
 
+# What an unquoted empty CSV field (NULL) becomes inside the reader. Left at its default it
+# could not be told from a quoted empty one (empty text).
+UNQUOTED_EMPTY = "\u0000null\u0000"
+
 
 @dataclass(frozen=True)
 class Written:
-    """What a write handed to the files: path, schema to read it back with, rows, times."""
+    """What a write handed to the files: path, schema to read it back with, rows, times, and
+    the hash sums of the rows if they were asked for."""
 
     path: str
     schema: StructType
-    rows: int
-    started: float
-    elapsed_s: float
+    rows: int = 0
+    started: float = 0.0
+    elapsed_s: float = 0.0
     format: str = "parquet"
     header: bool = True
+    checksum: tuple[int, ...] | None = None
 
 
 def checked_path(base: str, relative: str) -> str:
@@ -40,17 +48,29 @@ def checked_path(base: str, relative: str) -> str:
     return f"{base.rstrip('/')}/{relative}".rstrip("/")
 
 
-def _run_write(df: DataFrame, settings: dict[str, str], write) -> tuple[int, float, float]:
-    """Run ``write`` on ``df`` and count the rows the writing tasks took in.
+def _run_write(
+    df: DataFrame, written: Written, settings: dict[str, str], checksum: bool, write: Callable[[DataFrame], None]
+) -> Written:
+    """Run ``write`` on ``df`` and take down what the writing tasks took in.
 
-    The count sits behind the last exchange, in the stage that writes: Spark adds up each of
+    The counts sit behind the last exchange, in the stage that writes: Spark adds up each of
     its partitions once, also when lost executors make earlier stages run again.
     """
-    counted = Observation(f"written-{uuid.uuid4().hex}")
+    observed = Observation(f"written-{uuid.uuid4().hex}")
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if checksum:
+        df = df.withColumn(ROW_HASH, row_hash(list(written.schema)))
+        df = df.observe(observed, *counts, *hash_sums()).drop(ROW_HASH)
+    else:
+        df = df.observe(observed, *counts)
     started = time.time()
     with conf_scope(df.sparkSession, settings):
-        write(df.observe(counted, F.count(F.lit(1)).alias("rows")))
-    return counted.get["rows"], started, time.time() - started
+        write(df)
+    found = observed.get
+    sums = tuple(found[s] or 0 for s in SUMS) if checksum else None
+    return replace(
+        written, rows=found["rows"], started=started, elapsed_s=time.time() - started, checksum=sums
+    )
 
 
 def write_export(
@@ -65,6 +85,7 @@ def write_export(
     layout: LayoutOptions | None = None,
     mode: str = "overwrite",
     keep_other_partitions: bool = False,
+    checksum: bool = False,
 ) -> Written:
     """Write ``df`` as Parquet, one directory per shard (and per ``partition_by`` value).
 
@@ -72,7 +93,9 @@ def write_export(
     directory beyond ``layout.target_file_bytes`` over several tasks, so a shard holding a
     third of the data becomes many files written in parallel, while a small shard is one
     file. ``shape`` is applied after the shards are cut, on rows that still carry their
-    shard columns. ``keep_other_partitions`` replaces only the directories being written.
+    shard columns. Timestamps are cut to ``parquet.coerce_timestamps``.
+    ``keep_other_partitions`` replaces only the directories being written. ``checksum`` sums
+    up row hashes on the way, for ``validate(level="full")``.
     """
     shards = shards or SingleShard()
     parquet = parquet or ParquetOptions()
@@ -80,6 +103,7 @@ def write_export(
     assigned = shards.assign(df, only)
     if shape is not None:
         assigned = shape(assigned)
+    assigned = coerce_timestamps(assigned, parquet.coerce_timestamps)
     keys = list(dict.fromkeys([*shards.partition_columns, *partition_by]))
     data = [f for f in assigned.schema if f.name not in keys]
     schema = StructType(data + [assigned.schema[k] for k in keys])
@@ -101,8 +125,7 @@ def write_export(
             "TIMESTAMP_MILLIS" if parquet.coerce_timestamps == "ms" else "TIMESTAMP_MICROS"
         ),
     }
-    rows, started, elapsed = _run_write(assigned, settings, write)
-    return Written(path, schema, rows, started, elapsed)
+    return _run_write(assigned, Written(path, schema), settings, checksum, write)
 
 
 def records_per_file(df: DataFrame, max_bytes: int) -> int:
@@ -119,9 +142,17 @@ def records_per_file(df: DataFrame, max_bytes: int) -> int:
     return max(1, int(max_bytes / max(width or 1.0, 1.0)))
 
 
+# Microseconds are kept in text formats (Spark's default pattern cuts them).
+TEXT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def csv_options(header: bool) -> dict:
     """Quoting that gives every text back as it was: blanks, quotes and line breaks too."""
     return {
+        **TEXT_TIMES,
         "header": header,
         "escape": '"',
         "ignoreLeadingWhiteSpace": False,
@@ -129,7 +160,7 @@ def csv_options(header: bool) -> dict:
     }
 
 
-def unload(df: DataFrame, path: str, options: UnloadOptions | None = None) -> Written:
+def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, checksum: bool = False) -> Written:
     """Distributed write without shards: Spark decides on the files.
 
     ``single`` and ``order_by`` keep the row order across the file names. The exchange is
@@ -161,17 +192,18 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None) -> Wr
         elif options.format == "csv":
             writer.options(compression=options.codec, **csv_options(options.header)).csv(path)
         else:
-            writer.options(compression=options.codec, ignoreNullFields=False).json(path)
+            writer.options(compression=options.codec, ignoreNullFields=False, **TEXT_TIMES).json(path)
 
-    rows, started, elapsed = _run_write(df, settings, write)
-    return Written(path, schema, rows, started, elapsed, options.format, options.header)
+    plan = Written(path, schema, format=options.format, header=options.header)
+    return _run_write(df, plan, settings, checksum, write)
 
 
 def read_export(spark: SparkSession, written: Written) -> DataFrame:
     """Read an export or unload back with the schema it was written with (no inference)."""
     reader = spark.read.schema(written.schema)
     if written.format == "csv":
-        return reader.options(multiLine=True, **csv_options(written.header)).csv(written.path)
+        options = {**csv_options(written.header), "multiLine": True, "nullValue": UNQUOTED_EMPTY}
+        return reader.options(**options).csv(written.path)
     if written.format == "json":
-        return reader.json(written.path)
+        return reader.options(**TEXT_TIMES).json(written.path)
     return reader.parquet(written.path)

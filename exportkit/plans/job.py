@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.arrow import BatchTransform
-from ..functions.schema import align, coerce_timestamps
+from ..functions.schema import align
 from ..operators import inventory as inv
 from ..operators import metrics
 from ..operators.shards import SHARD, Shards, SingleShard
@@ -209,11 +209,11 @@ class ExportJob:
             named = self.target_schema.fieldNames()
             extra = [df.schema[c] for c in [*keep, *self.partition_by] if c not in named]
             df = align(df, StructType([*self.target_schema, *extra]))
-        return coerce_timestamps(df, self.parquet.coerce_timestamps)
+        return df
 
     def _write(self, spark, path: str, df: DataFrame, skipped: list[int], left: list[int]) -> Written:
         if self.bulk is not None:
-            return unload(self._shape(df), path, self.bulk)
+            return unload(self._shape(df), path, self.bulk, checksum=self.check == "full")
         # Files of a shard that the catalog does not know are leftovers of a failed attempt.
         # (A single unsharded directory is replaced as a whole.)
         if skipped:
@@ -232,6 +232,7 @@ class ExportJob:
             layout=self.layout,
             mode="overwrite" if self.overwrite or skipped else "errorifexists",
             keep_other_partitions=bool(skipped),
+            checksum=self.check == "full",
         )
 
     def _publish(self, entries: DataFrame, path: str, written: Written | None, exported_at) -> str | None:

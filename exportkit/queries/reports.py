@@ -101,7 +101,8 @@ def catalog_current(spark, sf_dir):
 
 
 def validate_export(spark, sf_dir):
-    written = _orders_export(spark, sf_dir, "validate_export")
+    orders = table(spark, sf_dir, "orders")
+    written = write_export(orders, scratch_dir(spark, "validate_export"), QUARTERS, checksum=True)
     checks = validate(spark, written, landed_files(spark, written, QUARTERS), level="full")
     return checks.select("check_name", "ok")
 
@@ -261,7 +262,7 @@ ORACLE = {
     "catalog_current": _PER_SHARD + ", 'r2' AS run_id FROM orders GROUP BY 1",
     "validate_export": """
         SELECT * FROM (VALUES ('files_present', TRUE), ('files_not_empty', TRUE), ('row_total', TRUE),
-                              ('all_columns_decode', TRUE)) AS t(check_name, ok)
+                              ('all_columns_decode', TRUE), ('content_checksum', TRUE)) AS t(check_name, ok)
     """,
     "reconcile": """
         SELECT CAST(o_orderkey % 4 AS INTEGER) AS shard_index, CAST(COUNT(*) AS BIGINT) AS source_rows,

@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..functions.schema import coerce_timestamps
 from ..operators import inventory as inv
 from ..operators.shards import Shards, SingleShard
 from ..operators.sink import write_export
@@ -46,7 +45,7 @@ class StreamExport:
         for step in self.transforms:
             df = df.transform(step)
         written = write_export(
-            coerce_timestamps(df, self.parquet.coerce_timestamps),
+            df,
             f"{self.base.rstrip('/')}/batch={batch_id}",
             self.shards,
             parquet=self.parquet,
