@@ -63,6 +63,7 @@ def _run_write(
         df = df.observe(observed, *counts, *hash_sums()).drop(ROW_HASH)
     else:
         df = df.observe(observed, *counts)
+    settings = {**settings, "spark.sql.adaptive.enabled": "true"}
     started = time.time()
     with conf_scope(df.sparkSession, settings):
         write(df)
@@ -73,6 +74,16 @@ def _run_write(
     )
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """Rows spread over the cores by a hash of the row.
+
+    Dealing by position would make Spark sort every partition first, to be able to repeat
+    the deal when a task is lost; a row hash is repeatable as it is. Copies of one row go
+    together, and AQE splits their partition when it grows large.
+    """
+    return df.withColumn(ROW_HASH, row_hash(list(df.schema))).hint("rebalance", ROW_HASH).drop(ROW_HASH)
+
+
 def write_export(
     df: DataFrame,
     path: str,
@@ -109,6 +120,8 @@ def write_export(
     schema = StructType(data + [assigned.schema[k] for k in keys])
     if keys and layout.shuffle:
         assigned = assigned.hint("rebalance", *keys)
+    elif layout.spread:
+        assigned = dealt_out(assigned)
 
     def write(out: DataFrame) -> None:
         writer = out.write.mode(mode).options(**parquet.writer_options())
@@ -180,8 +193,8 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
         records = records_per_file(df, options.max_file_bytes)
     if options.order_by:
         df = df.orderBy(*options.order_by)
-    elif options.single:
-        df = df.hint("rebalance")
+    elif options.single or options.spread:
+        df = dealt_out(df)
 
     def write(out: DataFrame) -> None:
         writer = out.write.mode("overwrite" if options.overwrite else "errorifexists")

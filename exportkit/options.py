@@ -66,12 +66,15 @@ class LayoutOptions:
     output directory: a directory larger than that is split over several tasks (so one hot
     shard never lands in one task), smaller ones become one file each. ``shuffle=False``
     skips the exchange for sources that are already split by directory, such as a JDBC read
-    with one predicate per shard.
+    with one predicate per shard. ``spread`` deals the rows of an unsharded export out to all
+    cores before they are encoded: for sources that few tasks read, such as one JDBC
+    connection or one file that cannot be split.
     """
 
     target_file_bytes: int = 256 * MIB
     max_records_per_file: int = 0
     shuffle: bool = True
+    spread: bool = False
 
     def __post_init__(self):
         if self.target_file_bytes < 1:
@@ -82,10 +85,11 @@ class LayoutOptions:
 
 @dataclass(frozen=True)
 class UnloadOptions:
-    """Bulk unload: files chosen by Spark, no shards.
+    """Bulk unload: as many files as there are writing tasks, no shards.
 
     ``single`` asks for one file; it is honoured for results up to ``max_file_bytes`` and
     becomes an ordered sequence of files above it, so that no task ever holds everything.
+    ``spread`` deals rows out to all cores first, as in ``LayoutOptions``.
     """
 
     format: str = "parquet"
@@ -94,6 +98,7 @@ class UnloadOptions:
     max_file_bytes: int = 256 * MIB
     single: bool = False
     order_by: tuple[str, ...] = ()
+    spread: bool = False
     overwrite: bool = True
 
     def __post_init__(self):

@@ -137,6 +137,14 @@ def run_summary(spark, sf_dir):
     return log.select("job", "run_id", "shards", "total_rows", "watermark", "mode", (F.col("total_bytes") > 0).alias("wrote"))
 
 
+def metrics_run(spark, sf_dir):
+    """Shard figures of a real run, from its catalog entries."""
+    job = _orders_job(spark, sf_dir, "metrics_run")
+    job.run(spark, "r1")
+    figures = metrics.shard_metrics(metrics.by_shard(Catalog(spark, job.catalog).run(job.name, "r1")))
+    return figures.select("shard_index", "rows", ((F.col("rows_s") > 0) & (F.col("mb_s") > 0)).alias("has_rates"))
+
+
 def _supplier_shards(spark, sf_dir):
     """Shard figures made from lineitem: size from quantities, time from the shard number."""
     return (
@@ -229,6 +237,7 @@ QUERIES = {
     "reconcile_changed": reconcile_changed,
     "reconcile_documents": reconcile_documents,
     "run_summary": run_summary,
+    "metrics_run": metrics_run,
     "metrics_shard": metrics_shard,
     "metrics_total": metrics_total,
     "metrics_empty": metrics_empty,
@@ -284,6 +293,7 @@ ORACLE = {
                CAST(NULL AS VARCHAR) AS watermark, 'export' AS mode, TRUE AS wrote
         FROM orders
     """,
+    "metrics_run": _PER_SHARD + ", TRUE AS has_rates FROM orders GROUP BY 1",
     "metrics_shard": _SUPPLIER_METRICS
     + """
         SELECT shard_index, rows, bytes, ROUND(bytes_mb, 6) AS bytes_mb, ROUND(duration_s, 6) AS duration_s,

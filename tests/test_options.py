@@ -1,7 +1,7 @@
 import pytest
 
 from exportkit import JdbcSource, LayoutOptions, ParquetOptions, SqlSource, UnloadOptions
-from exportkit.operators import checked_path
+from exportkit.operators import ModShards, checked_path
 
 
 def test_parquet_defaults():
@@ -52,6 +52,36 @@ def test_jdbc_properties_and_relation():
     assert source.connection_properties() == {"pushDownPredicate": "true", "user": "u", "fetchsize": "50000"}
 
 
+class Recorder:
+    """Stands in for a session and takes down what ``read.jdbc`` is given."""
+
+    @property
+    def read(self):
+        return self
+
+    def jdbc(self, url, table, **options):
+        return url, table, options
+
+
+def test_jdbc_reads_one_task_per_predicate():
+    layout = ModShards("id", 3)
+    source = JdbcSource(url="jdbc:x", table="t", predicates=layout.sql_predicates(), fetch_rows=7)
+    url, table, options = source.load(Recorder())
+    assert (url, table) == ("jdbc:x", "t")
+    assert options["predicates"] == layout.sql_predicates() and len(options["predicates"]) == 3
+    assert options["properties"]["fetchsize"] == "7"
+
+
+def test_jdbc_reads_a_column_range():
+    source = JdbcSource(url="jdbc:x", table="t", column="id", lower=0, upper=90, partitions=9)
+    options = source.load(Recorder())[2]
+    assert (options["column"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", 0, 90, 9)
+
+
+def test_jdbc_plain_read():
+    assert JdbcSource(url="jdbc:x", query="SELECT 1 AS a").load(Recorder())[1] == "(SELECT 1 AS a) src"
+
+
 @pytest.mark.parametrize("relative", ["/abs/x", "../up", "a/../b", "a/.."])
 def test_paths_cannot_leave_the_base(relative):
     with pytest.raises(ValueError):

@@ -68,6 +68,14 @@ def test_statically_empty_source(spark, orders, root, layout):
     require_valid(validate(spark, written, listing, level="full"))
 
 
+def test_spread_uses_every_core(spark, root):
+    one_task = spark.range(0, 400_000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    written = write_export(one_task, f"{root}/a", layout=LayoutOptions(spread=True))
+    assert same(one_task, read_export(spark, written)) and len(data_files(f"{root}/a")) > 4
+    unload(one_task, f"{root}/b", UnloadOptions(spread=True))
+    assert len(data_files(f"{root}/b")) > 4
+
+
 def test_error_mode_refuses_an_existing_target(orders, root):
     write_export(orders, root)
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
