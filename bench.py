@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   input tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_REPEAT   timed repetitions, the best counts (default 3)
+BENCH_REPEAT   timed repetitions, the best counts (default 5)
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from exportkit.session import configure, scratch_dir
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "5"))
 SPREAD = LayoutOptions(spread=True)
 
 

@@ -25,6 +25,7 @@ from ..session import small_table
 UNIT_MICROS = {"s": 1_000_000, "ms": 1_000}
 UNIT_SECONDS = {"s": Decimal("1"), "ms": Decimal("0.001")}
 MAX_DECIMAL_DIGITS = 38
+UTC_NAMES = ("UTC", "Etc/UTC", "Z", "+00:00")
 
 
 def _truncate_instant(column: Column, unit: str) -> Column:
@@ -32,9 +33,11 @@ def _truncate_instant(column: Column, unit: str) -> Column:
     return F.timestamp_micros(micros - micros % UNIT_MICROS[unit])
 
 
-def _truncate_local(column: Column, unit: str) -> Column:
-    # No cast to an instant on the way: in a session zone with daylight saving that would
-    # move wall-clock times that fall into the spring gap.
+def _truncate_local(column: Column, unit: str, zone: str) -> Column:
+    if zone in UTC_NAMES:
+        return _truncate_instant(column.cast("timestamp"), unit).cast("timestamp_ntz")
+    # In a session zone with daylight saving, a cast to an instant would move wall-clock
+    # times that fall into the spring gap, so the fraction is taken off by interval.
     step = F.lit(UNIT_SECONDS[unit])
     rest = F.date_part(F.lit("SECOND"), column) % step
     before_epoch = (column < F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")) & (rest > 0)
@@ -54,11 +57,12 @@ def coerce_timestamps(df: DataFrame, unit: str | None) -> DataFrame:
     if unit not in UNIT_MICROS:
         return df
     changed = {}
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
     for field in df.schema:
         if isinstance(field.dataType, TimestampType):
             changed[field.name] = _truncate_instant(F.col(f"`{field.name}`"), unit)
         elif isinstance(field.dataType, TimestampNTZType):
-            changed[field.name] = _truncate_local(F.col(f"`{field.name}`"), unit)
+            changed[field.name] = _truncate_local(F.col(f"`{field.name}`"), unit, zone)
     return df.withColumns(changed) if changed else df
 
 
