@@ -124,7 +124,10 @@ def write_export(
         assigned = dealt_out(assigned)
 
     def write(out: DataFrame) -> None:
-        writer = out.write.mode(mode).options(**parquet.writer_options())
+        # A writer option, not a session setting: another export that runs in the same
+        # session must never turn a partial overwrite into a full one.
+        overwrites = "dynamic" if keep_other_partitions else "static"
+        writer = out.write.mode(mode).options(**parquet.writer_options(), partitionOverwriteMode=overwrites)
         if layout.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", layout.max_records_per_file)
         if keys:
@@ -133,7 +136,6 @@ def write_export(
 
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(layout.target_file_bytes),
-        "spark.sql.sources.partitionOverwriteMode": "dynamic" if keep_other_partitions else "static",
         "spark.sql.parquet.outputTimestampType": (
             "TIMESTAMP_MILLIS" if parquet.coerce_timestamps == "ms" else "TIMESTAMP_MICROS"
         ),
@@ -184,7 +186,6 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(options.max_file_bytes),
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
-        "spark.sql.sources.partitionOverwriteMode": "static",
     }
     schema, records = df.schema, 0
     if options.single:
@@ -198,6 +199,7 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
 
     def write(out: DataFrame) -> None:
         writer = out.write.mode("overwrite" if options.overwrite else "errorifexists")
+        writer = writer.option("partitionOverwriteMode", "static")
         if records:
             writer = writer.option("maxRecordsPerFile", records)
         if options.format == "parquet":

@@ -9,8 +9,9 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 from typing import Any
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -36,7 +37,11 @@ MANIFEST_DOCUMENT = (
 
 
 class Catalog:
-    """File entries of all runs of all jobs below ``root``. Append-only."""
+    """File entries of all runs of all jobs below ``root``. Append-only.
+
+    ``uri`` is spelled as Spark spells ``_metadata.file_path`` (percent-escaped), so that it
+    can be joined with scans; manifests hold the plain form.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -140,7 +145,7 @@ def read_files(files: DataFrame, base: str, schema: StructType, verify: bool = T
     if total["files"] == 0:
         return small_table(spark, [], schema)
     if total["files"] <= INLINE_FILES:
-        data = reader.parquet(*[r["uri"] for r in files.select("uri").collect()])
+        data = reader.parquet(*[unquote(r["uri"]) for r in files.select("uri").collect()])
     else:
         scanned = reader.parquet(base).withColumn("_uri", F.col("_metadata.file_path"))
         data = scanned.join(files.select(F.col("uri").alias("_uri")), "_uri", "left_semi").drop("_uri")
@@ -173,10 +178,13 @@ def common_directory(paths: list[str]) -> str:
     return "/".join(shared)
 
 
+def plain_uri(column: str) -> Column:
+    """A catalog URI without percent escapes: the name the store itself uses."""
+    return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
+
+
 def manifest_files(entries: DataFrame) -> DataFrame:
-    return entries.select(
-        SHARD, F.col("uri").alias("remote_uri"), "rows", "bytes", "md5", "skipped"
-    )
+    return entries.select(SHARD, plain_uri("uri").alias("remote_uri"), "rows", "bytes", "md5", "skipped")
 
 
 def publish(

@@ -189,7 +189,7 @@ class ExportJob:
             now = scalar(spark, rule.watermark_query, params)
         else:
             now = upper_bound(source, rule.column)
-        return state.plan(self.name, run_id, Bounds(prev, prev if now is None else now, type_name)), False
+        return state.record(self.name, run_id, Bounds(prev, prev if now is None else now, type_name)), False
 
     def _rows(self, spark, bounds: Bounds | None, values) -> DataFrame:
         if bounds is not None:

@@ -66,9 +66,12 @@ class StateTable:
     def plan(self, job: str, run_id: str, bounds: Bounds) -> Bounds:
         """Record the window of a run, or give back the one it recorded before."""
         known, _ = self.lookup(job, run_id)
-        if known is None:
-            self._append(job, run_id, PLANNED, bounds)
-        return known or bounds
+        return known or self.record(job, run_id, bounds)
+
+    def record(self, job: str, run_id: str, bounds: Bounds) -> Bounds:
+        """Record the window of a run that is known to have none (see ``lookup``)."""
+        self._append(job, run_id, PLANNED, bounds)
+        return bounds
 
     def commit(self, job: str, run_id: str, bounds: Bounds) -> bool:
         """Make ``bounds.now`` the job's watermark. It never moves back; returns whether it moved."""

@@ -18,6 +18,7 @@ from exportkit.operators import (
     CrossShards,
     ExportInvalid,
     ModShards,
+    ValueShards,
     first_run_value,
     latest_per_key,
     upper_bound,
@@ -123,6 +124,26 @@ def test_long_file_lists_stay_distributed(spark, root, monkeypatch):
     assert sorted(r["id"] for r in rows_of(spark, job, "r1", run).collect()) == list(range(20))
 
 
+@pytest.mark.parametrize("inline", [10_000, 2])
+def test_awkward_names_through_catalog_and_manifest(spark, root, monkeypatch, inline):
+    monkeypatch.setattr(catalog_module, "INLINE_FILES", inline)
+    names = ["a b", "50%", "x/y", "q+r", "ü", "c:d", "plain"]
+    df = small_table(spark, [(i, names[i % 7]) for i in range(70)], "id int, region string")
+    job = ExportJob(
+        "orders", FrameSource(lambda s: df), f"{root}/data", f"{root}/catalog", path="by region/{run_id}",
+        shards=ValueShards("region", names), skip_existing=True, md5=True,
+    )
+    run = job.run(spark, "r 1")
+    back = rows_of(spark, job, "r 1", run)
+    assert sorted(r["region"] for r in back.collect()) == sorted(names * 10)
+    listed = read_manifest(spark, run.manifest).collect()
+    assert all(os.path.exists(r["remote_uri"].removeprefix("file:")) and r["md5"] for r in listed)
+    delete_path(spark, f"{run.path}/{job.shards.directory(2)}")
+    again = job.run(spark, "r 1")
+    assert again.skipped == (0, 1, 3, 4, 5, 6) and again.total_rows == 10
+    assert rows_of(spark, job, "r 1", again).count() == 70
+
+
 def test_reading_checks_the_row_total(spark, root):
     job = make_job(spark, root)
     run = job.run(spark, "r1")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import data_files
-from exportkit import Catalog, StreamExport
+from exportkit import Catalog, LayoutOptions, StreamExport
 from exportkit.functions import redact
 from exportkit.operators import ModShards, metrics, read_export, write_export
 from exportkit.plans import common_directory, latest_per_uri, manifest_location, publish, read_files, read_manifest
@@ -202,6 +202,16 @@ def test_stream_in_several_batches_with_a_transform(spark, events, root):
     assert sorted(ids) == list(range(1_000))
 
 
+def test_hot_shard_of_a_stream_is_split_too(spark, root):
+    """Streams switch adaptive execution off; the sink has to switch it on again."""
+    rows = spark.range(0, 200_000, 1, 16).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    rows.write.parquet(f"{root}/in")
+    export = stream(rows, root, shards=ModShards("id", 1), layout=LayoutOptions(target_file_bytes=1024 * 1024))
+    export.run(spark)
+    assert len(data_files(f"{root}/out/batch=0/shard_index=0")) > 3
+    assert spark.read.parquet(f"{root}/out").count() == 200_000
+
+
 def test_replayed_batch_replaces_its_first_attempt(spark, events, root):
     export = stream(events, root)
     export._batch(events.filter("event_id < 10"), 0)
