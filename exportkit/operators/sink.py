@@ -193,7 +193,9 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
     else:
         records = records_per_file(df, options.max_file_bytes)
     if options.order_by:
-        df = df.orderBy(*options.order_by)
+        # The row hash settles ties, so that rows sharing one sort value still spread over
+        # several ranges (only exact copies of a row stay together).
+        df = df.withColumn(ROW_HASH, row_hash(list(schema))).orderBy(*options.order_by, ROW_HASH).drop(ROW_HASH)
     elif options.single or options.spread:
         df = dealt_out(df)
 

@@ -133,17 +133,21 @@ def unload_single(spark, sf_dir):
 
 
 def unload_ordered(spark, sf_dir):
-    """Above the cap: several files whose key ranges follow each other in name order."""
+    """Above the cap: several files; each starts where the file before it ends, or later."""
     orders = table(spark, sf_dir, "orders").repartition(8)
     options = UnloadOptions(order_by=("o_totalprice", "o_orderkey"), max_file_bytes=64 * 1024)
     written = unload(orders, scratch_dir(spark, "unload_ordered"), options)
+    name = F.col("_metadata.file_name")
+    place = F.regexp_extract(name, r"^part-(\d+)-", 1).cast("bigint") * 1_000_000 + F.regexp_extract(
+        name, r"-c(\d+)\.", 1
+    ).cast("bigint")
     spans = (
         read_export(spark, written)
-        .groupBy(F.col("_metadata.file_path").alias("uri"))
+        .groupBy(place.alias("place"))
         .agg(F.count("*").alias("n"), F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"))
     )
-    later = spans.select(F.col("uri").alias("later_uri"), F.col("low").alias("later_low"))
-    crossing = spans.join(later, (F.col("later_uri") > F.col("uri")) & (F.col("later_low") < F.col("high")), "left_semi")
+    following = spans.select((F.col("place") - 1).alias("place"), F.col("low").alias("next_low"))
+    crossing = spans.join(following, "place").filter("next_low < high")
     return spans.agg(F.sum("n").alias("rows"), (F.count("*") > 1).alias("several")).withColumn(
         "out_of_order", crossing.agg(F.count("*")).scalar()
     )
