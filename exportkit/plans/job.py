@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.arrow import BatchTransform
 from ..functions.schema import align
+from ..functions.steps import Step, apply_steps
 from ..operators import inventory as inv
 from ..operators import metrics
 from ..operators.shards import SHARD, Shards, SingleShard
@@ -85,7 +85,7 @@ class ExportJob:
     path: str = "{run_id}"
     shards: Shards = field(default_factory=SingleShard)
     partition_by: Sequence[str] = ()
-    transforms: Sequence[Callable[[DataFrame], DataFrame] | BatchTransform] = ()
+    transforms: Sequence[Step] = ()
     target_schema: StructType | None = None
     incremental: Incremental | None = None
     parquet: ParquetOptions = field(default_factory=ParquetOptions)
@@ -203,8 +203,7 @@ class ExportJob:
 
     def _shape(self, df: DataFrame) -> DataFrame:
         keep = [] if self.bulk else list(self.shards.partition_columns)
-        for step in self.transforms:
-            df = step.apply(df, keep) if isinstance(step, BatchTransform) else df.transform(step)
+        df = apply_steps(df, self.transforms, keep)
         if self.target_schema is not None:
             named = self.target_schema.fieldNames()
             extra = [df.schema[c] for c in [*keep, *self.partition_by] if c not in named]

@@ -6,7 +6,6 @@ from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import conf_scope, path_exists, small_table
 

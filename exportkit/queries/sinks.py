@@ -83,7 +83,7 @@ def sink_empty(spark, sf_dir):
     return (
         landed_files(spark, written, layout)
         .groupBy("shard_index")
-        .agg(F.sum("rows").alias("rows"), (F.max("uri") == "").alias("no_file"))
+        .agg(F.sum("rows").alias("rows"), F.bool_and(F.col("uri") == "").alias("no_file"))
     )
 
 

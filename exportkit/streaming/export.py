@@ -7,12 +7,14 @@ replaces its first attempt, which makes the export exactly-once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..functions.steps import Step, apply_steps
 from ..operators import inventory as inv
 from ..operators.shards import Shards, SingleShard
 from ..operators.sink import write_export
@@ -35,19 +37,18 @@ class StreamExport:
     catalog: str
     checkpoint: str
     shards: Shards = field(default_factory=SingleShard)
-    transforms: Sequence[Callable[[DataFrame], DataFrame]] = ()
+    transforms: Sequence[Step] = ()
     parquet: ParquetOptions = field(default_factory=ParquetOptions)
     layout: LayoutOptions = field(default_factory=LayoutOptions)
     max_files: int = 1_000
 
     def _batch(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        for step in self.transforms:
-            df = df.transform(step)
         written = write_export(
             df,
             f"{self.base.rstrip('/')}/batch={batch_id}",
             self.shards,
+            shape=partial(apply_steps, steps=self.transforms, keep=self.shards.partition_columns),
             parquet=self.parquet,
             layout=self.layout,
         )

@@ -228,6 +228,13 @@ def test_bulk_unload_through_the_job(spark, root):
     assert all(p.endswith(".csv.gz") for p in data_files(run.path))
 
 
+def test_bulk_unload_is_skipped_when_it_landed(spark, root):
+    job = make_job(spark, root, bulk=UnloadOptions(), path="bulk", skip_existing=True)
+    assert job.run(spark, "r1").total_rows == 20
+    again = job.run(spark, "r2")
+    assert again.skipped == (0,) and again.total_rows == 0
+
+
 def test_run_log(spark, root):
     job = make_job(spark, root, shards=ModShards("id", 4))
     job.run(spark, "r1")

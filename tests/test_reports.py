@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import data_files
 from exportkit import Catalog, LayoutOptions, StreamExport
-from exportkit.functions import redact
+from exportkit.functions import BatchTransform, redact
 from exportkit.operators import ModShards, metrics, read_export, write_export
 from exportkit.plans import common_directory, latest_per_uri, manifest_location, publish, read_files, read_manifest
 from exportkit.session import small_table, write_text_atomically
@@ -202,6 +202,20 @@ def test_stream_in_several_batches_with_a_transform(spark, events, root):
     assert sorted(ids) == list(range(1_000))
 
 
+def test_stream_with_a_batch_transform(spark, events, root):
+    names = list(events.columns)
+
+    def slim(batch):
+        assert batch.column_names == names
+        return batch.select(["event_id", "value"])
+
+    export = stream(events, root, shards=ModShards("user_id", 2), transforms=[BatchTransform(slim)])
+    events.write.parquet(export.source)
+    export.run(spark)
+    back = spark.read.parquet(f"{root}/out/batch=0")
+    assert back.columns == ["event_id", "value", "shard_index"] and back.count() == 1_000
+
+
 def test_hot_shard_of_a_stream_is_split_too(spark, root):
     """Streams switch adaptive execution off; the sink has to switch it on again."""
     rows = spark.range(0, 200_000, 1, 16).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
