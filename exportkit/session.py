@@ -97,19 +97,24 @@ def qualify(spark: SparkSession, path: str) -> str:
 
 
 def write_text_atomically(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small document under a temporary name, then rename it over the target."""
+    """Write a small document under a temporary name, then rename it over the target in one step."""
     fs, target = hadoop_path(spark, path)
-    staged = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    stream = fs.create(staged, True)
+    jvm = spark._jvm
+    staged = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
     try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(staged, target):
+        stream = fs.create(staged, True)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        context.rename(fs.makeQualified(staged), fs.makeQualified(target), options)
+    except Exception:
         fs.delete(staged, False)
-        raise OSError(f"could not publish {path}")
+        raise
 
 
 def read_text(spark: SparkSession, path: str) -> str:
