@@ -114,7 +114,6 @@ def write_export(
     assigned = shards.assign(df, only)
     if shape is not None:
         assigned = shape(assigned)
-    assigned = coerce_timestamps(assigned, parquet.coerce_timestamps)
     keys = list(dict.fromkeys([*shards.partition_columns, *partition_by]))
     data = [f for f in assigned.schema if f.name not in keys]
     schema = StructType(data + [assigned.schema[k] for k in keys])
@@ -122,6 +121,8 @@ def write_export(
         assigned = assigned.hint("rebalance", *keys)
     elif layout.spread:
         assigned = dealt_out(assigned)
+    # Behind the exchange, so that all writing tasks share the work.
+    assigned = coerce_timestamps(assigned, parquet.coerce_timestamps)
 
     def write(out: DataFrame) -> None:
         # A writer option, not a session setting: another export that runs in the same
