@@ -58,12 +58,14 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp`` for every row."""
+    """``doc_id``, ``fp`` and a ``tag`` of the text, which tells rows apart that share an id."""
 
     def each(columns):
-        yield {"doc_id": columns["doc_id"], "fp": [fingerprint(t) for t in texts(columns["text"])]}
+        prints = [fingerprint(t) for t in texts(columns["text"])]
+        yield {"doc_id": columns["doc_id"], "tag": columns["tag"], "fp": prints}
 
-    return through_arrow(narrow(docs, doc_id=id, text=text), each, "doc_id long, fp long")
+    rows = narrow(docs, doc_id=id, text=text).withColumn("tag", F.xxhash64("text"))
+    return through_arrow(rows, each, "doc_id long, tag long, fp long")
 
 
 def _halves(fp: Column) -> list[Column]:
@@ -111,7 +113,7 @@ def links(nodes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` for every row.
+    """``doc_id``, ``tag`` (hash of the text), ``fp`` and ``component_id`` for every row.
 
     Documents are linked when their fingerprints differ in at most three bits; ``component_id`` is
     the smallest id that can be reached. Null, empty and blank texts have fingerprint zero and are
@@ -127,7 +129,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     labelled = labelled.select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = labelled.join(smallest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "tag", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -138,5 +140,6 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     """
     members = near_duplicates(docs, id, text)
     gone = members.where(F.col("component_id").isNotNull() & ~same(F.col("doc_id"), F.col("component_id")))
-    gone = gone.select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, same(docs[f"`{id}`"], gone["_gone_id"]), "left_anti")
+    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("tag").alias("_gone_tag")).distinct()
+    owner = same(docs[f"`{id}`"], gone["_gone_id"]) & (F.xxhash64(docs[f"`{text}`"]) == gone["_gone_tag"])
+    return docs.join(gone, owner, "left_anti")
