@@ -54,6 +54,10 @@ def conf_scope(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+# Folders of local sessions that name none, by application.
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 
@@ -64,9 +68,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="exportkit-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="exportkit-")
+    return _local_dirs[app]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
