@@ -15,9 +15,8 @@ from exportkit.llm.common import written
 
 def _rewritten(docs: DataFrame, result: DataFrame, text: Column) -> DataFrame:
     """The carried rows of ``result`` in the columns of ``docs``, with a new text and its length."""
-    rows = result.select("carried.*", text.alias("_new_text"))
-    chars = F.char_length("_new_text").cast("long")
-    return rows.withColumns({"text": F.col("_new_text"), "n_chars": chars}).select(docs.columns)
+    rows = result.select("carried.*", text.alias("text"))
+    return rows.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,10 +70,15 @@ def texts(column: pa.Array) -> Iterator[bytes]:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage: write to the shared folder and read again."""
+    """Cut lineage: write to the shared folder and read again.
+
+    The hint to collect garbage lets Spark's cleaner drop the shuffle files of the steps behind the
+    table, which nothing needs any more.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -95,11 +100,12 @@ def same(left: Column, right: Column) -> Column:
 def narrow(df: DataFrame, carry: bool = False, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names; anything else in ``df`` is ignored.
 
-    With ``carry``, whole rows travel along in a struct ``carried``, whatever their columns are called.
+    With ``carry``, all columns but the text travel along in a struct ``carried``, whatever their names.
     """
     kept = [F.col(f"`{source}`").alias(name) for name, source in columns.items()]
     if carry:
-        kept.append(F.struct(*(F.col(f"`{name}`") for name in df.columns)).alias("carried"))
+        rest = [F.col(f"`{name}`") for name in df.columns if name != columns.get("text")]
+        kept.append(F.struct(*rest).alias("carried"))
     return df.select(*kept)
 
 

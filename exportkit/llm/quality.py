@@ -75,8 +75,8 @@ def judge(
     windows of eight words; ``kept`` is false then, and also when the lines that were removed held
     more than ``max_lost_pct`` of the characters. Null text has no words: ``base_failed``, cleaned
     text null. Empty text has no words and stays empty. Null ids, equal rows and further columns
-    have no influence; an empty table gives an empty table. With ``carry`` the whole input row comes
-    along in ``carried``.
+    have no influence; an empty table gives an empty table. With ``carry`` the
+    input's other columns come along in ``carried``.
     """
     rows = narrow(docs, carry, doc_id=id, text=text)
     extra = carried(rows)

@@ -124,8 +124,8 @@ def scan(
     """``doc_id``, ``spans`` (array of start, end, kind; code points) and ``redacted`` text, per row.
 
     Null text is scanned as empty and stays null in ``redacted``. Each row is scanned by itself:
-    ids may be null or repeat, other columns are ignored, an empty table gives an empty table. With
-    ``carry`` the whole input row comes along in ``carried``.
+    ids may be null or repeat, other columns are ignored, an empty table gives an empty table. With ``carry`` the
+    input's other columns come along in ``carried``.
     """
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 

@@ -10,7 +10,8 @@ merges run bucket by bucket without a shuffle.
 
 Only suffixes whose beginning occurs more than once go on. Their full contexts (all bytes of the
 windows an anchor stands for) are compared: a context that occurs again is repeated throughout.
-What remains are the borders of repeated passages, and there every window is looked up by itself.
+What remains are the borders of repeated passages, and there every window is looked up by itself:
+the contexts of one key in one task, or, where a key has very many, every window as a row.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import uuid
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,10 @@ from .common import carried, carried_schema, drop_written, narrow, partitions, r
 _CODES = np.random.default_rng(0).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
+TASK_CONTEXTS = 8192  # contexts compared at once
+HOT_CONTEXTS = 20_000  # keys with more contexts are compared row by row
+
+
 @dataclass(frozen=True)
 class SuffixRules:
     length: int = 200  # bytes a repeated string has at least
@@ -129,18 +135,99 @@ class IndexFamily:
         delete_path(self.spark, self.root)
 
 
-def windows_of(spread: DataFrame, length: int) -> DataFrame:
-    """Every window of the given runs, hashed: ``key``, ``window``, ``start``, owner and ``n``."""
+def contexts_of(spread: DataFrame, length: int) -> DataFrame:
+    """The bytes of the given runs: all windows of a run, end to end."""
 
     def each(columns):
         owners = zip(columns["doc_id"], columns["tag"], texts(columns["text"]), columns["places"])
         for doc_id, tag, body, places in owners:
             owner = doc_id.as_py(), tag.as_py()
-            for place in places.as_py():
-                for start in range(place["first"], place["last"] + 1):
-                    yield place["key"], _xx(body[start : start + length]), start, place["n"], *owner
+            for p in places.as_py():
+                yield p["key"], p["hot"], p["n"], *owner, p["first"], body[p["first"] : p["last"] + length]
+
+    return rows_through_arrow(
+        spread, each, "key long, hot boolean, n long, doc_id long, tag long, first long, body binary"
+    )
+
+
+def _windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows, and how many each context has."""
+    counts = np.array([len(body) - length + 1 for body in bodies])
+    spots = ((body, s) for body, n in zip(bodies, counts.tolist()) for s in range(n))
+    return np.fromiter((_xx(body[s : s + length]) for body, s in spots), np.int64, int(counts.sum())), counts
+
+
+def _resolved(rows: pa.Table, length: int) -> dict:
+    """Spans of the windows that occur again; all contexts of a key are here."""
+    windows, counts = _windows([body.as_py() for body in rows["body"]], length)
+    owner = np.repeat(np.arange(rows.num_rows), counts)
+    offset = np.arange(len(windows)) - np.repeat(np.cumsum(counts) - counts, counts)
+    n = rows["n"].to_numpy()[owner]
+    _, same_window = np.unique(windows, return_inverse=True)
+    again = np.flatnonzero((np.bincount(same_window, weights=n)[same_window] > 1) & (n == 1))
+    owner, offset = owner[again], offset[again]
+    edge = np.flatnonzero((np.diff(owner) != 0) | (np.diff(offset) != 1))
+    start, stop = np.concatenate(([0], edge + 1)), np.concatenate((edge, [len(again) - 1]))
+    if not len(again):
+        start = stop = np.zeros(0, np.int64)
+    first = rows["first"].to_numpy()[owner[start]]
+    of = pa.array(owner[start])
+    return {
+        "doc_id": rows["doc_id"].take(of),
+        "tag": rows["tag"].take(of),
+        "start": first + offset[start],
+        "end": first + offset[stop] + length,
+    }
+
+
+def _resolve_in_tasks(contexts: DataFrame, length: int) -> DataFrame:
+    """Compare the contexts of each key where they arrive, sorted by key, some thousands at a time."""
+    columns = ("doc_id", "tag", "start", "end")
+    schema = pa.schema([(name, pa.int64()) for name in columns])
+    at_once = TASK_CONTEXTS
+
+    def run(batches):
+        held, rows = [], 0
+
+        def spans(table):
+            out = _resolved(table, length)
+            arrays = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else pa.array(x) for x in map(out.get, columns)]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, at_once):
+                held.append(batch.slice(at, at_once))
+                rows += held[-1].num_rows
+                if rows >= at_once:
+                    table = pa.Table.from_batches(held)
+                    keys = table["key"].to_numpy()
+                    whole = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
+                    if whole:
+                        yield spans(table.slice(0, whole))
+                    held, rows = table.slice(whole).to_batches(), table.num_rows - whole
+        if rows:
+            yield spans(pa.Table.from_batches(held))
+
+    ordered = contexts.repartition("key").sortWithinPartitions("key")
+    return ordered.mapInArrow(run, "doc_id long, tag long, start long, end long")
+
+
+def _resolve_in_rows(contexts: DataFrame, length: int) -> DataFrame:
+    """The same for keys with too many contexts for one task: every window is a row."""
+
+    def each(columns):
+        bodies = list(texts(columns["body"]))
+        windows, counts = _windows(bodies, length)
+        owner = np.repeat(np.arange(len(bodies)), counts)
+        offset = np.arange(len(windows)) - np.repeat(np.cumsum(counts) - counts, counts)
+        of = pa.array(owner)
+        start = columns["first"].to_numpy()[owner] + offset
+        yield {"window": windows, "start": start} | {name: columns[name].take(of) for name in ("n", "doc_id", "tag")}
 
-    return rows_through_arrow(spread, each, "key long, window long, start long, n long, doc_id long, tag long")
+    rows = through_arrow(contexts, each, "window long, start long, n long, doc_id long, tag long")
+    twice = rows.groupBy("window").agg(F.sum("n").alias("total")).where("total > 1").select("window")
+    again = rows.where("n = 1").join(twice, "window", "left_semi")
+    return again.select("doc_id", "tag", "start", (F.col("start") + length).alias("end"))
 
 
 def repeated_spans(docs: DataFrame, rules: SuffixRules) -> DataFrame:
@@ -163,15 +250,15 @@ def repeated_spans(docs: DataFrame, rules: SuffixRules) -> DataFrame:
     inside = shared.join(again, ["key", "context"], "left_semi")
     inside = inside.select("doc_id", "tag", F.col("first").alias("start"), (F.col("last") + rules.length).alias("end"))
 
-    several = contexts.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1").select("key")
-    borders = contexts.join(several, "key", "left_semi").select("key", "n", "place.*")
-    places = F.collect_list(F.struct("key", "first", "last", "n")).alias("places")
+    several = contexts.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    several = several.select("key", (F.col("contexts") > HOT_CONTEXTS).alias("hot"))
+    borders = contexts.join(several, "key").select("key", "hot", "n", "place.*")
+    places = F.collect_list(F.struct("key", "hot", "first", "last", "n")).alias("places")
     spread = _with_owner(docs, borders.groupBy("doc_id", "tag").agg(places))
-    windows = written(windows_of(spread, rules.length), "suffix-windows")
-    twice = windows.groupBy("key", "window").agg(F.sum("n").alias("total")).where("total > 1").select("key", "window")
-    single = windows.where("n = 1").join(twice, ["key", "window"], "left_semi")
-    single = single.select("doc_id", "tag", "start", (F.col("start") + rules.length).alias("end"))
-    return inside.unionByName(single)
+    bodies = written(contexts_of(spread, rules.length), "suffix-borders")
+    border = _resolve_in_tasks(bodies.where("not hot"), rules.length)
+    border = written(border.unionByName(_resolve_in_rows(bodies.where("hot"), rules.length)), "suffix-border-spans")
+    return inside.unionByName(border)
 
 
 def _with_owner(docs: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
@@ -191,7 +278,8 @@ def deduplicate(
     well, in the same document or another. Null text counts as empty and texts shorter than
     ``length`` keep all bytes. Repeated rows are occurrences of their text like any other, so a
     row that occurs twice loses what it repeats; ids may be null; other columns are ignored; an
-    empty table gives an empty table. With ``carry`` the whole input row comes along in ``carried``.
+    empty table gives an empty table. With ``carry`` the
+    input's other columns come along in ``carried``.
     """
     keyed = _keyed(docs, id, text, carry)
     extra = carried(keyed)
