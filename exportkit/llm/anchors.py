@@ -30,24 +30,38 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes ^= hashes >> np.uint64(31)
+    hashes *= _MIX
+    hashes ^= hashes >> np.uint64(29)
+    return hashes
+
+
 class _Rolling:
     """Polynomial hashes of all grams of a block, modulo 2**64, mixed to spread their order."""
 
     def __init__(self) -> None:
         self.size, self.up, self.down = 0, None, None
 
-    def grams(self, symbols: np.ndarray, gram: int) -> np.ndarray:
-        if len(symbols) > self.size:
-            self.size = max(len(symbols), 1 << 16)
+    def _grow(self, n: int) -> None:
+        if n > self.size:
+            self.size = max(n, 1 << 16)
             self.up = _powers(int(_BASE), self.size)
             self.down = _powers(_inverse(int(_BASE)), self.size)
+
+    def grams(self, symbols: np.ndarray, gram: int) -> np.ndarray:
+        self._grow(len(symbols))
+        sums = np.zeros(len(symbols) + 1, np.uint64)
+        np.cumsum(symbols * self.up[: len(symbols)], out=sums[1:])
+        return _mixed((sums[gram:] - sums[:-gram]) * self.down[: len(symbols) - gram + 1])
+
+    def stretches(self, symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the stretches ``[start, end)``, of whatever length."""
+        self._grow(len(symbols))
         sums = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum(symbols * self.up[: len(symbols)], out=sums[1:])
-        hashes = (sums[gram:] - sums[:-gram]) * self.down[: len(symbols) - gram + 1]
-        hashes ^= hashes >> np.uint64(31)
-        hashes *= _MIX
-        hashes ^= hashes >> np.uint64(29)
-        return hashes
+        lengths = (end - start).astype(np.uint64)
+        return _mixed((sums[end] - sums[start]) * self.down[start] + lengths * _BASE)
 
 
 _rolling = _Rolling()
@@ -96,6 +110,23 @@ def runs(symbols: np.ndarray, width: int, gram: int) -> Runs:
     return Runs(*(np.concatenate(columns) for columns in zip(*parts)))
 
 
+def stretches(symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of a sequence."""
+    return _rolling.stretches(symbols, start, end)
+
+
+def within(found: Runs, owner: np.ndarray, width: int) -> Runs:
+    """Runs over sequences laid end to end, cut to the windows inside one of them.
+
+    ``owner`` numbers the sequence of each symbol. An anchor lies in one sequence, so the whole
+    windows of a run belong to that sequence alone and stand side by side.
+    """
+    whole = np.flatnonzero(owner[: len(owner) - width + 1] == owner[width - 1 :])
+    low, high = np.searchsorted(whole, found.first), np.searchsorted(whole, found.last, side="right") - 1
+    kept = high >= low
+    return Runs(found.key[kept], found.anchor[kept], whole[low[kept]], whole[high[kept]])
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs of the union of half-open spans; touching ones join."""
     out: list[tuple[int, int]] = []

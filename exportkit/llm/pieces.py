@@ -24,7 +24,7 @@ from .common import narrow, rows_through_arrow
 
 SPACE = "▁"
 LONG_UNIT = 256  # characters; longer units use the heap
-BLOCK_CHARS = 1 << 19
+BLOCK_CHARS = 1 << 17
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -70,6 +70,14 @@ class Vocabulary:
             if len(text) == 1 and text != SPACE:
                 self.char_id[ord(text)] = i
         self.space = ids[SPACE]
+        spelled = [b""] * n
+        for i, text in self.piece.items():
+            spelled[i] = text.replace(SPACE, " ").encode()
+        for i, byte in self.byte_id.items():
+            spelled[i] = bytes([byte])
+        self.byte_lengths = np.array([len(x) for x in spelled])
+        self.byte_starts = np.cumsum(self.byte_lengths) - self.byte_lengths
+        self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
         left, right, joined = [], [], []
         for text, i in ids.items():
             for cut in range(1, len(text)):
@@ -219,7 +227,7 @@ class Encoder:
         short = lengths <= LONG_UNIT
         look(np.flatnonzero(~last & short[unit]))
         # Candidates only, in text order; units stay contiguous.
-        candidates = np.flatnonzero(score < no_rank)
+        candidates, touched = np.flatnonzero(score < no_rank), np.zeros(n, bool)
         while len(candidates):
             owner = unit[candidates]
             edge = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
@@ -241,8 +249,14 @@ class Encoder:
             look(left[inner])
             previous = before[left]
             look(previous[previous >= 0])
-            fresh = np.concatenate((left[inner], previous[previous >= 0]))
-            candidates = np.union1d(candidates[score[candidates] < no_rank], fresh[score[fresh] < no_rank])
+            touched[candidates] = touched[left[inner]] = touched[previous[previous >= 0]] = True
+            # While many units are busy a pass over the block is cheaper than sorting places.
+            if len(candidates) * 8 > n:
+                places = np.flatnonzero(touched)
+            else:
+                places = np.unique(np.concatenate((candidates, left[inner], previous[previous >= 0])))
+            touched[places] = False
+            candidates = places[score[places] < no_rank]
         for u in np.flatnonzero(~short):
             self._heap(u, unit, ids, offset, end, keys, live)
         rest = np.flatnonzero(live)
@@ -290,11 +304,11 @@ class Encoder:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text that was encoded."""
-        words, out = self.words, []
-        for i in ids:
-            byte = words.byte_id.get(int(i))
-            out.append(bytes([byte]) if byte is not None else words.piece[int(i)].replace(SPACE, " ").encode())
-        return b"".join(out).decode("utf-8", "surrogatepass")[1:]
+        words = self.words
+        lengths = words.byte_lengths[ids]
+        behind = np.cumsum(lengths)
+        inside = np.arange(int(behind[-1]) if len(ids) else 0) - np.repeat(behind - lengths, lengths)
+        return words.bytes[np.repeat(words.byte_starts[ids], lengths) + inside].tobytes().decode("utf-8", "surrogatepass")[1:]
 
 
 def encode(docs: DataFrame, rules: PieceRules = PieceRules(), id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -86,7 +86,7 @@ def near_on_a_half(nodes: DataFrame) -> DataFrame:
         keys.append(nodes.select("fp", key).withColumn("side", F.lit(side)))
     rows = keys[0].unionByName(keys[1])
     shared = rows.groupBy("side", "key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-    shared = shared.where("low <> high").select("side", "key")
+    shared = written(shared.where("low <> high").select("side", "key"), "simhash-halves")
     return rows.join(shared, ["side", "key"], "left_semi").select("fp").distinct()
 
 
@@ -106,7 +106,7 @@ def links(nodes: DataFrame) -> DataFrame:
     meets = balls.groupBy("variant").agg(
         F.min("fp").alias("low"), F.max("fp").alias("high"), F.min(F.when(F.col("close"), F.col("fp"))).alias("hub")
     )
-    meets = meets.where("low <> high and hub is not null").select("variant", "hub")
+    meets = written(meets.where("low <> high and hub is not null").select("variant", "hub"), "simhash-meets")
     found = balls.join(meets, "variant").where("fp <> hub")
     found = found.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= RADIUS)
     return found.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()

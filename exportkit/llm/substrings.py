@@ -19,9 +19,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import Runs, merged, runs
+from .anchors import Runs, merged, runs, stretches, within
 from .common import narrow, rows_through_arrow, same, texts, through_arrow, written
 
+BLOCK_WORDS = 1 << 17  # words of documents that are laid end to end
 _TAG_BITS = 16
 _FIRST_BITS = 36
 
@@ -50,7 +51,7 @@ def _keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
     return rows.withColumn("tag", F.xxhash64("text").bitwiseAND(F.lit((1 << _TAG_BITS) - 1)))
 
 
-def _place(tag: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+def _place(tag: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Tag, first window and number of further windows in one number."""
     return (tag << (_FIRST_BITS + 11)) | (first << 11) | (last - first)
 
@@ -89,28 +90,36 @@ def entries(docs: DataFrame, rules: WindowRules, gram: int) -> DataFrame:
     """Runs of windows of all documents with an id; with a column ``alive``, only of those windows."""
     limited = "alive" in docs.columns
 
+    def block(held):
+        """Entries of some documents laid end to end."""
+        sizes = np.array([len(codes) for _, _, codes, _ in held])
+        codes, begin = np.concatenate([codes for _, _, codes, _ in held]), np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(held)), sizes)
+        found = within(runs(codes, rules.window, gram), owner, rules.window)
+        if limited:
+            shifted = [(a + at, b + at) for at, (*_, spans) in zip(begin.tolist(), held) for a, b in spans]
+            found = _clipped(found, shifted)
+        of = owner[found.first]
+        tags, ids = (np.array([row[i] for row in held], np.int64)[of] for i in (1, 0))
+        context = stretches(codes, found.first, found.last + rules.window)
+        place = _place(tags, found.first - begin[of], found.last - begin[of])
+        return {"key": found.key.view(np.int64), "context": context.view(np.int64), "doc_id": ids, "place": place}
+
     def each(columns):
-        out, size = [], 0
+        held, size = [], 0
         alive = columns["alive"] if limited else columns["doc_id"]
         for doc_id, tag, body, spans in zip(columns["doc_id"], columns["tag"], texts(columns["text"]), alive):
             words = body.split()
             if len(words) < rules.window or doc_id.as_py() is None:
                 continue
-            codes = _codes(words)
             kept = merged([(s["start"], s["end"]) for s in spans.as_py()]) if limited else None
-            found = _clipped(runs(codes, rules.window, gram), kept)
-            data, bounds = codes.tobytes(), zip(found.first.tolist(), (found.last + rules.window).tolist())
-            context = [xxhash.xxh3_64_intdigest(data[8 * a : 8 * b]) for a, b in bounds]
-            n = len(context)
-            owner = np.full(n, doc_id.as_py(), np.int64)
-            place = _place(tag.as_py(), found.first, found.last)
-            out.append((found.key.view(np.int64), np.array(context, np.uint64).view(np.int64), owner, place))
-            size += n
-            if size >= 1 << 18:
-                yield dict(zip(("key", "context", "doc_id", "place"), map(np.concatenate, zip(*out))))
-                out, size = [], 0
-        if size:
-            yield dict(zip(("key", "context", "doc_id", "place"), map(np.concatenate, zip(*out))))
+            held.append((doc_id.as_py(), tag.as_py(), _codes(words), kept))
+            size += len(words)
+            if size >= BLOCK_WORDS:
+                yield block(held)
+                held, size = [], 0
+        if held:
+            yield block(held)
 
     return through_arrow(docs, each, "key long, context long, doc_id long, place long")
 
@@ -118,7 +127,8 @@ def entries(docs: DataFrame, rules: WindowRules, gram: int) -> DataFrame:
 def _survivors(rows: DataFrame, label: str) -> DataFrame:
     """Entries whose gram occurs in a second document."""
     seen = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    return written(rows.join(seen.where("low <> high").select("key"), "key", "left_semi"), label)
+    seen = written(seen.where("low <> high").select("key"), f"{label}-keys")
+    return written(rows.join(seen, "key", "left_semi"), label)
 
 
 def _with_owner(docs: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
@@ -164,6 +174,7 @@ def repeated_spans(docs: DataFrame, rules: WindowRules) -> DataFrame:
     spread = _with_owner(docs, borders.groupBy("doc_id", "tag").agg(places))
     windows = written(windows_of(spread, rules.window), "windows-borders")
     earliest = windows.groupBy("key", "window").agg(F.min("doc_id").alias("earliest"))
+    earliest = written(earliest, "windows-earliest")
     known = windows.join(earliest, ["key", "window"]).where("doc_id > earliest")
     known = known.select("key", "context", "step", F.col("doc_id").alias("owner")).distinct()
     again = _unpacked(known.join(shared, ["key", "context"]).where("doc_id = owner"))

@@ -240,7 +240,8 @@ def repeated_spans(docs: DataFrame, rules: SuffixRules) -> DataFrame:
     keys = matches[0]
     for found in matches[1:]:
         keys = keys.unionByName(found)
-    shared = written(suffixes.drop("batch").join(keys.distinct(), "key", "left_semi"), "suffix-shared")
+    keys = written(keys.distinct(), "suffix-keys")  # a plain side, so that a skewed key can be split
+    shared = written(suffixes.drop("batch").join(keys, "key", "left_semi"), "suffix-shared")
     drop_written(suffixes)
 
     place = F.struct("doc_id", "tag", "first", "last")

@@ -36,6 +36,7 @@ def odd_rows():
         (14, "☃" * 300),
         (-5, "Before it " + passage + " after that."),
         (7, "another text under an id that is taken"),
+        *((20 + i, " ".join(words[300 + i % 2 : 314 + i % 3])) for i in range(9)),
     ]
     return rows
 
