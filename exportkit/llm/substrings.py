@@ -195,7 +195,7 @@ def deduplicate(
     """
     keyed = _keyed(docs, id, text)
     spans = repeated_spans(keyed, rules).groupBy("doc_id", "tag")
-    spans = spans.agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = written(spans.agg(F.collect_set(F.struct("start", "end")).alias("spans")), "windows-spans")
     joined = _with_owner(keyed, spans, "left")
 
     def each(columns):

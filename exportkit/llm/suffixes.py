@@ -285,7 +285,7 @@ def deduplicate(
     keyed = _keyed(docs, id, text, carry)
     extra = carried(keyed)
     spans = repeated_spans(keyed.drop("carried"), rules).groupBy("doc_id", "tag")
-    spans = spans.agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = written(spans.agg(F.collect_set(F.struct("start", "end")).alias("spans")), "suffix-spans")
     joined = _with_owner(keyed, spans, "left")
 
     def each(columns):
