@@ -12,10 +12,10 @@ def _stars(links: DataFrame) -> DataFrame:
     """One large-star step and one small-star step over links ``(a, b)`` with ``a > b``."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-    large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    large = both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     large = large.where("a <> b").distinct()
     least = large.groupBy("a").agg(F.min("b").alias("m"))
-    small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    small = large.join(least.hint("merge"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return small.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -8,6 +8,8 @@ Which of two emits the larger ball is fixed by parity: three differing bits make
 even and the other odd, and one or two are bridged by single flips from both sides. Odd ones flip
 two bits (both in the same half, as two of any three bits are), even ones one bit.
 
+Joins are sort-merge joins by hint: no side has a size bound that would allow a broadcast.
+
 Variants are only emitted for fingerprints that have another one nearby on one half, exactly or
 with one bit flipped. A pair within three bits always agrees that far on one of its halves, so
 nothing is lost, and lonely fingerprints cost 34 small rows instead of a thousand.
@@ -87,7 +89,7 @@ def near_on_a_half(nodes: DataFrame) -> DataFrame:
     rows = keys[0].unionByName(keys[1])
     shared = rows.groupBy("side", "key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
     shared = written(shared.where("low <> high").select("side", "key"), "simhash-halves")
-    return rows.join(shared, ["side", "key"], "left_semi").select("fp").distinct()
+    return rows.join(shared.hint("merge"), ["side", "key"], "left_semi").select("fp").distinct()
 
 
 def links(nodes: DataFrame) -> DataFrame:
@@ -107,7 +109,7 @@ def links(nodes: DataFrame) -> DataFrame:
         F.min("fp").alias("low"), F.max("fp").alias("high"), F.min(F.when(F.col("close"), F.col("fp"))).alias("hub")
     )
     meets = written(meets.where("low <> high and hub is not null").select("variant", "hub"), "simhash-meets")
-    found = balls.join(meets, "variant").where("fp <> hub")
+    found = balls.join(meets.hint("merge"), "variant").where("fp <> hub")
     found = found.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= RADIUS)
     return found.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
 
@@ -125,11 +127,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     near = written(near_on_a_half(nodes.select("fp")), "simhash-near")
     roots = components(links(near), "simhash-links")
-    labelled = nodes.join(roots, nodes["fp"] == roots["node"], "left")
+    labelled = nodes.join(roots.hint("merge"), nodes["fp"] == roots["node"], "left")
     labelled = labelled.select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = labelled.join(smallest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "tag", "fp", "component_id")
+    classes = labelled.join(smallest.hint("merge"), "root").select("fp", "component_id")
+    return prints.join(classes.hint("merge"), "fp").select("doc_id", "tag", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -142,4 +144,4 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     gone = members.where(F.col("component_id").isNotNull() & ~same(F.col("doc_id"), F.col("component_id")))
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("tag").alias("_gone_tag")).distinct()
     owner = same(docs[f"`{id}`"], gone["_gone_id"]) & (F.xxhash64(docs[f"`{text}`"]) == gone["_gone_tag"])
-    return docs.join(gone, owner, "left_anti")
+    return docs.join(gone.hint("merge"), owner, "left_anti")
