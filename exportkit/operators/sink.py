@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..functions.schema import coerce_timestamps
 from ..options import LayoutOptions, ParquetOptions, UnloadOptions
-from ..session import conf_scope
+from ..session import conf_scope, delete_path, hadoop_path
 from .fingerprint import ROW_HASH, SUMS, hash_sums, row_hash
 from .shards import Shards, SingleShard
 
@@ -22,6 +23,7 @@ ROW_SIZE_PROBE = 1_000
 # What an unquoted empty CSV field (NULL) becomes inside the reader. Left at its default it
 # could not be told from a quoted empty one (empty text).
 UNQUOTED_EMPTY = "\u0000null\u0000"
+LONE_NULL = "\\N"
 
 
 @dataclass(frozen=True)
@@ -121,10 +123,11 @@ def write_export(
         assigned = assigned.hint("rebalance", *keys)
     elif layout.spread:
         assigned = dealt_out(assigned)
+    assigned = _no_empty_directory(assigned, partition_by)
     # Behind the exchange, so that all writing tasks share the work.
     assigned = coerce_timestamps(assigned, parquet.coerce_timestamps)
 
-    def write(out: DataFrame) -> None:
+    def write(out: DataFrame, target: str) -> None:
         # A writer option, not a session setting: another export that runs in the same
         # session must never turn a partial overwrite into a full one.
         overwrites = "dynamic" if keep_other_partitions else "static"
@@ -133,15 +136,52 @@ def write_export(
             writer = writer.option("maxRecordsPerFile", layout.max_records_per_file)
         if keys:
             writer = writer.partitionBy(*keys)
-        writer.parquet(path)
+        writer.parquet(target)
 
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(layout.target_file_bytes),
-        "spark.sql.parquet.outputTimestampType": (
-            "TIMESTAMP_MILLIS" if parquet.coerce_timestamps == "ms" else "TIMESTAMP_MICROS"
-        ),
+        # The same for every export: values are cut by the projection above, so exports that
+        # run side by side cannot cut each other's, and nested values stay as they are.
+        "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     }
-    return _run_write(assigned, Written(path, schema), settings, checksum, write)
+    whole = mode == "overwrite" and not keep_other_partitions
+    written = Written(path, schema)
+    if not whole:
+        return _run_write(assigned, written, settings, checksum, lambda out: write(out, path))
+    with replacing(df.sparkSession, path) as staged:
+        return _run_write(assigned, written, settings, checksum, lambda out: write(out, staged))
+
+
+def _no_empty_directory(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Refuse empty text in a directory column: it would come back as NULL."""
+    for name in columns:
+        if isinstance(df.schema[name].dataType, StringType):
+            refusal = F.raise_error(F.lit(f"empty text in {name} cannot be a directory name"))
+            df = df.withColumn(name, F.when(F.col(f"`{name}`") == "", refusal).otherwise(F.col(f"`{name}`")))
+    return df
+
+
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder to write to, which takes the place of ``path`` once the block has succeeded.
+
+    A failed attempt is removed and leaves what was there before untouched.
+    """
+    fs, target = hadoop_path(spark, path)
+    staged, before = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("attempt", "before"))
+    try:
+        yield staged
+    except BaseException:
+        delete_path(spark, staged)
+        raise
+    new, old = hadoop_path(spark, staged)[1], hadoop_path(spark, before)[1]
+    there = fs.exists(target)
+    if there and not fs.rename(target, old):
+        raise OSError(f"{path} cannot be moved aside for its next attempt, which is complete at {staged}")
+    if not fs.rename(new, target):
+        raise OSError(f"{staged} cannot be moved to {path}; what was there before is at {before}")
+    if there:
+        fs.delete(old, True)
 
 
 def records_per_file(df: DataFrame, max_bytes: int) -> int:
@@ -176,6 +216,15 @@ def csv_options(header: bool) -> dict:
     }
 
 
+def _lone_null(schema: StructType) -> dict:
+    """NULL in a table of one column would be a blank line, which readers skip: it gets a mark."""
+    return {"nullValue": LONE_NULL} if len(schema) == 1 else {}
+
+
+def _lone_text_column(schema: StructType) -> str | None:
+    return schema[0].name if len(schema) == 1 and isinstance(schema[0].dataType, StringType) else None
+
+
 def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, checksum: bool = False) -> Written:
     """Distributed write without shards: Spark decides on the files.
 
@@ -200,20 +249,28 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
     elif options.single or options.spread:
         df = dealt_out(df)
 
-    def write(out: DataFrame) -> None:
-        writer = out.write.mode("overwrite" if options.overwrite else "errorifexists")
+    lone_text = _lone_text_column(schema) if options.format == "csv" else None
+    if lone_text:
+        mark = F.raise_error(F.lit(f"the text {LONE_NULL!r} stands for NULL in a CSV of one column"))
+        df = df.withColumn(lone_text, F.when(F.col(f"`{lone_text}`") == LONE_NULL, mark).otherwise(F.col(f"`{lone_text}`")))
+
+    def write(out: DataFrame, path: str) -> None:
+        writer = out.write.mode("errorifexists")
         writer = writer.option("partitionOverwriteMode", "static")
         if records:
             writer = writer.option("maxRecordsPerFile", records)
         if options.format == "parquet":
             writer.options(**ParquetOptions(compression=options.codec).writer_options()).parquet(path)
         elif options.format == "csv":
-            writer.options(compression=options.codec, **csv_options(options.header)).csv(path)
+            writer.options(compression=options.codec, **csv_options(options.header), **_lone_null(schema)).csv(path)
         else:
             writer.options(compression=options.codec, ignoreNullFields=False, **TEXT_TIMES).json(path)
 
     plan = Written(path, schema, format=options.format, header=options.header)
-    return _run_write(df, plan, settings, checksum, write)
+    if not options.overwrite:
+        return _run_write(df, plan, settings, checksum, lambda out: write(out, path))
+    with replacing(df.sparkSession, path) as staged:
+        return _run_write(df, plan, settings, checksum, lambda out: write(out, staged))
 
 
 def read_export(spark: SparkSession, written: Written) -> DataFrame:
@@ -221,6 +278,7 @@ def read_export(spark: SparkSession, written: Written) -> DataFrame:
     reader = spark.read.schema(written.schema)
     if written.format == "csv":
         options = {**csv_options(written.header), "multiLine": True, "nullValue": UNQUOTED_EMPTY}
+        options |= _lone_null(written.schema)
         return reader.options(**options).csv(written.path)
     if written.format == "json":
         return reader.options(**TEXT_TIMES).json(written.path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
@@ -35,9 +35,24 @@ def first_run_value(kind: DataType) -> str:
     raise ValueError(f"{kind.simpleString()} cannot be a window column")
 
 
+def as_text(value: Column, type_name: str) -> Column:
+    """A bound as text that means the same in every session: instants carry their offset."""
+    if type_name == "timestamp":
+        return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")
+    return value.cast("string")
+
+
+def fixed_text(spark: SparkSession, text: str, type_name: str) -> str:
+    """``text``, read in this session, as a bound that other sessions read alike."""
+    if type_name != "timestamp":
+        return text
+    return spark.range(1).select(as_text(F.lit(text).cast(type_name), type_name)).first()[0] or text
+
+
 def upper_bound(df: DataFrame, column: str) -> str | None:
-    """``MAX(column)`` as text (blank between date and time, microseconds kept), or ``None``."""
-    return df.agg(F.max(column).cast("string").alias("now")).first()["now"]
+    """``MAX(column)`` as text (see ``as_text``), or ``None``."""
+    type_name = df.schema[column].dataType.simpleString()
+    return df.agg(as_text(F.max(column), type_name).alias("now")).first()["now"]
 
 
 def window(df: DataFrame, column: str, bounds: Bounds, lateness: str | None = None) -> DataFrame:

@@ -1,6 +1,5 @@
 from .catalog import (
     Catalog,
-    common_directory,
     latest_per_uri,
     manifest_location,
     publish,
@@ -18,7 +17,6 @@ __all__ = [
     "RunLog",
     "RunResult",
     "StateTable",
-    "common_directory",
     "latest_per_uri",
     "manifest_location",
     "publish",

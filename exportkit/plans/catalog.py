@@ -25,11 +25,6 @@ CATALOG_SCHEMA = f"{INVENTORY_SCHEMA}, path string, exported_at timestamp, job s
 MANIFEST_VERSION = 1
 MANIFEST_NAME = "_manifest.json"
 
-# Lists up to this many files are written into the manifest or handed to the reader as
-# paths. Longer ones stay distributed: a side table of the manifest, a semi-join on reading.
-INLINE_FILES = 10_000
-
-MANIFEST_FILE = "shard_index int, remote_uri string, rows bigint, bytes bigint, md5 string, skipped boolean"
 MANIFEST_DOCUMENT = (
     "version int, exported_at string, total_rows bigint, total_bytes bigint, files array<struct<"
     "shard_index: int, remote_uri: string, rows: bigint, bytes: bigint, md5: string, skipped: boolean>>"
@@ -74,13 +69,18 @@ class Catalog:
         attempts = self.entries().filter((F.col("job") == job) & (F.col("run_id") == run_id))
         return attempts.filter(F.col("exported_at") == attempts.agg(F.max("exported_at")).scalar())
 
-    def current(self) -> DataFrame:
+    def current(self, job: str | None = None, path: str | None = None) -> DataFrame:
         """Entries that describe what lies in the export paths now, skipped ones left out.
 
         A full run replaces its whole path; a run that skipped shards replaces only the
-        shards it wrote. Everything older is gone from the path and from this view.
+        shards it wrote. Everything older is gone from the path and from this view. ``job`` and
+        ``path`` limit the history that is read.
         """
         entries = self.entries()
+        if job is not None:
+            entries = entries.filter(F.col("job") == job)
+        if path is not None:
+            entries = entries.filter(F.col("path") == qualify(self.spark, path))
         place = ["job", "path"]
         attempts = entries.groupBy(*place, "exported_at").agg(F.max("skipped").alias("partial"))
         since = attempts.filter(~F.col("partial")).groupBy(*place).agg(F.max("exported_at").alias("since"))
@@ -88,18 +88,31 @@ class Catalog:
         newest = data.groupBy(*place, SHARD).agg(F.max("exported_at").alias("exported_at"))
         return data.drop("since").join(newest, [*place, SHARD, "exported_at"], "left_semi").select(*entries.columns)
 
-    def latest_files(self) -> DataFrame:
+    def latest_files(self, job: str | None = None, path: str | None = None) -> DataFrame:
         """The cumulative catalog: every data file that is in place, over all jobs and runs."""
-        return self.current().filter(F.col("uri") != "")
+        return self.current(job, path).filter(F.col("uri") != "")
 
     def run_files(self, job: str, run_id: str) -> DataFrame:
-        """Files that make up a run, with true row counts also for skipped shards."""
-        uris = self.run(job, run_id).filter(F.col("uri") != "").select("uri")
-        return self.latest_files().join(uris, "uri", "left_semi")
+        """Files that make up a run, with true row counts also for skipped shards.
+
+        Raises ``ValueError`` when a later run has replaced some of them: what is left would be
+        less than the run wrote.
+        """
+        own = self.run(job, run_id).filter(F.col("uri") != "")
+        here = self.latest_files(job)
+        gone = own.join(here.select("uri"), "uri", "left_anti").agg(
+            F.count("*").alias("files"), F.max("path").alias("path"), F.max("exported_at").alias("at")
+        )
+        lost = gone.first()
+        if lost["files"]:
+            later = self.entries().filter((F.col("job") == job) & (F.col("path") == lost["path"]))
+            newer = later.filter(F.col("exported_at") > F.lit(lost["at"])).agg(F.max_by("run_id", "exported_at")).first()[0]
+            raise ValueError(f"{lost['files']} files of run {run_id!r} of {job!r} were replaced by run {newer!r}")
+        return here.join(own.select("uri"), "uri", "left_semi")
 
     def files_in(self, job: str, path: str) -> DataFrame:
         """Current entries of one export path."""
-        return self.latest_files().filter((F.col("job") == job) & (F.col("path") == qualify(self.spark, path)))
+        return self.latest_files(job, path)
 
     def landed_shards(self, job: str, path: str) -> list[int]:
         """Shards of ``job`` that are complete under ``path``; as long as the shard layout.
@@ -135,20 +148,16 @@ def latest_per_uri(entries: DataFrame) -> DataFrame:
 def read_files(files: DataFrame, base: str, schema: StructType, verify: bool = True) -> DataFrame:
     """Rows of the files listed by ``Catalog.run_files``, not of whatever lies in a folder.
 
-    ``base`` is the export path, so that partition columns are found. Few files are read by
-    path; beyond ``INLINE_FILES`` the directory is scanned and kept to the listed files by a
-    semi-join. ``verify`` compares the row total with the catalog (footers only).
+    ``base`` is the export path, so that partition columns are found. Files are read by path; the
+    list is no longer than the one Spark keeps on the driver for any scan. ``verify`` compares
+    the row total with the catalog (footers only).
     """
     spark = files.sparkSession
     total = files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
     reader = spark.read.schema(schema).option("basePath", base)
     if total["files"] == 0:
         return small_table(spark, [], schema)
-    if total["files"] <= INLINE_FILES:
-        data = reader.parquet(*[unquote(r["uri"]) for r in files.select("uri").collect()])
-    else:
-        scanned = reader.parquet(base).withColumn("_uri", F.col("_metadata.file_path"))
-        data = scanned.join(files.select(F.col("uri").alias("_uri")), "_uri", "left_semi").drop("_uri")
+    data = reader.parquet(*[unquote(r["uri"]) for r in files.select("uri").collect()])
     if verify:
         found = data.count()
         if found != total["rows"]:
@@ -166,18 +175,6 @@ def manifest_location(path: str | None, explicit: str | None = None) -> str | No
     return f"{path.rstrip('/')}/{MANIFEST_NAME}" if path else None
 
 
-def common_directory(paths: list[str]) -> str:
-    """Longest shared directory of some paths, without a trailing slash."""
-    if not paths:
-        return ""
-    shared = []
-    for level in zip(*[p.split("/")[:-1] for p in paths]):
-        if len(set(level)) > 1:
-            break
-        shared.append(level[0])
-    return "/".join(shared)
-
-
 def plain_uri(column: str) -> Column:
     """A catalog URI without percent escapes: the name the store itself uses."""
     return F.url_decode(F.replace(F.col(column), F.lit("+"), F.lit("%2B")))
@@ -192,26 +189,18 @@ def publish(
 ) -> dict[str, Any]:
     """Write the manifest of one run's entries and return the document.
 
-    Files are sorted by shard. Beyond ``INLINE_FILES`` entries the document holds
-    ``files_uri``, a JSON-lines folder that Spark writes in parallel, instead of ``files``.
+    Files are sorted by shard. The format is the same whatever their number.
     """
     spark = entries.sparkSession
     listed = manifest_files(entries).orderBy(SHARD, "remote_uri")
-    inline = [r.asDict() for r in listed.limit(INLINE_FILES + 1).collect()]
-    total = {"rows": sum(r["rows"] for r in inline), "bytes": sum(r["bytes"] for r in inline)}
-    if len(inline) > INLINE_FILES:
-        total = listed.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).first()
+    files = [r.asDict() for r in listed.collect()]
     document: dict[str, Any] = {
         "version": MANIFEST_VERSION,
         "exported_at": (exported_at or datetime.now(timezone.utc)).isoformat(),
-        "total_rows": total["rows"],
-        "total_bytes": total["bytes"],
+        "total_rows": sum(f["rows"] for f in files),
+        "total_bytes": sum(f["bytes"] for f in files),
+        "files": files,
     }
-    if len(inline) <= INLINE_FILES:
-        document["files"] = inline
-    else:
-        document["files_uri"] = f"{location}.files"
-        listed.write.mode("overwrite").json(document["files_uri"])
     if extra:
         document["extra"] = extra
     write_text_atomically(spark, location, json.dumps(document, indent=2))
@@ -223,7 +212,5 @@ def read_manifest(spark: SparkSession, location: str) -> DataFrame:
     text = read_text(spark, location)
     head = json.loads(text)
     stamp = F.lit(head["exported_at"]).cast("timestamp").alias("exported_at")
-    if "files_uri" in head:
-        return spark.read.schema(MANIFEST_FILE).json(head["files_uri"]).select("*", stamp)
     document = small_table(spark, [(text,)], "text string").select(F.from_json("text", MANIFEST_DOCUMENT).alias("m"))
     return document.select(F.explode("m.files").alias("file")).select("file.*", stamp)

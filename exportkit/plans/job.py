@@ -17,7 +17,7 @@ from ..operators import inventory as inv
 from ..operators import metrics
 from ..operators.shards import SHARD, Shards, SingleShard
 from ..operators.sink import Written, checked_path, unload, write_export
-from ..operators.windows import FIRST_RUN, Bounds, first_run_value, upper_bound, window
+from ..operators.windows import FIRST_RUN, Bounds, first_run_value, fixed_text, upper_bound, window
 from ..options import LayoutOptions, ParquetOptions, UnloadOptions
 from ..session import delete_path
 from ..sources.sql import SqlSource, scalar
@@ -108,8 +108,15 @@ class ExportJob:
                 missing = [m for m in WINDOW_MARKERS if f":{m}" not in self.source.template]
                 if missing:
                     raise ValueError(f"the template does not use :{missing[0]}")
+        if windowed and self.incremental.column is None and not self._source_sees_window():
+            raise ValueError("this source cannot see the window: give a window column")
         checked_path(self.base, self.path.replace("{run_id}", "run"))
 
+    def _source_sees_window(self) -> bool:
+        if isinstance(self.source, SqlSource):
+            return bool(self.source.template)
+        return bool(getattr(self.source, "windowed", False))
+
     # ------------------------------------------------------------------ steps
 
     def run(self, spark: SparkSession, run_id: str, values: dict[str, Any] | None = None) -> RunResult:
@@ -189,12 +196,13 @@ class ExportJob:
             now = scalar(spark, rule.watermark_query, params)
         else:
             now = upper_bound(source, rule.column)
-        return state.record(self.name, run_id, Bounds(prev, prev if now is None else now, type_name)), False
+        prev, now = (fixed_text(spark, text, type_name) for text in (prev, prev if now is None else now))
+        return state.record(self.name, run_id, Bounds(prev, now, type_name)), False
 
     def _rows(self, spark, bounds: Bounds | None, values) -> DataFrame:
         if bounds is not None:
             values = {**values, "watermark_prev": bounds.prev, "watermark_now": bounds.now}
-            if not (isinstance(self.source, SqlSource) and self.source.template):
+            if not self._source_sees_window():
                 values = {k: v for k, v in values.items() if k not in WINDOW_MARKERS}
         df = self.source.load(spark, values)
         if bounds is not None and self.incremental.column is not None:

@@ -10,9 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class FrameSource:
-    """Anything the DataFrame API can read or compute. ``build`` runs once per export."""
+    """Anything the DataFrame API can read or compute. ``build`` runs once per export.
 
-    build: Callable[[SparkSession], DataFrame]
+    With ``windowed``, ``build`` takes the run's values as a second argument and applies the bounds
+    ``watermark_prev`` and ``watermark_now`` itself (both are missing while the job looks up the
+    column's type or maximum).
+    """
+
+    build: Callable[..., DataFrame]
+    windowed: bool = False
 
     def load(self, spark: SparkSession, run_values=None) -> DataFrame:
-        return self.build(spark)
+        return self.build(spark, dict(run_values or {})) if self.windowed else self.build(spark)

@@ -6,6 +6,9 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.windows import as_text
 
 
 @dataclass(frozen=True)
@@ -34,7 +37,11 @@ class SqlSource:
 
 
 def scalar(spark: SparkSession, query: str, params: dict[str, Any] | None = None) -> str | None:
-    """First column of the first row as text; no row or NULL gives ``None``."""
+    """First column of the first row as text; no row or NULL gives ``None``.
+
+    A ``TIMESTAMP`` carries its offset, so that the text means the same in every session.
+    """
     result = spark.sql(query, args=params) if params else spark.sql(query)
-    row = result.toDF(*[f"c{i}" for i in range(len(result.columns))]).selectExpr("CAST(c0 AS STRING)").first()
+    named = result.toDF(*[f"c{i}" for i in range(len(result.columns))])
+    row = named.select(as_text(F.col("c0"), named.schema["c0"].dataType.simpleString())).first()
     return None if row is None else row[0]

@@ -22,6 +22,10 @@ from ..options import LayoutOptions, ParquetOptions
 from ..plans.catalog import Catalog
 
 
+# Longer than any file is old; Spark's own limit is a week, and older files are never read.
+ANY_AGE = "36500d"
+
+
 @dataclass(frozen=True)
 class StreamExport:
     """Export of a growing folder of Parquet files.
@@ -68,6 +72,7 @@ class StreamExport:
         query = (
             spark.readStream.schema(self.schema)
             .option("maxFilesPerTrigger", self.max_files)
+            .option("maxFileAge", ANY_AGE)  # files that were copied or restored come with old times
             .parquet(self.source)
             .writeStream.foreachBatch(each)
             .option("checkpointLocation", self.checkpoint)

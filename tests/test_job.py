@@ -25,7 +25,6 @@ from exportkit.operators import (
     window,
 )
 from exportkit.plans import read_files, read_manifest
-from exportkit.plans import catalog as catalog_module
 from exportkit.session import delete_path, read_text, small_table
 from exportkit.sources import scalar
 
@@ -114,19 +113,7 @@ def test_manifest_is_replaced_whole_and_leaves_no_temporary_file(spark, root):
     assert not [n for n in os.listdir(second.path) if n.endswith(".tmp")]
 
 
-def test_long_file_lists_stay_distributed(spark, root, monkeypatch):
-    monkeypatch.setattr(catalog_module, "INLINE_FILES", 2)
-    job = make_job(spark, root, shards=ModShards("id", 5))
-    run = job.run(spark, "r1")
-    document = json.loads(read_text(spark, run.manifest))
-    assert "files" not in document and document["total_rows"] == 20
-    assert {r["shard_index"] for r in read_manifest(spark, run.manifest).collect()} == set(range(5))
-    assert sorted(r["id"] for r in rows_of(spark, job, "r1", run).collect()) == list(range(20))
-
-
-@pytest.mark.parametrize("inline", [10_000, 2])
-def test_awkward_names_through_catalog_and_manifest(spark, root, monkeypatch, inline):
-    monkeypatch.setattr(catalog_module, "INLINE_FILES", inline)
+def test_awkward_names_through_catalog_and_manifest(spark, root):
     names = ["a b", "50%", "x/y", "q+r", "ü", "c:d", "plain"]
     df = small_table(spark, [(i, names[i % 7]) for i in range(70)], "id int, region string")
     job = ExportJob(

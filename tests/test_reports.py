@@ -8,7 +8,7 @@ from conftest import data_files
 from exportkit import Catalog, LayoutOptions, StreamExport
 from exportkit.functions import BatchTransform, redact
 from exportkit.operators import ModShards, metrics, read_export, write_export
-from exportkit.plans import common_directory, latest_per_uri, manifest_location, publish, read_files, read_manifest
+from exportkit.plans import latest_per_uri, manifest_location, publish, read_files, read_manifest
 from exportkit.session import small_table, write_text_atomically
 
 FIGURES = [(0, 1000, 2_000_000, 1.0), (1, 500, 1_000_000, 0.5)]
@@ -146,21 +146,6 @@ def test_manifest_location():
     assert manifest_location(None) is None
 
 
-@pytest.mark.parametrize(
-    "paths, expected",
-    [
-        (["a/b/x.parquet", "a/b/y.parquet"], "a/b"),
-        (["a/x", "b/y"], ""),
-        (["d/data_001", "d/data_002"], "d"),
-        (["only/one.parquet"], "only"),
-        (["flat"], ""),
-        ([], ""),
-    ],
-)
-def test_common_directory(paths, expected):
-    assert common_directory(paths) == expected
-
-
 # ----------------------------------------------------------------------- streaming
 
 
