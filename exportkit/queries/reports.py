@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..operators import (
@@ -12,12 +14,13 @@ from ..operators import (
     metrics,
     read_export,
     reconcile,
+    unload,
     validate,
     write_export,
 )
-from ..options import ParquetOptions
+from ..options import ParquetOptions, UnloadOptions
 from ..plans import Catalog, ExportJob, RunLog, latest_per_uri, read_files, read_manifest
-from ..session import scratch_dir
+from ..session import hadoop_path, scratch_dir
 from ..sources import SqlSource
 from ..streaming import StreamExport
 from .tables import table, views
@@ -56,6 +59,42 @@ def file_checksums(spark, sf_dir):
     return sums.select("shard_index", "uri", "rows", "bytes", "md5")
 
 
+def file_md5_csv(spark, sf_dir):
+    """MD5 of an ordered CSV file, whose bytes SQL can spell out."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    options = UnloadOptions(format="csv", compression="none", header=False, single=True, order_by=("p_partkey",))
+    written = unload(rows, scratch_dir(spark, "file_md5_csv"), options)
+    return file_md5(spark, written.path).select("md5")
+
+
+def overwrite_failed(spark, sf_dir):
+    """A second run on the same path fails in its tasks; the first run's rows are still there."""
+    job = _orders_job(spark, sf_dir, "overwrite_failed", path="orders")
+    first = job.run(spark, "r1")
+    failing = F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("stop"))).otherwise(F.col("o_totalprice"))
+    broken = replace(job, transforms=[lambda df: df.withColumn("o_totalprice", failing.cast("double"))])
+    try:
+        broken.run(spark, "r2")
+    except Exception:
+        return read_files(Catalog(spark, job.catalog).run_files(job.name, "r1"), first.path, first.schema)
+    raise AssertionError("the second run was meant to fail")
+
+
+def read_superseded(spark, sf_dir):
+    """A run that a later one replaced is refused by name; the later one reads whole."""
+    job = _orders_job(spark, sf_dir, "read_superseded", path="orders")
+    job.run(spark, "r1")
+    job.run(spark, "r2")
+    catalog = Catalog(spark, job.catalog)
+    try:
+        catalog.run_files(job.name, "r1")
+        refused = False
+    except ValueError as error:
+        refused = "'r2'" in str(error)
+    rows = catalog.run_files(job.name, "r2").groupBy("shard_index").agg(F.sum("rows").alias("rows"))
+    return rows.withColumn("refused", F.lit(refused))
+
+
 def manifest_build(spark, sf_dir):
     """The published document, read back."""
     job = _orders_job(spark, sf_dir, "manifest_build", md5=True)
@@ -197,7 +236,28 @@ def metrics_levels(spark, sf_dir):
     )
 
 
-def stream_available_now(spark, sf_dir):
+def _dated_back(spark, path, days):
+    """Set the files of a folder back in time, as copied or restored ones are."""
+    fs, folder = hadoop_path(spark, path)
+    for status in fs.listStatus(folder):
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+def _move_files(spark, source, target):
+    fs, folder = hadoop_path(spark, source)
+    into = hadoop_path(spark, target)[1]
+    fs.mkdirs(into)
+    for status in fs.listStatus(folder):
+        if status.getPath().getName().startswith("part-"):
+            fs.rename(status.getPath(), into)
+
+
+def stream_old_files(spark, sf_dir):
+    """The second wave arrives with modification times ten days older than the first."""
+    return stream_available_now(spark, sf_dir, days_back=10)
+
+
+def stream_available_now(spark, sf_dir, days_back=0):
     """Files arrive in two waves and a run follows each; a third run finds nothing new."""
     root = scratch_dir(spark, "stream")
     events = table(spark, sf_dir, "events")
@@ -212,8 +272,12 @@ def stream_available_now(spark, sf_dir):
     )
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     batches = []
-    for wave in (events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut)):
-        wave.write.mode("append").parquet(export.source)
+    for i, wave in enumerate((events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut))):
+        arriving = f"{root}/wave-{i}"
+        wave.write.parquet(arriving)
+        if i:
+            _dated_back(spark, arriving, days_back)
+        _move_files(spark, arriving, export.source)
         batches += export.run(spark)
     batches += export.run(spark)
     catalog = Catalog(spark, export.catalog)
@@ -246,6 +310,10 @@ QUERIES = {
     "metrics_top3": metrics_top3,
     "metrics_levels": metrics_levels,
     "stream_available_now": stream_available_now,
+    "stream_old_files": stream_old_files,
+    "file_md5_csv": file_md5_csv,
+    "overwrite_failed": overwrite_failed,
+    "read_superseded": read_superseded,
 }
 
 _PER_SHARD = "SELECT CAST(o_orderkey % 4 AS INTEGER) AS shard_index, CAST(COUNT(*) AS BIGINT) AS rows"
@@ -341,6 +409,15 @@ ORACLE = {
                CAST(FLOOR((mb_s - lm) / (hm - lm) * 7) AS INTEGER) AS mb_s_level, ROUND(mb_s / hm, 6) AS mb_s_share
         FROM m, x
     """,
+    "file_md5_csv": """
+        SELECT md5(string_agg(concat_ws(',', p_partkey, p_name, p_brand, p_type, p_size) || chr(10), '' ORDER BY p_partkey)) AS md5
+        FROM part
+    """,
+    "overwrite_failed": "SELECT *, CAST(o_orderkey % 4 AS INTEGER) AS shard_index FROM orders",
+    "read_superseded": _PER_SHARD + ", TRUE AS refused FROM orders GROUP BY 1",
+    "stream_old_files": """
+        SELECT *, CAST(CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END AS INTEGER) AS batch FROM events
+    """,
     "stream_available_now": """
         SELECT *, CAST(CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END AS INTEGER) AS batch FROM events
     """,

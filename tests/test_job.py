@@ -14,6 +14,9 @@ from conftest import data_files
 from exportkit import Catalog, ExportJob, FrameSource, Incremental, ParquetOptions, RunLog, SqlSource, StateTable, UnloadOptions
 from exportkit.functions import BatchTransform, derive, redact
 from exportkit.operators import (
+    read_export,
+    unload,
+    write_export,
     Bounds,
     CrossShards,
     ExportInvalid,
@@ -26,7 +29,7 @@ from exportkit.operators import (
 )
 from exportkit.plans import read_files, read_manifest
 from exportkit.session import delete_path, read_text, small_table
-from exportkit.sources import scalar
+from exportkit.sources import JdbcSource, scalar
 
 
 def few_orders(spark, count):
@@ -456,3 +459,60 @@ def test_exact_timestamps_option(spark, events, root):
     run = job.run(spark, "r1")
     back = read_files(Catalog(spark, job.catalog).run_files("events", "r1"), run.path, run.schema)
     assert back.exceptAll(events).count() == 0
+
+
+# ------------------------------------------------------- windows, attempts, sessions
+
+
+@pytest.mark.parametrize("source", [
+    FrameSource(lambda s: s.range(3)),
+    JdbcSource("jdbc:x", table="t"),
+])
+def test_sources_without_a_window_are_refused(root, source):
+    with pytest.raises(ValueError, match="cannot see the window"):
+        ExportJob("w", source, root, root, incremental=Incremental(now="2024-01-01 00:00:00"))
+
+
+def test_a_windowed_frame_gets_the_bounds(spark, root, events):
+    def build(session, values):
+        return events.filter((F.col("ts") > F.lit(values["watermark_prev"]).cast("timestamp_ntz"))
+                             & (F.col("ts") <= F.lit(values["watermark_now"]).cast("timestamp_ntz")))
+
+    rule = Incremental(now="2024-01-10 00:00:00", default="2024-01-05 00:00:00")
+    run = ExportJob("w", FrameSource(build, windowed=True), root, f"{root}/c", incremental=rule).run(spark, "r1")
+    assert run.total_rows == events.filter("ts > '2024-01-05' and ts <= '2024-01-10'").count() > 0
+
+
+def test_bounds_mean_the_same_in_another_zone(spark, root, events):
+    instants = events.withColumn("at", F.col("ts").cast("timestamp"))
+    instants.write.parquet(f"{root}/in")
+    source = FrameSource(lambda s: s.read.parquet(f"{root}/in"))
+    first = Incremental(column="at", now="2024-01-12 03:00:00")
+    total = ExportJob("z", source, root, f"{root}/c", incremental=first).run(spark, "r1").total_rows
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rest = Incremental(column="at")
+        total += ExportJob("z", source, root, f"{root}/c", incremental=rest).run(spark, "r2").total_rows
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert total == events.count()
+
+
+def test_failed_rerun_leaves_no_attempt_behind(spark, root, orders):
+    path = f"{root}/out"
+    write_export(orders, path)
+    with pytest.raises(Exception, match="stop"):
+        write_export(orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("stop"))).cast("double")), path)
+    assert spark.read.parquet(path).count() == orders.count()
+    assert os.listdir(root) == ["out"]
+
+
+def test_nested_timestamps_and_null_rows_survive(spark, root):
+    nested = spark.sql("SELECT struct(TIMESTAMP '2024-01-01 00:00:00.123456' AS t) AS s")
+    write_export(nested, f"{root}/n", parquet=ParquetOptions(coerce_timestamps="ms"))
+    assert spark.read.parquet(f"{root}/n").collect() == nested.collect()
+    lone = small_table(spark, [("a",), (None,), ("",), ("b",)], "x string")
+    back = read_export(spark, unload(lone, f"{root}/c", UnloadOptions(format="csv")))
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, lone.collect()))
+    with pytest.raises(Exception, match="directory name"):
+        write_export(small_table(spark, [("", 3), ("a", 4)], "k string, v int"), f"{root}/p", partition_by=["k"])
