@@ -6,6 +6,7 @@ import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
@@ -28,28 +29,45 @@ def output_schema(schema: StructType, fn: TableFn) -> StructType:
 
 
 def _pieces(table: pa.Table, keep: Sequence[str]) -> Iterator[pa.Table]:
-    """``table`` cut into pieces in which every ``keep`` column is constant."""
-    if not keep:
+    """``table`` cut into pieces in which every ``keep`` column is constant, by one sort."""
+    if not keep or not table.num_rows:
         yield table
         return
-    column = table.column(keep[0])
-    for value in pc.unique(column):
-        match = pc.equal(column, value) if value.is_valid else pc.is_null(column)
-        yield from _pieces(table.filter(match), keep[1:])
+    codes = [table.column(k).combine_chunks().dictionary_encode(null_encoding="encode").indices for k in keep]
+    codes = np.array([c.to_numpy(zero_copy_only=False) for c in codes])
+    order = np.lexsort(codes)
+    table, codes = table.take(pa.array(order)), codes[:, order]
+    edges = np.flatnonzero((np.diff(codes, axis=1) != 0).any(axis=0)) + 1
+    bounds = [0, *edges.tolist(), table.num_rows]
+    for start, end in zip(bounds, bounds[1:]):
+        yield table.slice(start, end - start)
+
+
+def _unchanged(column: pa.ChunkedArray, value: pa.Scalar) -> bool:
+    if not value.is_valid:
+        return column.null_count == len(column)
+    return column.null_count == 0 and bool(pc.all(pc.equal(column, value), min_count=0).as_py())
 
 
 def arrow_batches(
-    df: DataFrame, fn: TableFn, schema: StructType | None = None, keep: Sequence[str] = ()
+    df: DataFrame,
+    fn: TableFn,
+    schema: StructType | None = None,
+    keep: Sequence[str] = (),
+    hide: Sequence[str] | None = None,
 ) -> DataFrame:
     """Run ``fn`` on Arrow batches; it may change columns and the number of rows.
 
     ``None`` or an empty table drops the batch. An error stops the job and names the
-    partition. ``schema`` is derived from a dry run on zero rows unless given. ``fn`` does
-    not see the columns in ``keep`` (the shard columns of an export): batches are cut where
-    they change and the values are put back behind the result.
+    partition. ``schema`` is derived from a dry run on zero rows unless given. Columns in
+    ``keep`` (the shard columns of an export) go through unchanged: batches are cut where
+    they change and the values are put back behind the result. Those in ``hide`` (default:
+    all of them) are not shown to ``fn``; the others it may read and drop, but not alter.
     """
-    seen = StructType([f for f in df.schema if f.name not in keep])
+    hidden = [k for k in keep if hide is None or k in hide]
+    seen = StructType([f for f in df.schema if f.name not in hidden])
     target = schema if schema is not None else output_schema(seen, fn)
+    target = StructType([f for f in target if f.name not in keep])
     arrow_target = to_arrow_schema(target)
     kept = list(keep)
 
@@ -57,10 +75,14 @@ def arrow_batches(
         for batch in batches:
             for piece in _pieces(pa.Table.from_batches([batch]), kept):
                 try:
-                    result = fn(piece.drop_columns(kept) if kept else piece)
+                    result = fn(piece.drop_columns(hidden) if hidden else piece)
+                    for k in set(kept) - set(hidden):
+                        if result is not None and k in result.column_names and piece.num_rows:
+                            if not _unchanged(result.column(k), piece.column(k)[0]):
+                                raise ValueError(f"shard column {k!r} must come back unchanged")
                 except Exception as error:
                     where = f"partition {TaskContext.get().partitionId()}"
-                    if kept:
+                    if kept and piece.num_rows:
                         where += "".join(f", {k}={piece.column(k)[0].as_py()}" for k in kept)
                     raise RuntimeError(f"batch transform raised on {where}: {error}") from error
                 if result is None or not result.num_rows:
@@ -81,5 +103,5 @@ class BatchTransform:
     fn: TableFn
     schema: StructType | None = None
 
-    def apply(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        return arrow_batches(df, self.fn, self.schema, keep)
+    def apply(self, df: DataFrame, keep: Sequence[str] = (), hide: Sequence[str] | None = None) -> DataFrame:
+        return arrow_batches(df, self.fn, self.schema, keep, hide)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
+from pyarrow import fs as pa_fs
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +18,9 @@ from .fingerprint import SUMS, fingerprint
 from .shards import SHARD, Shards, SingleShard
 from .sink import Written, read_export
 
-# Fixed value: files above this size get no checksum. A binary file row ends at 2 GiB.
-MD5_MAX_BYTES = 2_000_000_000
+# A file up to this size is one value in its task; a longer one is hashed in pieces.
+MD5_AT_ONCE_BYTES = 256 << 20
+MD5_PIECE_BYTES = 8 << 20
 
 INVENTORY_SCHEMA = (
     "shard_index int, uri string, rows bigint, bytes bigint, md5 string, elapsed_s double, skipped boolean"
@@ -47,15 +51,30 @@ def files(
     )
 
 
-def file_md5(spark: SparkSession, *paths: str, max_bytes: int = MD5_MAX_BYTES) -> DataFrame:
-    """``(uri, md5)`` of the files under ``paths``; files above ``max_bytes`` are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(list(paths))
-        .filter(F.col("length") <= max_bytes)
-        .select(F.col("_metadata.file_path").alias("uri"), F.md5("content").alias("md5"))
-    )
+def file_md5(spark: SparkSession, *paths: str, at_once: int = MD5_AT_ONCE_BYTES) -> DataFrame:
+    """``(uri, md5)`` of every file under ``paths``.
+
+    Spark reads files up to ``at_once`` bytes as one value. Longer ones are read piece by piece
+    inside the tasks, through Arrow's filesystems; a store that Arrow cannot open is an error.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    uri = F.col("_metadata.file_path").alias("uri")
+    short = listed.filter(F.col("length") <= at_once).select(uri, F.md5("content").alias("md5"))
+    long = listed.filter(F.col("length") > at_once).select(uri)
+    return short.unionByName(long.mapInArrow(_md5_by_pieces, "uri string, md5 string"))
+
+
+def _md5_by_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        uris, sums = batch.column(0), []
+        for uri in uris.to_pylist():
+            store, path = pa_fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+            digest = hashlib.md5()
+            with store.open_input_stream(path) as stream:
+                while piece := stream.read(MD5_PIECE_BYTES):
+                    digest.update(piece)
+            sums.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([uris.cast(pa.string()), pa.array(sums, pa.string())], names=["uri", "md5"])
 
 
 def landed_files(

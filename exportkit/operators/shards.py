@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 from itertools import product
 
@@ -35,6 +36,8 @@ def sql_literal(value) -> str:
         return "TRUE" if value else "FALSE"
     if isinstance(value, (int, float)):
         return repr(value)
+    if isinstance(value, Decimal):
+        return format(value, "f")
     return "'" + str(value).replace("'", "''") + "'"
 
 
@@ -261,8 +264,11 @@ class CrossShards(_KeyedShards):
         return total.cast("int")
 
     def assign(self, df, only=None):
-        for column, listed in self.values.items():
-            df = df.filter(F.col(column).isin(*listed))
+        keys = self.keys()
+        chosen = keys if only is None else [keys[i] for i in only]
+        for place, (column, listed) in enumerate(self.values.items()):
+            wanted = {key[place] for key in chosen}
+            df = df.filter(F.col(column).isin(*[v for v in listed if v in wanted]))
         return df if only is None else df.filter(self.index().isin(*only))
 
 
@@ -290,7 +296,9 @@ class PredicateShards(Shards):
     def assign(self, df, only=None):
         wanted = list(range(self.count)) if only is None else list(only)
         conditions = self.predicates()
-        hits = F.array_compact(F.array(*[F.when(conditions[i], F.lit(i)) for i in wanted]))
+        # Any of them, as one filter that the scan can use.
+        df = df.filter(reduce(lambda a, b: a | b, [conditions[i] for i in wanted], F.lit(False)))
+        hits =F.array_compact(F.array(*[F.when(conditions[i], F.lit(i)) for i in wanted]))
         return df.withColumn(SHARD, F.explode(hits))
 
 

@@ -211,7 +211,7 @@ class ExportJob:
 
     def _shape(self, df: DataFrame) -> DataFrame:
         keep = [] if self.bulk else list(self.shards.partition_columns)
-        df = apply_steps(df, self.transforms, keep)
+        df = apply_steps(df, self.transforms, keep, hide=[SHARD])
         if self.target_schema is not None:
             named = self.target_schema.fieldNames()
             extra = [df.schema[c] for c in [*keep, *self.partition_by] if c not in named]

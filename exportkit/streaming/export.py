@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.steps import Step, apply_steps
 from ..operators import inventory as inv
-from ..operators.shards import Shards, SingleShard
+from ..operators.shards import SHARD, Shards, SingleShard
 from ..operators.sink import write_export
 from ..options import LayoutOptions, ParquetOptions
 from ..plans.catalog import Catalog
@@ -52,7 +52,7 @@ class StreamExport:
             df,
             f"{self.base.rstrip('/')}/batch={batch_id}",
             self.shards,
-            shape=partial(apply_steps, steps=self.transforms, keep=self.shards.partition_columns),
+            shape=partial(apply_steps, steps=self.transforms, keep=self.shards.partition_columns, hide=[SHARD]),
             parquet=self.parquet,
             layout=self.layout,
         )

@@ -43,6 +43,16 @@ def test_shard_lists_and_ranges_reach_the_scan(orders, events):
     assert "LessThan(o_orderkey,500)" in pushed(ranges.assign(orders, only=[1]))
 
 
+def test_wanted_conditions_and_combinations_reach_the_scan(events):
+    layout = PredicateShards(["event_id > 5", "value > 1", "user_id = 3"])
+    filters = pushed(layout.assign(events, only=[0, 1]))
+    assert "Or(GreaterThan(event_id,5),GreaterThan(value,1.0))" in filters and "user_id" not in filters
+    assert layout.assign(events, only=[]).count() == 0
+    cross = CrossShards({"event_type": ["click", "view"], "user_id": [1, 2]})
+    filters = pushed(cross.assign(events, only=[0, 1]))
+    assert "view" not in filters and "In(user_id, [1,2])" in filters
+
+
 def test_shards_are_cut_in_one_pass_without_a_join(events):
     layout = CrossShards({"event_type": ["click", "view"], "user_id": [1, 2]})
     for df in (layout.assign(events), PredicateShards(["event_id > 5", "value > 1"]).assign(events)):

@@ -128,6 +128,24 @@ def test_arrow_kept_columns_are_hidden_and_put_back(spark):
     assert sums == {k: sum(i for i in range(60) if i % 4 == k) for k in range(4)}
 
 
+def test_arrow_visible_columns_may_be_read_but_not_altered(spark):
+    df = small_table(spark, [(1, "a", 0), (2, "b", 0), (3, "a", 1)], "id int, k string, shard_index int")
+
+    def label(batch):
+        assert batch.column_names == ["id", "k"]
+        return batch.append_column("label", pc.binary_join_element_wise(batch["k"], "x", "-"))
+
+    result = arrow_batches(df, label, keep=["k", "shard_index"], hide=["shard_index"])
+    assert result.columns == ["id", "label", "k", "shard_index"]
+    assert [tuple(r) for r in result.orderBy("id").collect()] == [(1, "a-x", "a", 0), (2, "b-x", "b", 0), (3, "a-x", "a", 1)]
+
+    def swap(batch):
+        return batch.set_column(1, "k", pc.utf8_upper(batch["k"]))
+
+    with pytest.raises(Exception, match="must come back unchanged"):
+        arrow_batches(df, swap, keep=["k", "shard_index"], hide=["shard_index"]).collect()
+
+
 def test_arrow_keeps_null_shards_apart(spark):
     df = small_table(spark, [(1, None), (2, "a"), (3, None)], "id int, k string")
     rows = arrow_batches(df, lambda b: b, keep=["k"]).orderBy("id").collect()
