@@ -118,7 +118,7 @@ def arrow_transform(spark):
 
 
 def unload_csv(spark):
-    return unload(table(spark, SF_DIR, "lineitem"), scratch_dir(spark, "bench_csv"), UnloadOptions(format="csv", spread=True))
+    return unload(table(spark, SF_DIR, "lineitem"), scratch_dir(spark, "bench_csv"), UnloadOptions(format="csv"))
 
 
 def unload_ordered(spark):

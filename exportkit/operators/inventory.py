@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyarrow import fs as pa_fs
 from pyspark.errors import PySparkException
@@ -64,11 +66,19 @@ def file_md5(spark: SparkSession, *paths: str, at_once: int = MD5_AT_ONCE_BYTES)
     return short.unionByName(long.mapInArrow(_md5_by_pieces, "uri string, md5 string"))
 
 
+def arrow_place(uri: str) -> tuple[pa_fs.FileSystem, str]:
+    """Arrow's filesystem for a file that Spark has named, and the path in it.
+
+    Spark leaves letters beyond ASCII as they are; Arrow wants them escaped like the others.
+    """
+    return pa_fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe="%/:?#[]@!$&'()*+,;=~"))
+
+
 def _md5_by_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         uris, sums = batch.column(0), []
         for uri in uris.to_pylist():
-            store, path = pa_fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+            store, path = arrow_place(uri)
             digest = hashlib.md5()
             with store.open_input_stream(path) as stream:
                 while piece := stream.read(MD5_PIECE_BYTES):
@@ -148,22 +158,55 @@ class ExportInvalid(RuntimeError):
     """A finished write did not pass its checks; nothing may be published from it."""
 
 
-def validate(spark: SparkSession, written: Written, listing: DataFrame, *, level: str = "footer") -> DataFrame:
+def _with_problem(files: DataFrame) -> DataFrame:
+    """``files`` with the ``problem`` met when the first row group of each is decoded, in the tasks."""
+    spark = files.sparkSession
+    # A fixed number of partitions, or adaptive execution would read all files in one task.
+    spread = files.select("uri", "rows", "bytes").repartition(spark.sparkContext.defaultParallelism, "uri")
+    return spread.mapInArrow(_first_groups, "uri string, rows bigint, bytes bigint, problem string")
+
+
+def _first_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        problems = pa.array([_first_group(uri) for uri in batch.column("uri").to_pylist()], pa.string())
+        yield batch.append_column("problem", problems)
+
+
+def _first_group(uri: str) -> str | None:
+    try:
+        store, path = arrow_place(uri)
+        with store.open_input_file(path) as source:
+            parquet = pq.ParquetFile(source)
+            if parquet.num_row_groups:
+                for _ in parquet.iter_batches(batch_size=8192, row_groups=[0]):
+                    pass
+    except (OSError, pa.ArrowException) as error:
+        return f"{uri}: {error}".splitlines()[0]
+    return None
+
+
+def validate(spark: SparkSession, written: Written, listing: DataFrame, *, level: str = "sample") -> DataFrame:
     """``(check_name, ok, detail)`` for one finished write. Never raises for bad files.
 
     ``listing`` is the write's ``landed_files``. ``footer`` is content with it: it opened every
     footer, so files exist, none is empty, and their row counts add up to what the writing
-    tasks took in. ``full`` also decodes every column of every row and, when the write was
-    made with ``checksum``, compares the hash sums with those of the rows being written.
+    tasks took in. ``sample`` also decodes the first row group of every Parquet file, through
+    Arrow's filesystems; on a store that Arrow cannot open, ask for another level. ``full``
+    decodes every column of every row and, when the write was made with ``checksum``, compares
+    the hash sums with those of the rows being written.
     """
-    if level not in ("footer", "full"):
-        raise ValueError(f"level must be 'footer' or 'full', got {level!r}")
+    if level not in ("footer", "sample", "full"):
+        raise ValueError(f"level must be 'footer', 'sample' or 'full', got {level!r}")
+    sampled = level == "sample" and written.format == "parquet"
     try:
         data = listing.filter(F.col("uri") != "")
-        total = data.agg(
+        seen = _with_problem(data) if sampled else data.withColumn("problem", F.lit(None).cast("string"))
+        total = seen.agg(
             F.count(F.lit(1)).alias("files"),
             F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
             F.coalesce(F.min("bytes"), F.lit(0)).alias("smallest"),
+            F.count("problem").alias("broken"),
+            F.min("problem").alias("problem"),
         ).first()
         expected = written.rows
         checks = [
@@ -171,6 +214,9 @@ def validate(spark: SparkSession, written: Written, listing: DataFrame, *, level
             ("files_not_empty", total["smallest"] > 0 or total["files"] == 0, f"{total['smallest']} bytes at least"),
             ("row_total", total["rows"] == expected, f"{total['rows']} of {expected} rows"),
         ]
+        if sampled:
+            detail = total["problem"] or "first row group of every file"
+            checks.append(("values_decode", total["broken"] == 0, detail))
         if level == "full":
             export = read_export(spark, written).withColumn("_uri", F.col("_metadata.file_path"))
             decoded = fingerprint(export, ["_uri"]).join(data.select(F.col("uri").alias("_uri")), "_uri", "left_semi")

@@ -18,8 +18,6 @@ from ..session import conf_scope, delete_path, hadoop_path
 from .fingerprint import ROW_HASH, SUMS, hash_sums, row_hash
 from .shards import Shards, SingleShard
 
-ROW_SIZE_PROBE = 1_000
-
 # What an unquoted empty CSV field (NULL) becomes inside the reader. Left at its default it
 # could not be told from a quoted empty one (empty text).
 UNQUOTED_EMPTY = "\u0000null\u0000"
@@ -77,13 +75,12 @@ def _run_write(
 
 
 def dealt_out(df: DataFrame) -> DataFrame:
-    """Rows spread over the cores by a hash of the row.
+    """Rows dealt out evenly over the cores, copies of one row too.
 
-    Dealing by position would make Spark sort every partition first, to be able to repeat
-    the deal when a task is lost; a row hash is repeatable as it is. Copies of one row go
-    together, and AQE splits their partition when it grows large.
+    Spark sorts the rows of each partition before it deals them round, so that a lost task
+    deals them the same way again.
     """
-    return df.withColumn(ROW_HASH, row_hash(list(df.schema))).hint("rebalance", ROW_HASH).drop(ROW_HASH)
+    return df.hint("rebalance")
 
 
 def write_export(
@@ -106,7 +103,8 @@ def write_export(
     directory beyond ``layout.target_file_bytes`` over several tasks, so a shard holding a
     third of the data becomes many files written in parallel, while a small shard is one
     file. ``shape`` is applied after the shards are cut, on rows that still carry their
-    shard columns. Timestamps are cut to ``parquet.coerce_timestamps``.
+    shard columns, and behind the exchange, where a task holds few shards (before it only if
+    ``shape`` makes a directory column itself). Timestamps are cut to ``parquet.coerce_timestamps``.
     ``keep_other_partitions`` replaces only the directories being written. ``checksum`` sums
     up row hashes on the way, for ``validate(level="full")``.
     """
@@ -114,15 +112,21 @@ def write_export(
     parquet = parquet or ParquetOptions()
     layout = layout or LayoutOptions()
     assigned = shards.assign(df, only)
-    if shape is not None:
-        assigned = shape(assigned)
     keys = list(dict.fromkeys([*shards.partition_columns, *partition_by]))
+
+    def exchanged(rows: DataFrame) -> DataFrame:
+        if keys and layout.shuffle:
+            return rows.hint("rebalance", *keys)
+        return dealt_out(rows) if layout.spread else rows
+
+    if shape is None:
+        assigned = exchanged(assigned)
+    elif set(partition_by) <= set(df.columns):
+        assigned = shape(exchanged(assigned))
+    else:
+        assigned = exchanged(shape(assigned))
     data = [f for f in assigned.schema if f.name not in keys]
     schema = StructType(data + [assigned.schema[k] for k in keys])
-    if keys and layout.shuffle:
-        assigned = assigned.hint("rebalance", *keys)
-    elif layout.spread:
-        assigned = dealt_out(assigned)
     assigned = _no_empty_directory(assigned, partition_by)
     # Behind the exchange, so that all writing tasks share the work.
     assigned = coerce_timestamps(assigned, parquet.coerce_timestamps)
@@ -184,20 +188,6 @@ def replacing(spark: SparkSession, path: str) -> Iterator[str]:
         fs.delete(old, True)
 
 
-def records_per_file(df: DataFrame, max_bytes: int) -> int:
-    """Row limit that keeps a file below ``max_bytes``, from the text width of some rows.
-
-    Only the *number of files* depends on this estimate. Text is wider than encoded,
-    compressed Parquet, so the files come out smaller than asked.
-    """
-    width = (
-        df.limit(ROW_SIZE_PROBE)
-        .agg(F.avg(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("width"))
-        .first()["width"]
-    )
-    return max(1, int(max_bytes / max(width or 1.0, 1.0)))
-
-
 # Microseconds are kept in text formats (Spark's default pattern cuts them).
 TEXT_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -228,20 +218,20 @@ def _lone_text_column(schema: StructType) -> str | None:
 def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, checksum: bool = False) -> Written:
     """Distributed write without shards: Spark decides on the files.
 
-    ``single`` and ``order_by`` keep the row order across the file names. The exchange is
-    range-partitioned and AQE merges its partitions up to ``max_file_bytes``: a result below
-    that is exactly one file, a larger one an ordered sequence of files.
+    The source is read once. Its rows pass an exchange that AQE measures and cuts into files of
+    ``max_file_bytes``; the measure is the exchange's own, of compressed rows, so uncompressed
+    text comes out larger. ``order_by`` keeps the row order across the file names (a range
+    exchange). With ``single`` AQE merges up to that size instead of using every core. Without
+    ``spread`` (and order) there is no exchange: one file per task, of whatever size.
     """
     options = options or UnloadOptions()
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(options.max_file_bytes),
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     }
-    schema, records = df.schema, 0
+    schema = df.schema
     if options.single:
         settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
-    else:
-        records = records_per_file(df, options.max_file_bytes)
     if options.order_by:
         # The row hash settles ties, so that rows sharing one sort value still spread over
         # several ranges (only exact copies of a row stay together).
@@ -257,8 +247,6 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
     def write(out: DataFrame, path: str) -> None:
         writer = out.write.mode("errorifexists")
         writer = writer.option("partitionOverwriteMode", "static")
-        if records:
-            writer = writer.option("maxRecordsPerFile", records)
         if options.format == "parquet":
             writer.options(**ParquetOptions(compression=options.codec).writer_options()).parquet(path)
         elif options.format == "csv":

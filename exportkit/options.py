@@ -85,11 +85,12 @@ class LayoutOptions:
 
 @dataclass(frozen=True)
 class UnloadOptions:
-    """Bulk unload: as many files as there are writing tasks, no shards.
+    """Bulk unload: files of about ``max_file_bytes``, no shards.
 
-    ``single`` asks for one file; it is honoured for results up to ``max_file_bytes`` and
-    becomes an ordered sequence of files above it, so that no task ever holds everything.
-    ``spread`` deals rows out to all cores first, as in ``LayoutOptions``.
+    ``single`` asks for as few files as that size allows: one for a result below it, a
+    sequence of files above it, so that no task ever holds everything. ``spread`` deals rows
+    out to all cores first, which is also what cuts the files to size; without it every task
+    writes the rows it has.
     """
 
     format: str = "parquet"
@@ -98,7 +99,7 @@ class UnloadOptions:
     max_file_bytes: int = 256 * MIB
     single: bool = False
     order_by: tuple[str, ...] = ()
-    spread: bool = False
+    spread: bool = True
     overwrite: bool = True
 
     def __post_init__(self):

@@ -20,6 +20,7 @@ from ..operators.sink import Written, checked_path, unload, write_export
 from ..operators.windows import FIRST_RUN, Bounds, first_run_value, fixed_text, upper_bound, window
 from ..options import LayoutOptions, ParquetOptions, UnloadOptions
 from ..session import delete_path
+from ..sources.jdbc import JdbcSource
 from ..sources.sql import SqlSource, scalar
 from .catalog import Catalog, manifest_location, publish
 from .runlog import RunLog
@@ -32,7 +33,8 @@ WINDOW_MARKERS = ("watermark_prev", "watermark_now")
 class Incremental:
     """Window of an incremental job.
 
-    The upper bound comes from ``watermark_query`` (run before the export), from ``now`` (a
+    The upper bound comes from ``watermark_query`` (run before the export, by the database if
+    the source is one), from ``now`` (a
     logical time), or, with ``column`` alone, from the column's maximum. With ``column`` the
     window is a filter on the source; without it the source template names the markers
     ``:watermark_prev`` and ``:watermark_now`` itself.
@@ -94,7 +96,7 @@ class ExportJob:
     overwrite: bool = True
     skip_existing: bool = False
     md5: bool = False
-    check: str | None = "footer"
+    check: str | None = "sample"
     manifest: bool = True
     manifest_path: str | None = None
     extra: dict[str, Any] = field(default_factory=dict)
@@ -193,7 +195,10 @@ class ExportJob:
             now = rule.now
         elif rule.watermark_query is not None:
             params = {"watermark_prev": prev} if ":watermark_prev" in rule.watermark_query else None
-            now = scalar(spark, rule.watermark_query, params)
+            asked = self.source.scalar if isinstance(self.source, JdbcSource) else scalar
+            now = asked(spark, rule.watermark_query, params)
+        elif isinstance(self.source, JdbcSource):
+            now = self.source.upper_bound(spark, rule.column)
         else:
             now = upper_bound(source, rule.column)
         prev, now = (fixed_text(spark, text, type_name) for text in (prev, prev if now is None else now))

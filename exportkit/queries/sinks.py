@@ -106,14 +106,17 @@ def unload_csv(spark, sf_dir):
     return _unloaded(spark, sf_dir, "orders", "unload_csv", format="csv", compression="gzip")
 
 
-def unload_csv_documents(spark, sf_dir):
+def unload_csv_conversations(spark, sf_dir):
     """Texts with quotes, commas and line breaks survive the CSV quoting."""
-    written = unload(
-        table(spark, sf_dir, "conversations"),
-        scratch_dir(spark, "unload_csv_text"),
-        UnloadOptions(format="csv", header=False),
-    )
-    return read_export(spark, written)
+    return _unloaded(spark, sf_dir, "conversations", "unload_csv_text", format="csv", header=False)
+
+
+def unload_csv_documents(spark, sf_dir):
+    return _unloaded(spark, sf_dir, "documents", "unload_csv_documents", format="csv")
+
+
+def unload_json_documents(spark, sf_dir):
+    return _unloaded(spark, sf_dir, "documents", "unload_json_documents", format="json")
 
 
 def unload_json(spark, sf_dir):
@@ -168,8 +171,10 @@ QUERIES = {
         sink_nothing,
         unload_parquet,
         unload_csv,
+        unload_csv_conversations,
         unload_csv_documents,
         unload_json,
+        unload_json_documents,
         unload_max_records,
         unload_single,
         unload_ordered,
@@ -205,8 +210,10 @@ ORACLE = {
     "sink_nothing": "SELECT *, CAST(0 AS INTEGER) AS shard_index FROM orders WHERE o_orderkey < 0",
     "unload_parquet": "SELECT * FROM orders",
     "unload_csv": "SELECT * FROM orders",
-    "unload_csv_documents": "SELECT * FROM conversations",
+    "unload_csv_conversations": "SELECT * FROM conversations",
+    "unload_csv_documents": "SELECT * FROM documents",
     "unload_json": "SELECT * FROM orders",
+    "unload_json_documents": "SELECT * FROM documents",
     "unload_max_records": "SELECT * FROM orders",
     "unload_single": "SELECT CAST(1 AS BIGINT) AS files, CAST(COUNT(*) AS BIGINT) AS rows FROM orders",
     "unload_ordered": """

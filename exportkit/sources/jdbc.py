@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.shards import sql_literal
+from .sql import first_text
+
+_WINDOW_MARKER = re.compile(r":(watermark_prev|watermark_now)\b")
+
+
+def _with_bounds(query: str, values: dict[str, Any]) -> str:
+    """``query`` with its window markers replaced by quoted literals; no other text changes."""
+
+    def literal(marker: re.Match) -> str:
+        if marker[1] not in values:
+            raise ValueError(f"the query names :{marker[1]}, but the run has no such value")
+        return sql_literal(values[marker[1]])
+
+    return _WINDOW_MARKER.sub(literal, query)
+
 
 @dataclass(frozen=True)
 class JdbcSource:
@@ -16,6 +34,8 @@ class JdbcSource:
     ``column`` / ``lower`` / ``upper`` / ``partitions`` quartet to read in parallel. Without
     either the read is one task, which only suits small tables. ``lower`` and ``upper`` set
     the stride of the ranges; rows outside them still arrive in the first and last range.
+    A ``query`` that names ``:watermark_prev`` and ``:watermark_now`` applies the window itself;
+    the bounds are put in as quoted literals.
     """
 
     url: str
@@ -44,22 +64,36 @@ class JdbcSource:
     def relation(self) -> str:
         return self.table or f"({self.query}) src"
 
+    @property
+    def windowed(self) -> bool:
+        return {marker[1] for marker in _WINDOW_MARKER.finditer(self.query or "")} == {"watermark_prev", "watermark_now"}
+
+    def scalar(self, spark: SparkSession, query: str, values: dict[str, Any] | None = None) -> str | None:
+        """First column of the first row of ``query``, which the database runs, as text."""
+        asked = f"({_with_bounds(query, values or {})}) bound"
+        return first_text(spark.read.jdbc(self.url, asked, properties=self.connection_properties()))
+
+    def upper_bound(self, spark: SparkSession, column: str) -> str | None:
+        """``MAX(column)``, taken in the database: one row is read instead of the column."""
+        return self.scalar(spark, f"SELECT MAX({column}) AS bound_value FROM {self.relation}")
+
     def connection_properties(self) -> dict[str, str]:
         return {"pushDownPredicate": "true", **self.properties, "fetchsize": str(self.fetch_rows)}
 
     def load(self, spark: SparkSession, run_values=None) -> DataFrame:
+        relation = _with_bounds(self.relation, dict(run_values or {}))
         if self.predicates:
             return spark.read.jdbc(
-                self.url, self.relation, predicates=list(self.predicates), properties=self.connection_properties()
+                self.url, relation, predicates=list(self.predicates), properties=self.connection_properties()
             )
         if self.column is not None:
             return spark.read.jdbc(
                 self.url,
-                self.relation,
+                relation,
                 column=self.column,
                 lowerBound=self.lower,
                 upperBound=self.upper,
                 numPartitions=self.partitions,
                 properties=self.connection_properties(),
             )
-        return spark.read.jdbc(self.url, self.relation, properties=self.connection_properties())
+        return spark.read.jdbc(self.url, relation, properties=self.connection_properties())

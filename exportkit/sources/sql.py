@@ -41,7 +41,11 @@ def scalar(spark: SparkSession, query: str, params: dict[str, Any] | None = None
 
     A ``TIMESTAMP`` carries its offset, so that the text means the same in every session.
     """
-    result = spark.sql(query, args=params) if params else spark.sql(query)
+    return first_text(spark.sql(query, args=params) if params else spark.sql(query))
+
+
+def first_text(result: DataFrame) -> str | None:
+    """First column of the first row, as :func:`scalar` gives it."""
     named = result.toDF(*[f"c{i}" for i in range(len(result.columns))])
     row = named.select(as_text(F.col("c0"), named.schema["c0"].dataType.simpleString())).first()
     return None if row is None else row[0]

@@ -2,6 +2,7 @@ import pytest
 
 from exportkit import JdbcSource, LayoutOptions, ParquetOptions, SqlSource, UnloadOptions
 from exportkit.operators import ModShards, checked_path
+from exportkit.sources import jdbc
 
 
 def test_parquet_defaults():
@@ -82,6 +83,23 @@ def test_jdbc_plain_read():
     assert JdbcSource(url="jdbc:x", query="SELECT 1 AS a").load(Recorder())[1] == "(SELECT 1 AS a) src"
 
 
+def test_jdbc_query_with_a_window():
+    source = JdbcSource(url="jdbc:x", query="SELECT * FROM t WHERE at > :watermark_prev AND at <= :watermark_now")
+    assert source.windowed and not JdbcSource(url="jdbc:x", table="t").windowed
+    relation = source.load(Recorder(), {"watermark_prev": "a'b", "watermark_now": "c"})[1]
+    assert relation == "(SELECT * FROM t WHERE at > 'a''b' AND at <= 'c') src"
+    with pytest.raises(ValueError, match="watermark_prev"):
+        source.load(Recorder())
+
+
+def test_jdbc_bounds_are_asked_of_the_database(monkeypatch):
+    monkeypatch.setattr(jdbc, "first_text", lambda asked: asked[1])
+    source = JdbcSource(url="jdbc:x", table="t")
+    assert source.upper_bound(Recorder(), "at") == "(SELECT MAX(at) AS bound_value FROM t) bound"
+    asked = source.scalar(Recorder(), "SELECT MAX(at) FROM t WHERE at > :watermark_prev", {"watermark_prev": "x"})
+    assert asked == "(SELECT MAX(at) FROM t WHERE at > 'x') bound"
+
+
 @pytest.mark.parametrize("relative", ["/abs/x", "../up", "a/../b", "a/.."])
 def test_paths_cannot_leave_the_base(relative):
     with pytest.raises(ValueError):

@@ -1,3 +1,4 @@
+import os
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -72,8 +73,43 @@ def test_spread_uses_every_core(spark, root):
     one_task = spark.range(0, 400_000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
     written = write_export(one_task, f"{root}/a", layout=LayoutOptions(spread=True))
     assert same(one_task, read_export(spark, written)) and len(data_files(f"{root}/a")) > 4
-    unload(one_task, f"{root}/b", UnloadOptions(spread=True))
+    unload(one_task, f"{root}/b")
     assert len(data_files(f"{root}/b")) > 4
+    unload(one_task, f"{root}/c", UnloadOptions(spread=False))
+    assert len(data_files(f"{root}/c")) == 1
+
+
+def test_copies_of_one_row_spread(spark, root):
+    """One task reads rows of which nine in ten are copies: no file holds them all."""
+    wide = F.concat(*[F.sha2(F.concat(F.col("id"), F.lit(f"-{i}")), 256) for i in range(8)])
+    text = F.when(F.col("id") % 10 == 0, wide).otherwise("x")
+    copies = spark.range(0, 200_000, 1, 1).select(text.alias("text"))
+    written = write_export(copies, root, layout=LayoutOptions(spread=True, target_file_bytes=1 << 20))
+    sizes = [r["rows"] for r in files(spark, written).collect()]
+    assert len(sizes) > 4 and max(sizes) < 2 * min(sizes)
+
+
+def test_unload_reads_its_source_once(spark, root):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    source = spark.range(0, 5_000, 1, 4).mapInArrow(count, "id bigint")
+    unload(source, root, UnloadOptions(max_file_bytes=4_096))
+    assert read.value == 5_000
+
+
+def test_wide_rows_at_the_end_do_not_break_the_size_cap(spark, root):
+    """The first thousands of rows are narrow; random texts hardly compress."""
+    wide = F.concat(*[F.sha2(F.concat(F.col("id"), F.lit(f"-{i}")), 256) for i in range(40)])
+    source = spark.range(0, 20_000, 1, 16).select("id", F.when(F.col("id") > 10_000, wide).otherwise("").alias("text"))
+    cap = 1 << 20
+    unload(source, root, UnloadOptions(max_file_bytes=cap))
+    sizes = [os.path.getsize(path) for path in data_files(root)]
+    assert len(sizes) > 8 and max(sizes) <= cap
 
 
 def test_error_mode_refuses_an_existing_target(orders, root):
@@ -190,8 +226,6 @@ def test_validation_passes_and_names_failures(spark, orders, root):
     written = write_export(orders, root, ModShards("o_orderkey", 4))
     layout = ModShards("o_orderkey", 4)
     require_valid(validate(spark, written, landed_files(spark, written, layout), level="full"))
-    import os
-
     os.remove(data_files(root)[0])
     with pytest.raises(ExportInvalid, match="row_total"):
         require_valid(validate(spark, written, landed_files(spark, written, layout)))
@@ -215,11 +249,11 @@ def test_full_validation_decodes_columns(spark, orders, root):
     payload[200:600] = bytes(400)
     with open(target, "wb") as f:
         f.write(payload)
-    import os
-
     crc = os.path.join(os.path.dirname(target), "." + os.path.basename(target) + ".crc")
     os.remove(crc)
-    require_valid(validate(spark, written, landed_files(spark, written)))
+    require_valid(validate(spark, written, landed_files(spark, written), level="footer"))
+    with pytest.raises(ExportInvalid, match="values_decode"):
+        require_valid(validate(spark, written, landed_files(spark, written)))
     with pytest.raises(ExportInvalid, match="readable|content_checksum"):
         require_valid(validate(spark, written, landed_files(spark, written), level="full"))
 
