@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, and novelty measured with a dictionary-primed compressor.
 
-Besides the patterns, every long token near a sensitive word is a candidate. It is compressed with
-zstandard, primed with common code identifiers and the text around it. Names, words and numbers
+Besides the patterns, every long token near a sensitive word is a candidate; where the word stands inside
+the token (``ACCESS_KEY=...``), what follows it is one. It is compressed with zstandard, primed with common code identifiers and the text around it. Names, words and numbers
 that occur nearby cost almost nothing then; a random string costs nearly its full entropy. A
 candidate whose marginal cost stays above ``min_bits`` per character is reported as ``novel``.
 """
@@ -9,6 +9,8 @@ candidate whose marginal cost stays above ``min_bits`` per character is reported
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -29,7 +31,9 @@ _SENSITIVE = re.compile(
     r"bearer|session|signature|client[_-]?id|webhook",
     re.IGNORECASE | re.ASCII,
 )
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_SHORTEST = 16
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{_SHORTEST},}}")
+_JOINT = re.compile(r"(?<!=)=+(?=[^=])")  # between a name and its value; padding at the end is none
 
 # Names that fill source code and configuration, as the compressor's first dictionary.
 IDENTIFIERS = (
@@ -74,26 +78,61 @@ def marginal_bits(candidate: bytes, surroundings: bytes, level: int) -> float:
     return 8.0 * (len(compressor.compress(candidate)) - len(compressor.compress(b""))) / len(candidate)
 
 
+def _parts(text: str, start: int, end: int, words: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The long parts of a candidate between the sensitive ``words`` and the ``=`` inside it."""
+    at = start
+    for low, high in [*words, (end, end)]:
+        between = text[at:low]
+        cuts = [0, *(cut for m in _JOINT.finditer(between) for cut in m.span()), len(between)]
+        for first, last in zip(cuts[::2], cuts[1::2]):
+            if first == 0 and at > start:
+                first = last - len(between[:last].lstrip("=/_-"))
+            if last - first >= _SHORTEST:
+                yield at + first, at + last
+        at = high
+
+
+def _runs(spans: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what the spans cover together."""
+    starts, ends = [], []
+    for start, end, _ in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, str]], rules: NoveltyRules) -> list[tuple[int, int, str]]:
-    found, taken, at = [], sorted((start, end) for start, end, _ in taken), 0
-    hints = [m.end() for m in _SENSITIVE.finditer(text)]
-    if not hints:
+    """A candidate behind a sensitive word is measured whole, and in its parts unless it is novel as a whole."""
+    found, words = [], [m.span() for m in _SENSITIVE.finditer(text)]
+    if not words:
         return found
-    near = 0
+    hints, (covers, covered) = [end for _, end in words], _runs(taken)
+
+    def near(start: int) -> bool:
+        place = bisect_right(hints, start)
+        return place > 0 and start - hints[place - 1] <= rules.reach
+
+    def novel(start: int, end: int) -> bool:
+        token, place = text[start:end], bisect_right(covered, start)
+        if not near(start) or (place < len(covers) and covers[place] < end) or not _mixed(token):
+            return False
+        before, after = text[max(0, start - rules.around) : start], text[end : end + rules.around]
+        return marginal_bits(token.encode(), (before + after).encode(), rules.level) >= rules.min_bits
+
     for match in _CANDIDATE.finditer(text):
         start, end = match.span()
-        while near < len(hints) and hints[near] + rules.reach < start:
-            near += 1
-        if near == len(hints):
+        if start > hints[-1] + rules.reach:
             break
-        while at < len(taken) and taken[at][1] <= start:
-            at += 1
-        covered = at < len(taken) and taken[at][0] < end
-        if hints[near] > start or covered or not _mixed(match.group()):
-            continue
-        before, after = text[max(0, start - rules.around) : start], text[end : end + rules.around]
-        if marginal_bits(match.group().encode(), (before + after).encode(), rules.level) >= rules.min_bits:
+        if novel(start, end):
             found.append((start, end, "novel"))
+            continue
+        inside = words[bisect_right(hints, start) : bisect_right(hints, end)]
+        if inside or near(start):
+            parts = _parts(text, start, end, inside)
+            found += [(a, b, "novel") for a, b in parts if (a, b) != (start, end) and novel(a, b)]
     return found
 
 

@@ -214,6 +214,25 @@ def test_novelty_tells_keys_from_names():
     assert kinds(f"Authorization: Bearer {key}")[0] == ("novel", key)
 
 
+@pytest.mark.parametrize("before, after", [
+    ("ACCESS_KEY=", ""), ("PRIVATE_KEY=", "\n"), ("export AWS_SECRET_ACCESS_KEY_ID=", "\nPORT=80"), ("session_id=", ""),
+    ("credential=", ""), ("https://host/path?signature=", "&part=2"), ("https://host/webhook/", ""), ("session=", "=="),
+    ("client_secret_", ""), ("Authorization: Basic_access_key=", ""), ("credential=name=", ""),
+])
+def test_novelty_behind_a_word_in_the_same_token(before, after):
+    key = "Zq7Xv9Lm2Kp4Rt6Yw8Nb3Hd5"
+    text = f"a line\n{before}{key}{after}"
+    spans = secretscan.scan_text(text)
+    assert [kind for _, _, kind in spans] == ["novel"]
+    assert key in text[spans[0][0] : spans[0][1]] and key not in secretscan.redact(text, spans)
+
+
+def test_novelty_between_two_words_in_the_same_token():
+    keys = ["Zq7Xv9Lm2Kp4Rt6Yw8Nb3Hd5", "Wb3Gs8Kd5Tn1Pz6Qj4Mf9Xc2"]
+    text = "ACCESS_KEY={}/session_id={}\nsession_handler_index_of_the_first_client\n".format(*keys) + "=" * 50_000
+    assert [text[s:e] for s, e, _ in secretscan.scan_text(text)] == [keys[0] + "/", keys[1]]
+
+
 def test_scan_rows(odd, empty, spark):
     rows = secretscan.scan(odd, carry=True).collect()
     rows = [r for r in rows if not r["spans"]]
