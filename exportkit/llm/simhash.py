@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, same, texts, through_arrow, written
+from .common import narrow, texts, through_arrow, written
 from .components import components
 
 SHINGLE = 3
@@ -32,6 +32,7 @@ SEED = 42
 RADIUS = 3
 HALF = 32
 CHUNK = 1 << 16
+_KEYS = ("id", "no_id", "tag")
 
 _SINGLE = [0] + [1 << bit for bit in range(64)]
 _DOUBLE = [
@@ -114,6 +115,16 @@ def links(nodes: DataFrame) -> DataFrame:
     return found.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
 
 
+def _labelled(prints: DataFrame) -> DataFrame:
+    """``root`` for every fingerprint, with the smallest id and the ``best`` row (id and tag) that have it."""
+    best = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "tag")).alias("best")
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), best)
+    near = written(near_on_a_half(nodes.select("fp")), "simhash-near")
+    roots = components(links(near), "simhash-links")
+    labelled = nodes.join(roots.hint("merge"), nodes["fp"] == roots["node"], "left")
+    return labelled.select("fp", "first", "best", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``tag`` (hash of the text), ``fp`` and ``component_id`` for every row.
 
@@ -124,24 +135,27 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     empty table.
     """
     prints = written(fingerprints(docs, id, text), "simhash-prints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    near = written(near_on_a_half(nodes.select("fp")), "simhash-near")
-    roots = components(links(near), "simhash-links")
-    labelled = nodes.join(roots.hint("merge"), nodes["fp"] == roots["node"], "left")
-    labelled = labelled.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    labelled = _labelled(prints).select("fp", "first", "root")
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = labelled.join(smallest.hint("merge"), "root").select("fp", "component_id")
     return prints.join(classes.hint("merge"), "fp").select("doc_id", "tag", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component is kept.
+    """The rows of ``docs`` that stay when one row of each component is kept.
 
-    The one with the component's smallest id stays (all its repeated rows count as one document);
-    in components without any id, all rows stay, since nothing tells them apart.
+    The row with the component's smallest id stays; among rows that share it, or where none has an id,
+    the one with the smallest tag. Rows that agree in id and text come down to one of them, before they
+    are dealt by id and tag: to the one whose other columns have the smallest hash (maps are not hashed).
     """
-    members = near_duplicates(docs, id, text)
-    gone = members.where(F.col("component_id").isNotNull() & ~same(F.col("doc_id"), F.col("component_id")))
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("tag").alias("_gone_tag")).distinct()
-    owner = same(docs[f"`{id}`"], gone["_gone_id"]) & (F.xxhash64(docs[f"`{text}`"]) == gone["_gone_tag"])
-    return docs.join(gone.hint("merge"), owner, "left_anti")
+    prints = written(fingerprints(docs, id, text), "simhash-prints")
+    best = _labelled(prints).groupBy("root").agg(F.min("best").alias("best"))
+    keys = (F.coalesce("best.doc_id", F.lit(0).cast("long")), F.col("best.none"), F.col("best.tag"))
+    best = best.select(*(key.alias(name) for key, name in zip(keys, _KEYS))).distinct()
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if f.name != text and "map<" not in f.dataType.simpleString()]
+    owner, row = F.col(f"`{id}`").cast("long"), F.struct(*(F.col(f"`{name}`") for name in docs.columns))
+    keys = (F.coalesce(owner, F.lit(0).cast("long")), F.isnull(owner), F.xxhash64(F.col(f"`{text}`")))
+    keyed = docs.select(*(key.alias(name) for key, name in zip(keys, _KEYS)), F.xxhash64(*hashed).alias("order"), row.alias("row"))
+    single = keyed.groupBy(*_KEYS).agg(F.min_by("row", "order").alias("row"))
+    # an inner join: a semi-join would be moved below the aggregate, and all repeated rows through the exchange
+    return single.join(best.hint("merge"), list(_KEYS)).select("row.*")

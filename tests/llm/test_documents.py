@@ -144,6 +144,21 @@ def test_keep_first_keeps_one_of_each_group(odd):
     assert {r["component_id"] for r in found} == set(expected)
 
 
+def test_repeated_rows_leave_the_pipeline_once(spark):
+    prose = lambda seed: " ".join(f"w{(seed * 7919 + i * i) % 9973}" for i in range(60))
+    ids = [1, 1, 1, None, None, 3, 3, None, 5, 6]
+    texts = [prose(s) for s in (1, 1, 1, 2, 2, 3, 4, 5, 5, 6)]
+    rows = [(i, t, f"s{n}") for n, (i, t) in enumerate(zip(ids, texts))] + [(8, "", "s"), (8, None, "s"), (8, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns and set(map(tuple, kept.collect())) <= set(rows)
+    expected = [(1, prose(1)), (None, prose(2)), (3, prose(3)), (3, prose(4)), (5, prose(5)), (6, prose(6))]
+    found = pairs(suffixes.deduplicate(kept, carry=True).select("doc_id", F.col("kept_text").alias("text")))
+    assert sort(row for row in found if row[0] != 8) == sort(expected) and len(found) == 7
+    with_map = simhash.keep_first(docs.withColumn("m", F.create_map("source", "source")))
+    assert with_map.count() == 7
+
+
 # --- duplicate byte strings
 
 
