@@ -11,8 +11,10 @@ Finished windows are dealt to training steps so that the steps of a task hold eq
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +28,12 @@ END_TOKEN = 1
 SPECIAL = "<|endoftext|>"
 POOL = 4096  # rests a task holds before it packs them
 
+# The white space of the vocabulary's pattern, and runs that tiktoken's regex engine is not given
+# (it gives up beyond a million characters).
+LONG_RUN = 1 << 16
+_SPACE = r"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_RUN = re.compile(rf"(?<!{_SPACE}){_SPACE}{{{LONG_RUN},}}")
+
 
 @dataclass(frozen=True)
 class PackRules:
@@ -55,9 +63,30 @@ def encoder(rules: PackRules) -> tiktoken.Encoding:
     return _encoders[path, pattern]
 
 
+def _ordinary(text: str, coder: tiktoken.Encoding) -> Iterator[list[int]]:
+    """Ids of a text without special tokens; long white-space runs are cut out of it.
+
+    The patterns take a run that ends the text whole, and leave the last character of any other run to what
+    follows. What is taken is one piece for the vocabulary's merges.
+    """
+    at = 0
+    for run in _LONG_RUN.finditer(text) if len(text) >= LONG_RUN else ():
+        start, end = run.span()
+        end -= end < len(text)
+        yield coder.encode_ordinary(text[at:start])
+        yield coder._core_bpe.encode_single_piece(text[start:end].encode())
+        at = end
+    yield coder.encode_ordinary(text[at:])
+
+
 def token_ids(text: str, coder: tiktoken.Encoding) -> np.ndarray:
     """Ids of the text and the closing id, as little-endian unsigned 32-bit integers."""
-    ids = coder.encode(text, allowed_special="all") if SPECIAL in text else coder.encode_ordinary(text)
+    ids = []
+    for place, part in enumerate(text.split(SPECIAL)):
+        if place:
+            ids.append(coder.encode_single_token(SPECIAL))
+        for found in _ordinary(part, coder):
+            ids += found
     ids.append(END_TOKEN)
     return np.array(ids, "<u4")
 

@@ -76,6 +76,20 @@ def test_packing_odd_rows(odd, empty):
     assert special.tolist() == [*coder.encode("a <|endoftext|> b").ids, 1]
 
 
+LONG_SPACES = {
+    "blanks": "word" + " " * 1_000_100 + "word", "newlines": "word" + "\n" * 1_000_100 + "  word", "end": "a\u2003" + "\u00a0 " * 600_000,
+    "special": " \t" * 40_000 + packing.SPECIAL + " " * 70_000 + packing.SPECIAL + "x" + "\r\n" * 40_000 + "'s", "controls": "\x1c" * 70_000 + "\x1f",
+    "limit": "a" + " " * packing.LONG_RUN + "b" + " " * (packing.LONG_RUN - 1) + "c" + " " * (packing.LONG_RUN + 1),
+}
+
+
+@pytest.mark.parametrize("case", LONG_SPACES)
+def test_token_ids_of_long_white_space(case):
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = packing.token_ids(LONG_SPACES[case], packing.encoder(packing.PackRules()))
+    assert got.tolist() == [*coder.encode(LONG_SPACES[case], add_special_tokens=False).ids, 1]
+
+
 # --- pieces
 
 PIECE_TEXTS = [
