@@ -2,7 +2,9 @@
 
 Besides the patterns, every long token near a sensitive word is a candidate; where the word stands inside
 the token (``ACCESS_KEY=...``), what follows it is one. It is compressed with zstandard, primed with common code identifiers and the text around it. Names, words and numbers
-that occur nearby cost almost nothing then; a random string costs nearly its full entropy. A
+that occur nearby cost almost nothing then; a random string costs nearly its full entropy. Copies of
+the candidate behind a sensitive word are left out of the text around it: repeating a key does not make
+it known. A copy that no such word precedes still does. A
 candidate whose marginal cost stays above ``min_bits`` per character is reported as ``novel``.
 """
 
@@ -50,6 +52,17 @@ IDENTIFIERS = (
     "example placeholder changeme your_token_here your-api-key xxxxxxxxxxxxxxxx 1234567890123456"
 ).encode()
 
+# First letter and second letters of the 240 commonest pairs in English, German, French, Spanish and code.
+_PAIRS = frozenset(
+    group[0] + second
+    for group in (
+        "aabcdegilmnopqrstuv beloy caehiklot daeiostu eabcdefghilmnopqrstuvwxz faeior gaes habcehilnorstuvw iacdefgilmnopqrstv "
+        "ja ke laefilostuy maeiop nabcdeghiklmnopqrstuvwz oabcdefilmnoprstu paeflort qu rabceghilmnorstuv sabcdeghijlmoqrstu "
+        "tabcehilorstuyz uacefilmnoprstx vaeio wahi xaceot ypt zeu"
+    ).split()
+    for second in group[1:]
+)
+
 
 @dataclass(frozen=True)
 class NoveltyRules:
@@ -104,9 +117,29 @@ def _runs(spans: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
+def _around(text: str, start: int, end: int, hints: list[int], around: int) -> str:
+    """``around`` characters on both sides, with blanks for the candidate's copies that follow a sensitive word.
+
+    The candidate itself follows one, and so do all copies after it.
+    """
+    token, blank = text[start:end], " " * (end - start)
+    after = text[end : end + around + len(token)].replace(token, blank)[:around]
+    low = max(0, start - around - len(token))
+    before, at = text[low:start], text.find(token, low, start)
+    while at >= 0:
+        place = bisect_right(hints, at)
+        if place and at - hints[place - 1] <= around:
+            before = before[: at - low] + blank + before[at - low + len(token) :]
+        at = text.find(token, at + len(token), start)
+    return before[max(0, len(before) - around) :] + after
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, str]], rules: NoveltyRules) -> list[tuple[int, int, str]]:
-    """A candidate behind a sensitive word is measured whole, and in its parts unless it is novel as a whole."""
-    found, words = [], [m.span() for m in _SENSITIVE.finditer(text)]
+    """A candidate behind a sensitive word is measured whole, and in its parts unless it is novel as a whole.
+
+    Where neither is novel, copies of tokens that were found elsewhere in the text are looked for inside it.
+    """
+    found, known, words = [], [], [m.span() for m in _SENSITIVE.finditer(text)]
     if not words:
         return found
     hints, (covers, covered) = [end for _, end in words], _runs(taken)
@@ -119,8 +152,7 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]], rules: NoveltyRule
         token, place = text[start:end], bisect_right(covered, start)
         if not near(start) or (place < len(covers) and covers[place] < end) or not _mixed(token):
             return False
-        before, after = text[max(0, start - rules.around) : start], text[end : end + rules.around]
-        return marginal_bits(token.encode(), (before + after).encode(), rules.level) >= rules.min_bits
+        return marginal_bits(token.encode(), _around(text, start, end, hints, rules.around).encode(), rules.level) >= rules.min_bits
 
     for match in _CANDIDATE.finditer(text):
         start, end = match.span()
@@ -131,14 +163,24 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]], rules: NoveltyRule
             continue
         inside = words[bisect_right(hints, start) : bisect_right(hints, end)]
         if inside or near(start):
-            parts = _parts(text, start, end, inside)
-            found += [(a, b, "novel") for a, b in parts if (a, b) != (start, end) and novel(a, b)]
+            parts = [part for part in _parts(text, start, end, inside) if part != (start, end) and novel(*part)]
+            found += [(*part, "novel") for part in parts]
+            known += [] if parts else [(start, end)]
+    if found and known:
+        tokens = sorted({re.escape(text[start:end]) for start, end, _ in found}, key=len, reverse=True)
+        copies = re.compile("|".join(tokens))
+        found += [(*m.span(), "novel") for span in known for m in copies.finditer(text, *span)]
     return found
 
 
 def _mixed(token: str) -> bool:
-    """Keys mix digits and letters; a long plain word, in whatever language, is not one."""
-    return any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
+    """Keys mix digits and letters, or are letters that make no words, in whatever language."""
+    if any(c.isdigit() for c in token):
+        return any(c.isalpha() for c in token)
+    pairs = [a + b for a, b in zip(token, token[1:]) if a.isalpha() and b.isalpha()]
+    common = sum(pair.lower() in _PAIRS for pair in pairs)
+    changes = sum(a.islower() != b.islower() for a, b in pairs)
+    return len(pairs) >= _SHORTEST // 2 and (10 * common < 7 * len(pairs) or 10 * changes > 4 * len(pairs))
 
 
 def scan_text(text: str, rules: NoveltyRules = NoveltyRules()) -> list[tuple[int, int, str]]:

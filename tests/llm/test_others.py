@@ -5,6 +5,7 @@ import gzip
 import io
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -247,6 +248,27 @@ def test_novelty_between_two_words_in_the_same_token():
     assert [text[s:e] for s, e, _ in secretscan.scan_text(text)] == [keys[0] + "/", keys[1]]
 
 
+@pytest.mark.parametrize("line", ["Authorization: Bearer {}\n", "ACCESS_KEY={}\n", "curl -H 'X-Session: {}' https://host/{}\n"])
+@pytest.mark.parametrize("size, alphabet", [(16, string.ascii_letters + string.digits), (40, string.ascii_letters + string.digits)])
+def test_novelty_of_repeated_keys(line, size, alphabet):
+    pick = random.Random(size)
+    key = "".join(pick.choice(alphabet) for _ in range(size - 1)) + "7"
+    for times in (1, 2, 5, 40):
+        text = "".join(f"line {i}: " + line.format(key, key) for i in range(times))
+        assert key not in secretscan.redact(text, secretscan.scan_text(text))
+
+
+def test_novelty_of_letters_only():
+    pick = random.Random(8)
+    for alphabet, size in ((string.ascii_letters, 16), (string.ascii_letters, 32), (string.ascii_lowercase, 20)):
+        keys = ["".join(pick.choice(alphabet) for _ in range(size)) for _ in range(200)]
+        found = sum(len(secretscan.scan_text(f"Authorization: Bearer {key}\n")) == 1 for key in keys)
+        assert found >= 190
+    for name in ("Rindfleischetikettierung", "anticonstitutionnellement", "electroencefalografista", "SessionTokenRepositoryFactory",
+                 "counterrevolutionaries", "handle_incoming_connections", "=" * 30, "a-b-c-d-e-f-g-h-i-j"):
+        assert secretscan.scan_text(f"Authorization: Bearer {name}\n") == []
+
+
 def test_scan_rows(odd, empty, spark):
     rows = secretscan.scan(odd, carry=True).collect()
     rows = [r for r in rows if not r["spans"]]
