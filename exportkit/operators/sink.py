@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.schema import coerce_timestamps
-from ..options import LayoutOptions, ParquetOptions, UnloadOptions
+from ..options import MIB, LayoutOptions, ParquetOptions, UnloadOptions
 from ..session import conf_scope, delete_path, hadoop_path
 from .fingerprint import ROW_HASH, SUMS, hash_sums, row_hash
 from .shards import Shards, SingleShard
@@ -227,6 +227,8 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
     options = options or UnloadOptions()
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(options.max_file_bytes),
+        # Spark merges partitions up to this size whatever the advisory size says.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min(MIB, options.max_file_bytes)),
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     }
     schema = df.schema

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SMALL = "/root/testdata/sf0.001"
+from landed import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -40,11 +40,3 @@ def orders(spark):
 @pytest.fixture
 def events(spark):
     return spark.read.parquet(f"{SMALL}/events.parquet")
-
-
-def data_files(path):
-    """Paths of the data files below a local folder."""
-    found = []
-    for folder, _, names in os.walk(path):
-        found += [os.path.join(folder, n) for n in names if not n.startswith((".", "_"))]
-    return sorted(found)

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from conftest import data_files
+from landed import data_files
 from exportkit import Catalog, ExportJob, FrameSource, Incremental, ParquetOptions, RunLog, SqlSource, StateTable, UnloadOptions
 from exportkit.functions import BatchTransform, derive, redact
 from exportkit.operators import (

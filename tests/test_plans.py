@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from landed import SMALL
 from exportkit.operators import Bounds, CrossShards, RangeShards, ValueShards, day_slice, latest_per_key, metrics, window
 from exportkit.operators.fingerprint import fingerprint
 from exportkit.operators.shards import PredicateShards

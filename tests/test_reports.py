@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import data_files
+from landed import data_files
 from exportkit import Catalog, LayoutOptions, StreamExport
 from exportkit.functions import BatchTransform, redact
 from exportkit.operators import ModShards, metrics, read_export, write_export

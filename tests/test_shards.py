@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import data_files
+from landed import data_files
 from exportkit.operators import (
     CrossShards,
     ModShards,

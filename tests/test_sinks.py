@@ -3,7 +3,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import data_files
+from landed import data_files
 from exportkit import LayoutOptions, ParquetOptions, UnloadOptions
 from exportkit.operators import (
     ExportInvalid,
