@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from exportkit.session import delete_path, scratch_dir
 
-from . import neighbours, packing, pieces, quality, secretscan, simhash, substrings, suffixes, urls, warc
+from . import (
+    collocations, neighbours, packing, pieces, prefixtrie, quality, rulefit, secretscan, simhash, substrings, suffixes,
+    urls, warc,
+)
 from .common import rows_through_arrow, written
 
 
@@ -107,11 +110,24 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_through_arrow(found, each, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefixtrie.conversations(_table(spark, sf_dir, "conversations"))
+    return prefixtrie.trie(prefixtrie.rebuilt(convs))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rulefit.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_quality_rules, op2_packing, op3_simhash, op4_sentencepiece, op5_neighbours, op6_secrets, op7_warc,
-        op8_suffixes, op9_urls, op10_substrings,
+        op8_suffixes, op9_urls, op10_substrings, op11_prefix_trie, op12_collocations, op13_quality_classifier,
     )
 }
 
@@ -229,8 +245,94 @@ FROM ruled
 """
 
 
+# CRC-32 of the decimal digits of conv_id: bit by bit, with the reflected polynomial.
+_CRC = """xor(list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::UBIGINT)),
+    lambda c, b: list_reduce(
+        list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+        lambda a, z: xor(a >> 1, 3988292384::UBIGINT * (a & 1::UBIGINT)))
+), 4294967295::UBIGINT)"""
+
+_TRIE_SQL = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+    SELECT conv_id, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, md5(length(r)::VARCHAR || ':' || r || x)) AS q
+    FROM turns GROUP BY conv_id
+),
+hashed AS (SELECT conv_id, q, ({_CRC} % 4)::BIGINT AS h FROM own),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(CASE WHEN b.q IS NULL THEN [] ELSE b.q[1:h] END, c.q[h + 1:]) AS q
+    FROM hashed c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+),
+prefixes AS (SELECT conv_id, q, d, q[1:d] AS p FROM (SELECT conv_id, q, unnest(range(0, len(q) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(p[d].x, '{_WORD}')) END AS own
+    FROM prefixes GROUP BY p, d
+),
+children AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (
+    SELECT p[1:k] AS p, sum(own) AS saved, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS leaves
+    FROM (SELECT n.*, n_children, unnest(range(0, d + 1)) AS k FROM nodes n LEFT JOIN children USING (p)) GROUP BY 1
+),
+ends AS (SELECT q AS p, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM rebuilt GROUP BY q)
+SELECT n.conv_id, n.d::BIGINT AS depth, above.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes above ON n.d > 0 AND above.d = n.d - 1 AND above.p = n.p[1:n.d - 1]
+LEFT JOIN children ON children.p = n.p JOIN below ON below.p = n.p LEFT JOIN ends ON ends.p = n.p
+"""
+
+_PHRASE_SQL = r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    )
+),
+f AS (
+    SELECT lang, k, phrase, count(*) AS n
+    FROM (
+        SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+        FROM pieces, (VALUES (1), (2), (3)) AS sizes(k)
+    )
+    GROUP BY lang, k, phrase
+),
+candidates AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
+cuts AS (
+    SELECT c.lang, c.k, c.phrase, a, cut, l.n AS l, r.n AS r,
+           (1000000::HUGEINT * a * a) // (l.n::HUGEINT * r.n) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+    JOIN f l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(ws[1:cut], ' ')
+    JOIN f r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(ws[cut + 1:], ' ')
+),
+scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+),
+longer AS (
+    SELECT lang, phrase, max(a) AS a FROM (
+        SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, a FROM candidates WHERE k = 3
+        UNION ALL SELECT lang, array_to_string(ws[2:3], ' '), a FROM candidates WHERE k = 3
+    ) GROUP BY lang, phrase
+),
+ranked AS (
+    SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, encode(s.phrase)) AS rank
+    FROM scored s LEFT JOIN longer g USING (lang, phrase)
+    WHERE g.a IS NULL OR 100 * g.a < 50 * s.a
+),
+totals AS (SELECT lang, sum(len(ws)) AS n FROM pieces GROUP BY lang)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op1_quality_rules": quality_sql(),
     "op7_warc": _WARC_SQL,
     "op9_urls": _url_sql(),
+    "op11_prefix_trie": _TRIE_SQL,
+    "op12_collocations": _PHRASE_SQL,
 }
