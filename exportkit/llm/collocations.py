@@ -6,7 +6,7 @@ the pair ``(x, y)`` occurs at most as often as the pair, so no cut of it can sco
 side, until every language has enough surviving phrases at or above the bound of the pairs that were
 left alone. Those cannot change the result, ties included.
 
-Each count is one pass over the whole texts: tasks count inside some megabytes of text at a time, Spark
+Each count is one pass over the whole texts: tasks count inside a megabyte of text at a time, Spark
 adds the counts up. What a pass may leave out is decided by a bit array of fixed size that is never
 wrong about a phrase that matters; its false alarms only cost time.
 """
@@ -31,8 +31,8 @@ NO_LANGUAGE = "und"
 BREAKERS = b".,;:!?\n\x0b\x0c\r"
 BREAK = re.compile(rb"[.,;:!?\n-\r]")
 GAP = re.compile(rb"[ \t.,;:!?\n-\r]")
-SEGMENT_BYTES = 2 << 20
-CHUNK_BYTES = 4 << 20
+SEGMENT_BYTES = 512 << 10
+CHUNK_BYTES = 1 << 20
 SIEVE_BITS = 25
 #: Counts have up to 14 digits, so that a product of two of them and the scale fits 38.
 COUNT, SCALED = "decimal(14,0)", "decimal(7,0)"
