@@ -9,7 +9,6 @@ that scoring is a projection without Python and without a shuffle.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
@@ -18,11 +17,13 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, narrow, written
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-DIGITS = "0123456789"
-SYMBOLS = "#*$%&|<>{}[]~^_=+\\/@"
-ENDS = ".!?…。！？"
-COMMAS = ",;:"
+UPPER = "[A-Z]"
+DIGITS = "[0-9]"
+SYMBOLS = r"[#*$%&|<>{}\[\]~^_=+\\/@]"
+ENDS = "[.!?…。！？]"
+COMMAS = "[,;:]"
+
+ROWS_PER_TASK = 10_000
 
 # Frequent function words of the languages at hand.
 FUNCTION_WORDS = (
@@ -38,10 +39,10 @@ class RuleSettings:
     """How the ensemble is grown. At most about ``max_rows`` labelled rows are learnt from, picked
     by a hash of their id; all documents are scored."""
 
-    trees: int = 40
+    trees: int = 30
     depth: int = 3
     penalty: float = 0.001
-    iterations: int = 60
+    iterations: int = 30
     max_rows: int = 200_000
     seed: int = 13
 
@@ -52,14 +53,12 @@ class Rule:
 
     bounds: tuple[tuple[str, float | None, float | None], ...]
 
-    def column(self) -> Column:
+    def sql(self) -> str:
         parts = []
         for name, low, high in self.bounds:
-            if low is not None:
-                parts.append(F.col(name) > low)
-            if high is not None:
-                parts.append(F.col(name) <= high)
-        return reduce(lambda a, b: a & b, parts)
+            parts += [] if low is None else [f"`{name}` > {low!r}D"]
+            parts += [] if high is None else [f"`{name}` <= {high!r}D"]
+        return " AND ".join(parts)
 
     def __str__(self) -> str:
         text = lambda v: "" if v is None else f"{v:.4g}"
@@ -79,13 +78,9 @@ class RuleModel:
         """The probability of label 1, over the columns of :func:`statistics`."""
         if self.prior is not None:
             return F.lit(self.prior)
-        terms = [F.when(rule.column(), F.lit(weight)).otherwise(F.lit(0.0)) for rule, weight in self.rules]
-        total = reduce(lambda a, b: a + b, terms, F.lit(self.intercept))
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
-
-
-def _count_of(text: Column, characters: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
+        terms = [f"CASE WHEN {rule.sql()} THEN {weight!r}D ELSE 0D END" for rule, weight in self.rules]
+        total = " + ".join([f"{self.intercept!r}D", *terms])
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.expr(total)))
 
 
 def counts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -100,13 +95,13 @@ def counts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
         "words": F.size("words"),
         "kinds": F.size(F.array_distinct("words")),
         "longest": F.coalesce(F.array_max(F.transform("words", lambda w: F.char_length(w))), F.lit(0)),
-        "known": F.size(F.filter("words", lambda w: F.lower(w).isin(FUNCTION_WORDS))),
-        "blanks": _count_of(F.col("t"), SPACES),
-        "capitals": _count_of(F.col("t"), UPPER),
-        "digits": _count_of(F.col("t"), DIGITS),
-        "symbols": _count_of(F.col("t"), SYMBOLS),
-        "ends": _count_of(F.col("t"), ENDS),
-        "commas": _count_of(F.col("t"), COMMAS),
+        "known": F.size(F.filter("words", lambda w: w.isin(FUNCTION_WORDS))),
+        "blanks": F.char_length("t") - F.char_length(F.array_join("words", "")),
+        "capitals": F.regexp_count("t", F.lit(UPPER)),
+        "digits": F.regexp_count("t", F.lit(DIGITS)),
+        "symbols": F.regexp_count("t", F.lit(SYMBOLS)),
+        "ends": F.regexp_count("t", F.lit(ENDS)),
+        "commas": F.regexp_count("t", F.lit(COMMAS)),
         "runs": F.regexp_count("t", F.lit(r"[!?#*$%&|<>=_~-]{2,}")),
         "lines": F.size("lines"),
         "line_kinds": F.size(F.array_distinct("lines")),
@@ -164,7 +159,8 @@ def fit(labelled: DataFrame, settings: RuleSettings = RuleSettings()) -> RuleMod
     total = labelled.count()
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, settings.max_rows / max(1, total)))
     kept = labelled.where(share).select(array_to_vector(F.array(*names)).alias("x"), *names, F.col("label").cast("double"))
-    kept = kept.persist()
+    # Every pass of the fit is a job of its own: as many tasks as the bounded rows need, not as the corpus has.
+    kept = kept.repartition(max(1, -(-min(total, settings.max_rows) // ROWS_PER_TASK))).persist()
     try:
         seen = {r["label"]: r["count"] for r in kept.groupBy("label").count().collect()}
         rows, good = sum(seen.values()), seen.get(1.0, 0)
@@ -180,7 +176,7 @@ def fit(labelled: DataFrame, settings: RuleSettings = RuleSettings()) -> RuleMod
         rules = list(found)
         if not rules:
             return RuleModel(prior=(good + 1.0) / (rows + 2.0), learnt_from=rows)
-        fired = F.array(*(F.when(rule.column(), 1.0).otherwise(0.0) for rule in rules))
+        fired = F.expr("array(" + ", ".join(f"CASE WHEN {rule.sql()} THEN 1D ELSE 0D END" for rule in rules) + ")")
         matrix = kept.select(array_to_vector(fired).alias("x"), "label")
         lasso = LogisticRegression(
             featuresCol="x", elasticNetParam=1.0, regParam=settings.penalty, maxIter=settings.iterations
