@@ -25,10 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import narrow, through_arrow
+from .common import narrow, partitions, through_arrow
 
 MAGIC = b"\x1f\x8b\x08\x04"  # gzip, deflate, with an extra field
 VERSION = b"WARC/1.1\r\n"
+VERSIONS = (b"WARC/1.0\r\n", VERSION)
 EXTRA_ID = b"WO"  # extra subfield of our archives: where in the file the member starts
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SPLIT_BYTES = 32 << 20
@@ -138,13 +139,18 @@ class _Window:
         return self.block[at - self.at : at - self.at + n]
 
 
-def _starts_record(window: _Window, at: int) -> bool:
-    """Does a gzip member start here whose content begins like a WARC record?"""
+def _starts_record(window: _Window, at: int, next_one: bool = False) -> bool:
+    """Does a gzip member start here whose content begins like a WARC record?
+
+    A place found by its magic alone may lie inside a payload; one where the member before ended
+    (``next_one``) cannot, so the offset that our archives store is not asked for there: it is another one
+    behind the seam of archives laid end to end.
+    """
     probe = window.read(at, PROBE)
-    if probe[3:4] == MAGIC[3:] and probe[12:14] == EXTRA_ID and struct.unpack("<Q", probe[16:24])[0] != at:
+    if not next_one and probe[3:4] == MAGIC[3:] and probe[12:14] == EXTRA_ID and struct.unpack("<Q", probe[16:24])[0] != at:
         return False  # the member of an archive that is itself a payload
     try:
-        return zlib.decompressobj(31).decompress(probe, len(VERSION)) == VERSION
+        return zlib.decompressobj(31).decompress(probe, len(VERSION)) in VERSIONS
     except zlib.error:
         return False
 
@@ -163,12 +169,14 @@ def _decode(window: _Window, at: int) -> tuple[bytes, int]:
 
 def records_of(window: _Window, start: int, end: int) -> Iterator[bytes]:
     """Decoded members that start in ``[start, end)``."""
-    at = start
+    at, next_one = start, start == 0
     while at < min(end, window.size):
-        if _starts_record(window, at):
+        if _starts_record(window, at, next_one):
             record, at = _decode(window, at)
+            next_one = True
             yield record
         else:
+            next_one = False
             at += 1
             while at < min(end, window.size):
                 block = window.read(at, BLOCK)
@@ -208,10 +216,15 @@ RECORD = (
 
 
 def read_archives(spark: SparkSession, folder: str, archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """One row per record of the ``archives`` (``path`` below ``folder``, ``bytes``), in byte ranges."""
+    """One row per record of the ``archives`` (``path`` below ``folder``, ``bytes``), in byte ranges.
+
+    WARC 1.0 and 1.1 are read. A range that begins behind the seam of two of our archives laid end to end
+    finds no record by itself; :func:`require_all` tells when records are missing.
+    """
     spots = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))
     ranges = archives.where("bytes > 0").select("path", "bytes", F.explode(spots).alias("start"))
-    ranges = ranges.repartition("path", "start")
+    # A fixed number of partitions, or adaptive execution would leave the few rows to one reader.
+    ranges = ranges.repartition(partitions(spark), "path", "start")
 
     def each(columns):
         store, base = _open_folder(folder)
@@ -227,3 +240,10 @@ def read_archives(spark: SparkSession, folder: str, archives: DataFrame, split_b
                     yield {name: [row[name] for row in rows] for name in rows[0]}
 
     return through_arrow(ranges, each, RECORD)
+
+
+def require_all(records: DataFrame, archives: DataFrame) -> None:
+    """Raise when ``records`` are not as many as the ``archives`` say they hold."""
+    found, held = records.count(), archives.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    if found != held:
+        raise ValueError(f"{found} of {held} records were read back")
