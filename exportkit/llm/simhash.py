@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, texts, through_arrow, written
+from .common import narrow, partitions, texts, through_arrow, written
 from .components import components
 
 SHINGLE = 3
@@ -81,7 +81,9 @@ def near_on_a_half(nodes: DataFrame) -> DataFrame:
     Halves that differ in one bit differ in parity: the even one emits all its flips, the odd one
     only itself, and they meet at the odd one.
     """
-    keys = []
+    # Thousands of fingerprints fit a few bytes of a file, and each becomes many rows: the scan alone would
+    # leave them to one task.
+    nodes, keys = nodes.repartition(partitions(nodes.sparkSession), "fp"), []
     for side, half in enumerate(_halves(F.col("fp"))):
         flips = F.array(half, *(half.bitwiseXOR(F.lit(1 << bit).cast("long")) for bit in range(HALF)))
         even = F.bit_count(half) % 2 == 0
@@ -102,6 +104,7 @@ def links(nodes: DataFrame) -> DataFrame:
     single = F.lit([_signed(m) for m in _SINGLE]).cast("array<long>")
     larger = F.lit([_signed(m) for m in _SINGLE + _DOUBLE]).cast("array<long>")
     odd = F.bit_count("fp") % 2 == 1
+    nodes = nodes.repartition(partitions(nodes.sparkSession), "fp")
     balls = nodes.select("fp", F.explode(F.when(odd, larger).otherwise(single)).alias("mask"))
     balls = balls.select(
         "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), (F.bit_count("mask") <= 1).alias("close")
