@@ -17,10 +17,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, drop_written, narrow, partitions, rows_through_arrow, through_arrow, written
+from .common import WORD, drop_written, narrow, partitions, rows_through_arrow, written
 
 #: Turns that a container may hold below its head before it bursts.
 CONTAINER_TURNS = 1 << 16
@@ -96,8 +97,6 @@ def _ends(convs: DataFrame) -> DataFrame:
     dealt = joined.repartition(many, "sequence").sortWithinPartitions("sequence", "first")
 
     def run(batches):
-        import pyarrow as pa
-
         open_, state = None, None
         for batch in batches:
             done: list[tuple[str, str]] = []
@@ -123,14 +122,11 @@ def _ends(convs: DataFrame) -> DataFrame:
 def _burst(entries: DataFrame, limit: int) -> tuple[list[DataFrame], list[DataFrame], list[DataFrame]]:
     """``(ready, burst, scratch)``: entries in containers that need no burst, and the containers that did.
 
-    ``entries``: ``sequence``, ``n``, ``first`` (smallest id), ``turns``. Ready entries also have their
-    container's ``head`` (a digest of the turns all its entries begin with), their number ``depth`` and
-    the ``path`` of burst containers above.
+    ``entries``: ``sequence``, ``n``, ``first`` (smallest id), ``turns``, and of their container: its
+    ``head`` (a digest of the turns all its entries begin with), their number ``depth`` and the ``path`` of
+    burst containers above.
     """
-    now = entries.select(
-        "*", F.lit(ROOT).alias("head"), F.lit(0).alias("depth"), F.array().cast("array<string>").alias("path")
-    )
-    ready, bursts, scratch = [], [], []
+    now, ready, bursts, scratch = entries, [], [], []
     while True:
         sizes = now.groupBy("head").agg(
             F.sum(F.size("turns") - F.col("depth")).alias("held"),
@@ -231,8 +227,6 @@ def _swept(entries: DataFrame) -> DataFrame:
     dealt = dealt.sortWithinPartitions("head", "turns")
 
     def run(batches):
-        import pyarrow as pa
-
         def pack(rows):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
@@ -258,8 +252,6 @@ def _swept(entries: DataFrame) -> DataFrame:
         if sweep is not None:
             yield pack(list(sweep.rows()))
 
-    import pyarrow as pa
-
     names = [part.split()[0] for part in NODES.split(", ")] + ["path"]
     kinds = [pa.int64()] * 7 + [pa.string(), pa.list_(pa.string())]
     return dealt.mapInArrow(run, NODES + ", path array<string>")
@@ -299,6 +291,9 @@ def trie(convs: DataFrame, container_turns: int = CONTAINER_TURNS) -> DataFrame:
     entries = convs.groupBy("sequence").agg(
         F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("first"), F.first("turns").alias("turns")
     )
+    entries = entries.withColumns(
+        {"head": F.lit(ROOT), "depth": F.lit(0), "path": F.array().cast("array<string>")}
+    )
     entries = written(entries, "trie-entries")
     ready, bursts, scratch = _burst(entries, container_turns)
     swept = written(_swept(_all(ready)), "trie-nodes")
