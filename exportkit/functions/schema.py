@@ -104,17 +104,42 @@ def audit(spark: SparkSession, schema: StructType) -> DataFrame:
     return small_table(spark, rows, "column string, type string, finding string")
 
 
-def drift(spark: SparkSession, before: StructType, after: StructType) -> DataFrame:
-    """``(column, before_type, after_type, change)`` for columns added, removed or retyped."""
+def _parts(kind: DataType) -> dict[str, DataType] | None:
+    """Named parts of a nested type, None for a plain one."""
+    if isinstance(kind, StructType):
+        return {f.name: f.dataType for f in kind}
+    if isinstance(kind, ArrayType):
+        return {"element": kind.elementType}
+    if isinstance(kind, MapType):
+        return {"key": kind.keyType, "value": kind.valueType}
+    return None
+
 
-    def listing(schema: StructType, label: str) -> DataFrame:
-        rows = [(f.name, f.dataType.simpleString()) for f in schema]
-        return small_table(spark, rows, f"column string, {label} string")
+def differences(before: DataType, after: DataType, path: str = "") -> list[tuple[str, str | None, str | None, str]]:
+    """``(column, before_type, after_type, change)`` wherever two types differ, as deep as they differ.
 
-    both = listing(before, "before_type").join(listing(after, "after_type"), "column", "full_outer")
-    change = (
-        F.when(F.col("before_type").isNull(), "added")
-        .when(F.col("after_type").isNull(), "removed")
-        .otherwise("retyped")
+    Parts of a struct, the ``element`` of an array, and the ``key`` and ``value`` of a map are named by
+    their path. The order of columns does not count.
+    """
+    old, new = _parts(before), _parts(after)
+    if old is None or new is None or type(before) is not type(after):
+        texts = before.simpleString(), after.simpleString()
+        return [] if texts[0] == texts[1] else [(path, *texts, "retyped")]
+    found = []
+    for name in dict.fromkeys([*old, *new]):
+        at = f"{path}.{name}" if path else name
+        if name not in new:
+            found.append((at, old[name].simpleString(), None, "removed"))
+        elif name not in old:
+            found.append((at, None, new[name].simpleString(), "added"))
+        else:
+            found += differences(old[name], new[name], at)
+    return found
+
+
+def drift(spark: SparkSession, before: StructType, after: StructType) -> DataFrame:
+    """The :func:`differences` of two schemas as a table: columns and nested fields added, removed or
+    retyped."""
+    return small_table(
+        spark, differences(before, after), "column string, before_type string, after_type string, change string"
     )
-    return both.filter(~F.col("before_type").eqNullSafe(F.col("after_type"))).withColumn("change", change)

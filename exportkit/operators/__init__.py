@@ -1,4 +1,7 @@
+from .cut import file_place, listed
+from .difference import differing_rows
 from .fingerprint import fingerprint
+from .footers import file_facts, footers, landed_schemas, with_facts
 from .inventory import ExportInvalid, file_md5, files, landed_files, reconcile, require_valid, validate
 from .shards import (
     DAY_COLUMNS,
@@ -13,6 +16,7 @@ from .shards import (
     coverage,
     day_columns,
     day_slice,
+    equal_depth_shards,
 )
 from .sink import Written, checked_path, read_export, unload, write_export
 from .windows import Bounds, first_run_value, latest_per_key, upper_bound, window
@@ -34,12 +38,19 @@ __all__ = [
     "coverage",
     "day_columns",
     "day_slice",
+    "differing_rows",
+    "equal_depth_shards",
+    "file_facts",
     "file_md5",
+    "file_place",
     "files",
     "fingerprint",
     "first_run_value",
+    "footers",
     "landed_files",
+    "landed_schemas",
     "latest_per_key",
+    "listed",
     "read_export",
     "reconcile",
     "require_valid",
@@ -47,5 +58,6 @@ __all__ = [
     "upper_bound",
     "validate",
     "window",
+    "with_facts",
     "write_export",
 ]

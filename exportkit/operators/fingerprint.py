@@ -20,7 +20,7 @@ def _has_map(kind: DataType) -> bool:
     return _has_map(kind.elementType) if hasattr(kind, "elementType") else False
 
 
-def _hashable(field: StructField) -> Column:
+def hashable(field: StructField) -> Column:
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, MapType) and not _has_map(field.dataType.valueType):
         return F.array_sort(F.map_entries(column))
@@ -32,18 +32,22 @@ def row_hash(fields: Sequence[StructField]) -> Column:
 
     Which columns are NULL is part of it, because the hash function itself skips NULLs.
     """
-    return F.xxhash64(*[_hashable(f) for f in fields], *[F.col(f"`{f.name}`").isNull() for f in fields])
+    return F.xxhash64(*[hashable(f) for f in fields], *[F.col(f"`{f.name}`").isNull() for f in fields])
 
 
 def hash_sums(column: str = ROW_HASH) -> list[Column]:
     """Sums over the hash in slices of 22, 22 and 20 bits: long additions that cannot
     overflow below 2**41 rows, where one sum over whole hashes would."""
+    return [F.sum(part).alias(name) for name, part in zip(SUMS, hash_slices(column))]
+
+
+def hash_slices(column: str = ROW_HASH) -> list[Column]:
+    """The three slices of the hash that :func:`hash_sums` adds up."""
     mask = F.lit((1 << 22) - 1).cast("bigint")
-    low, middle, high = SUMS
     return [
-        F.sum(F.col(column).bitwiseAND(mask)).alias(low),
-        F.sum(F.shiftrightunsigned(column, 22).bitwiseAND(mask)).alias(middle),
-        F.sum(F.shiftrightunsigned(column, 44)).alias(high),
+        F.col(column).bitwiseAND(mask),
+        F.shiftrightunsigned(column, 22).bitwiseAND(mask),
+        F.shiftrightunsigned(column, 44),
     ]
 
 

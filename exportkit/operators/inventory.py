@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import islice
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -16,13 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import path_exists, small_table
+from .cut import listed
 from .fingerprint import SUMS, fingerprint
 from .shards import SHARD, Shards, SingleShard
 from .sink import Written, read_export
 
-# A file up to this size is one value in its task; a longer one is hashed in pieces.
-MD5_AT_ONCE_BYTES = 256 << 20
 MD5_PIECE_BYTES = 8 << 20
+# Rows that the default check decodes of every row group but the first, which it decodes whole.
+ROWS_PER_GROUP = 1_024
 
 INVENTORY_SCHEMA = (
     "shard_index int, uri string, rows bigint, bytes bigint, md5 string, elapsed_s double, skipped boolean"
@@ -53,17 +55,16 @@ def files(
     )
 
 
-def file_md5(spark: SparkSession, *paths: str, at_once: int = MD5_AT_ONCE_BYTES) -> DataFrame:
+def file_md5(spark: SparkSession, *paths: str) -> DataFrame:
     """``(uri, md5)`` of every file under ``paths``.
 
-    Spark reads files up to ``at_once`` bytes as one value. Longer ones are read piece by piece
-    inside the tasks, through Arrow's filesystems; a store that Arrow cannot open is an error.
+    Files of any size are read piece by piece inside the tasks, through Arrow's filesystems; a store that
+    Arrow cannot open is an error.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-    uri = F.col("_metadata.file_path").alias("uri")
-    short = listed.filter(F.col("length") <= at_once).select(uri, F.md5("content").alias("md5"))
-    long = listed.filter(F.col("length") > at_once).select(uri)
-    return short.unionByName(long.mapInArrow(_md5_by_pieces, "uri string, md5 string"))
+    places = reduce(DataFrame.unionAll, [listed(spark, path).select("uri") for path in paths])
+    # A fixed number of partitions, or adaptive execution would read all files in one task.
+    spread = places.repartition(spark.sparkContext.defaultParallelism, "uri")
+    return spread.mapInArrow(_md5_by_pieces, "uri string, md5 string")
 
 
 def arrow_place(uri: str) -> tuple[pa_fs.FileSystem, str]:
@@ -159,29 +160,32 @@ class ExportInvalid(RuntimeError):
 
 
 def _with_problem(files: DataFrame) -> DataFrame:
-    """``files`` with the ``problem`` met when the first row group of each is decoded, in the tasks."""
+    """``files`` with the ``problem`` met when some of every row group of each is decoded, in the tasks."""
     spark = files.sparkSession
     # A fixed number of partitions, or adaptive execution would read all files in one task.
     spread = files.select("uri", "rows", "bytes").repartition(spark.sparkContext.defaultParallelism, "uri")
-    return spread.mapInArrow(_first_groups, "uri string, rows bigint, bytes bigint, problem string")
+    return spread.mapInArrow(_all_groups, "uri string, rows bigint, bytes bigint, problem string")
 
 
-def _first_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _all_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        problems = pa.array([_first_group(uri) for uri in batch.column("uri").to_pylist()], pa.string())
+        problems = pa.array([_problem_of(uri) for uri in batch.column("uri").to_pylist()], pa.string())
         yield batch.append_column("problem", problems)
 
 
-def _first_group(uri: str) -> str | None:
+def _problem_of(uri: str) -> str | None:
+    """What goes wrong when the first row group, and the first pages of every other, are decoded."""
+    group = 0
     try:
         store, path = arrow_place(uri)
         with store.open_input_file(path) as source:
-            parquet = pq.ParquetFile(source)
-            if parquet.num_row_groups:
-                for _ in parquet.iter_batches(batch_size=8192, row_groups=[0]):
+            parquet = pq.ParquetFile(source, buffer_size=64 << 10)
+            for group in range(parquet.num_row_groups):
+                rows = parquet.iter_batches(batch_size=8192 if group == 0 else ROWS_PER_GROUP, row_groups=[group])
+                for _ in rows if group == 0 else islice(rows, 1):
                     pass
     except (OSError, pa.ArrowException) as error:
-        return f"{uri}: {error}".splitlines()[0]
+        return f"{uri}, row group {group}: {error}".splitlines()[0]
     return None
 
 
@@ -190,8 +194,9 @@ def validate(spark: SparkSession, written: Written, listing: DataFrame, *, level
 
     ``listing`` is the write's ``landed_files``. ``footer`` is content with it: it opened every
     footer, so files exist, none is empty, and their row counts add up to what the writing
-    tasks took in. ``sample`` also decodes the first row group of every Parquet file, through
-    Arrow's filesystems; on a store that Arrow cannot open, ask for another level. ``full``
+    tasks took in. ``sample`` also decodes the first row group of every Parquet file and the first
+    pages of every other, through Arrow's filesystems; on a store that Arrow cannot open, ask for another
+    level. ``full``
     decodes every column of every row and, when the write was made with ``checksum``, compares
     the hash sums with those of the rows being written.
     """
@@ -215,7 +220,7 @@ def validate(spark: SparkSession, written: Written, listing: DataFrame, *, level
             ("row_total", total["rows"] == expected, f"{total['rows']} of {expected} rows"),
         ]
         if sampled:
-            detail = total["problem"] or "first row group of every file"
+            detail = total["problem"] or "some of every row group"
             checks.append(("values_decode", total["broken"] == 0, detail))
         if level == "full":
             export = read_export(spark, written).withColumn("_uri", F.col("_metadata.file_path"))

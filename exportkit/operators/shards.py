@@ -328,3 +328,56 @@ def coverage(df: DataFrame, shards: Shards) -> DataFrame:
     claimed = [F.coalesce(p.cast("int"), F.lit(0)) for p in shards.predicates()]
     hits = reduce(lambda a, b: a + b, claimed).alias("hits")
     return df.groupBy(hits).agg(F.count("*").alias("rows"))
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _quantiles(df: DataFrame, key: str, parts: int, accuracy: int) -> list:
+    """Values of ``key`` that cut its rows into ``parts`` of about the same size; a value that holds
+    several parts comes several times."""
+    places = [i / parts for i in range(1, parts)]
+    if not places:
+        return []
+    found = df.agg(F.percentile_approx(_column(key), places, accuracy)).first()[0]
+    return list(found or [])
+
+
+def equal_depth_shards(
+    df: DataFrame, key: str, parts: int, then: str | None = None, quote: str = "`", accuracy: int = 10_000
+) -> PredicateShards:
+    """Range conditions on ``key`` that give each shard about the same number of rows.
+
+    Borders are approximate quantiles, right to ``1 / accuracy`` of the rows. A value that holds several
+    parts by itself gets a shard of its own, which ``then``, a numeric column, cuts into as many. Together
+    the conditions take every row once: below the first border, NULL keys too. Names stand in ``quote``
+    (a backtick for Spark, a double quote for most databases), so that the texts can be handed to a
+    :class:`~exportkit.sources.JdbcSource` as they are. The key has to be a number.
+    """
+    if parts < 1:
+        raise ValueError("parts must be at least 1")
+    quoted = lambda name: quote + name.replace(quote, quote * 2) + quote
+
+    def ranges(column: str, cuts: list, lone: Sequence = ()) -> list[tuple]:
+        """``(cut, condition)`` of each half-open range; values in ``lone`` are left out of theirs."""
+        found = []
+        for low, high in zip([None, *cuts], [*cuts, None]):
+            bounds = [] if low is None else [f"{column} {'>' if low in lone else '>='} {sql_literal(low)}"]
+            bounds += [] if high is None else [f"{column} < {sql_literal(high)}"]
+            text = " AND ".join(bounds) or "1 = 1"
+            found.append((low, f"({text} OR {column} IS NULL)" if low is None and bounds else text))
+        return found
+
+    borders = _quantiles(df, key, parts, accuracy)
+    heavy = {v: borders.count(v) for v in borders if borders.count(v) > 1}
+    conditions = []
+    for low, condition in ranges(quoted(key), sorted(set(borders)), heavy):
+        if low in heavy:
+            own = f"{quoted(key)} = {sql_literal(low)}"
+            inner = []
+            if then is not None:
+                inner = sorted(set(_quantiles(df.where(_column(key) == F.lit(low)), then, heavy[low], accuracy)))
+            conditions += [f"{own} AND {part}" for _, part in ranges(quoted(then), inner)] if inner else [own]
+        conditions.append(condition)
+    return PredicateShards(conditions)

@@ -10,11 +10,12 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.schema import coerce_timestamps
 from ..options import MIB, LayoutOptions, ParquetOptions, UnloadOptions
-from ..session import conf_scope, delete_path, hadoop_path
+from ..session import delete_path, hadoop_path, path_exists, small_table, with_settings
+from .cut import hold_cap
 from .fingerprint import ROW_HASH, SUMS, hash_sums, row_hash
 from .shards import Shards, SingleShard
 
@@ -22,6 +23,9 @@ from .shards import Shards, SingleShard
 # could not be told from a quoted empty one (empty text).
 UNQUOTED_EMPTY = "\u0000null\u0000"
 LONE_NULL = "\\N"
+SALT = "_salt"
+# Finer than the parts asked for, so that parts of about one size come out of a hash.
+SALTS_PER_PART = 8
 
 
 @dataclass(frozen=True)
@@ -58,15 +62,15 @@ def _run_write(
     """
     observed = Observation(f"written-{uuid.uuid4().hex}")
     counts = [F.count(F.lit(1)).alias("rows")]
-    if checksum:
-        df = df.withColumn(ROW_HASH, row_hash(list(written.schema)))
-        df = df.observe(observed, *counts, *hash_sums()).drop(ROW_HASH)
-    else:
-        df = df.observe(observed, *counts)
     settings = {**settings, "spark.sql.adaptive.enabled": "true"}
     started = time.time()
-    with conf_scope(df.sparkSession, settings):
-        write(df)
+    with with_settings(df, settings) as out:
+        if checksum:
+            out = out.withColumn(ROW_HASH, row_hash(list(written.schema)))
+            out = out.observe(observed, *counts, *hash_sums()).drop(ROW_HASH)
+        else:
+            out = out.observe(observed, *counts)
+        write(out)
     found = observed.get
     sums = tuple(found[s] or 0 for s in SUMS) if checksum else None
     return replace(
@@ -83,6 +87,23 @@ def dealt_out(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
+def salted(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """``df`` with a salt that deals the rows of a directory of more than ``hot_rows`` into parts.
+
+    The salt follows from a row's position in its task, so a repeated task deals its rows the same way.
+    There are at most ``rows / hot_rows`` such directories; others have one part.
+    """
+    counts = df.groupBy(*(F.col(f"`{k}`") for k in keys)).agg(F.count(F.lit(1)).alias("_held"))
+    hot = counts.where(F.col("_held") > hot_rows).select(*(F.col(f"`{k}`") for k in keys), F.ceil(F.col("_held") / hot_rows * SALTS_PER_PART).cast("bigint"))
+    names = [f"_hot{i}" for i in range(len(keys))]
+    schema = StructType([*(StructField(n, df.schema[k].dataType) for n, k in zip(names, keys)), StructField("_parts", LongType())])
+    parts = small_table(df.sparkSession, [tuple(r) for r in hot.collect()], schema)
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    salt = F.pmod(F.col("_position"), F.coalesce("_parts", F.lit(1).cast("bigint"))).alias(SALT)
+    placed = df.withColumn("_position", F.monotonically_increasing_id())
+    return placed.join(parts, same, "left").select(*(F.col(f"`{c}`") for c in df.columns), salt)
+
+
 def write_export(
     df: DataFrame,
     path: str,
@@ -115,6 +136,8 @@ def write_export(
     keys = list(dict.fromkeys([*shards.partition_columns, *partition_by]))
 
     def exchanged(rows: DataFrame) -> DataFrame:
+        if keys and layout.shuffle and layout.hot_rows:
+            return salted(rows, keys, layout.hot_rows).hint("rebalance", *keys, SALT).drop(SALT)
         if keys and layout.shuffle:
             return rows.hint("rebalance", *keys)
         return dealt_out(rows) if layout.spread else rows
@@ -144,6 +167,7 @@ def write_export(
 
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(layout.target_file_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min(MIB, layout.target_file_bytes)),
         # The same for every export: values are cut by the projection above, so exports that
         # run side by side cannot cut each other's, and nested values stay as they are.
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
@@ -167,10 +191,19 @@ def _no_empty_directory(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 @contextmanager
 def replacing(spark: SparkSession, path: str) -> Iterator[str]:
-    """A folder to write to, which takes the place of ``path`` once the block has succeeded.
+    """A folder to write to, which is ``path`` once the block has succeeded.
 
-    A failed attempt is removed and leaves what was there before untouched.
+    Where nothing was before, that is ``path`` itself. A folder that exists is left untouched by a failed
+    attempt and replaced by renaming, which suits file systems; an ``ExportJob`` never renames data, as
+    each of its attempts has a folder of its own that its catalog points to.
     """
+    if not path_exists(spark, path):
+        try:
+            yield path
+        except BaseException:
+            delete_path(spark, path)
+            raise
+        return
     fs, target = hadoop_path(spark, path)
     staged, before = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("attempt", "before"))
     try:
@@ -179,13 +212,11 @@ def replacing(spark: SparkSession, path: str) -> Iterator[str]:
         delete_path(spark, staged)
         raise
     new, old = hadoop_path(spark, staged)[1], hadoop_path(spark, before)[1]
-    there = fs.exists(target)
-    if there and not fs.rename(target, old):
+    if not fs.rename(target, old):
         raise OSError(f"{path} cannot be moved aside for its next attempt, which is complete at {staged}")
     if not fs.rename(new, target):
         raise OSError(f"{staged} cannot be moved to {path}; what was there before is at {before}")
-    if there:
-        fs.delete(old, True)
+    fs.delete(old, True)
 
 
 # Microseconds are kept in text formats (Spark's default pattern cuts them).
@@ -216,13 +247,14 @@ def _lone_text_column(schema: StructType) -> str | None:
 
 
 def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, checksum: bool = False) -> Written:
-    """Distributed write without shards: Spark decides on the files.
-
-    The source is read once. Its rows pass an exchange that AQE measures and cuts into files of
-    ``max_file_bytes``; the measure is the exchange's own, of compressed rows, so uncompressed
-    text comes out larger. ``order_by`` keeps the row order across the file names (a range
-    exchange). With ``single`` AQE merges up to that size instead of using every core. Without
-    ``spread`` (and order) there is no exchange: one file per task, of whatever size.
+    """Distributed write without shards: Spark decides on the files, ``max_file_bytes`` on their size.
+
+    The source is read once. Its rows pass an exchange that AQE measures and cuts into files of about
+    the cap; what comes out larger is cut again by its measured size (``cut.hold_cap``), so the cap holds
+    for every format and size, but for a row that is larger by itself. ``order_by`` keeps the row order
+    across the file names (a range exchange). ``single`` asks for one sequence of files, each filled up
+    to the cap before the next begins: one file where the cap allows it. Without ``spread`` (and order)
+    there is no exchange at first: one file per task, and the cap.
     """
     options = options or UnloadOptions()
     settings = {
@@ -246,30 +278,49 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
         mark = F.raise_error(F.lit(f"the text {LONE_NULL!r} stands for NULL in a CSV of one column"))
         df = df.withColumn(lone_text, F.when(F.col(f"`{lone_text}`") == LONE_NULL, mark).otherwise(F.col(f"`{lone_text}`")))
 
-    def write(out: DataFrame, path: str) -> None:
-        writer = out.write.mode("errorifexists")
+    def write(out: DataFrame, target: str, mode: str = "errorifexists") -> None:
+        writer = out.write.mode(mode)
         writer = writer.option("partitionOverwriteMode", "static")
         if options.format == "parquet":
-            writer.options(**ParquetOptions(compression=options.codec).writer_options()).parquet(path)
+            writer.options(**ParquetOptions(compression=options.codec).writer_options()).parquet(target)
         elif options.format == "csv":
-            writer.options(compression=options.codec, **csv_options(options.header), **_lone_null(schema)).csv(path)
+            writer.options(compression=options.codec, **csv_options(options.header), **_lone_null(schema)).csv(target)
         else:
-            writer.options(compression=options.codec, ignoreNullFields=False, **TEXT_TIMES).json(path)
+            writer.options(compression=options.codec, ignoreNullFields=False, **TEXT_TIMES).json(target)
+
+    def append(rows: DataFrame, target: str) -> None:
+        with with_settings(rows, settings) as out:
+            write(out, target, "append")
 
     plan = Written(path, schema, format=options.format, header=options.header)
+
+    def run(target: str) -> Written:
+        done = _run_write(df, plan, settings, checksum, lambda out: write(out, target))
+        hold_cap(
+            df.sparkSession,
+            target,
+            lambda places: read_export(df.sparkSession, plan, places),
+            lambda rows: append(rows, target),
+            options.max_file_bytes,
+            in_order=bool(options.order_by),
+            fill_up=options.single,
+        )
+        return replace(done, elapsed_s=time.time() - done.started)
+
     if not options.overwrite:
-        return _run_write(df, plan, settings, checksum, lambda out: write(out, path))
+        return run(path)
     with replacing(df.sparkSession, path) as staged:
-        return _run_write(df, plan, settings, checksum, lambda out: write(out, staged))
+        return run(staged)
 
 
-def read_export(spark: SparkSession, written: Written) -> DataFrame:
-    """Read an export or unload back with the schema it was written with (no inference)."""
-    reader = spark.read.schema(written.schema)
+def read_export(spark: SparkSession, written: Written, places: Sequence[str] = ()) -> DataFrame:
+    """Read an export or unload back with the schema it was written with (no inference), or only the
+    files in ``places``."""
+    reader, at = spark.read.schema(written.schema), list(places) or [written.path]
     if written.format == "csv":
         options = {**csv_options(written.header), "multiLine": True, "nullValue": UNQUOTED_EMPTY}
         options |= _lone_null(written.schema)
-        return reader.options(**options).csv(written.path)
+        return reader.options(**options).csv(at)
     if written.format == "json":
-        return reader.options(**TEXT_TIMES).json(written.path)
-    return reader.parquet(written.path)
+        return reader.options(**TEXT_TIMES).json(at)
+    return reader.parquet(*at)

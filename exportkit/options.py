@@ -69,14 +69,21 @@ class LayoutOptions:
     with one predicate per shard. ``spread`` deals the rows of an unsharded export out to all
     cores before they are encoded: for sources that few tasks read, such as one JDBC
     connection or one file that cannot be split.
+
+    AQE splits a directory between the tasks that feed it, but not what one task gives to it. With
+    ``hot_rows`` the rows per directory are counted first (a pass over the directory columns alone), and
+    those of a directory that has more are dealt out by their position, ``hot_rows`` to a part.
     """
 
     target_file_bytes: int = 256 * MIB
     max_records_per_file: int = 0
     shuffle: bool = True
     spread: bool = False
+    hot_rows: int = 0
 
     def __post_init__(self):
+        if self.hot_rows < 0:
+            raise ValueError("hot_rows must not be negative")
         if self.target_file_bytes < 1:
             raise ValueError("target_file_bytes must be positive")
         if self.max_records_per_file < 0:

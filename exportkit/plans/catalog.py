@@ -1,12 +1,17 @@
 """Catalog of everything that landed, and the JSON manifest published from it.
 
 The catalog is a Parquet table partitioned by job and run, written by Spark; it is the source
-of truth. A manifest is a small document for readers without Spark, published last.
+of truth. Every attempt of a run writes to a folder of its own, and the catalog entry, one file that
+appears at once, is the switch that makes it the current one: no data is renamed, and readers of the
+attempt before keep their files until they are pruned. A manifest is a document for readers without
+Spark, published last.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Iterator
 from datetime import datetime, timezone
 from typing import Any
 from urllib.parse import unquote
@@ -15,16 +20,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.cut import listed
 from ..operators.inventory import INVENTORY_SCHEMA
 from ..operators.shards import SHARD
-from ..session import conf_scope, path_exists, qualify, read_text, small_table, write_text_atomically
+from ..session import (
+    delete_path,
+    hadoop_path,
+    path_exists,
+    qualify,
+    read_text,
+    small_table,
+    with_settings,
+    write_text_atomically,
+)
 
-CATALOG_SCHEMA = f"{INVENTORY_SCHEMA}, path string, exported_at timestamp, job string, run_id string"
+CATALOG_SCHEMA = f"{INVENTORY_SCHEMA}, path string, folder string, exported_at timestamp, job string, run_id string"
 
 # Manifest format version and file name.
 MANIFEST_VERSION = 1
 MANIFEST_NAME = "_manifest.json"
 
+SNAPSHOT_NAME = "_snapshot.json"
+LOG_FILE = "log_file"
+
 MANIFEST_DOCUMENT = (
     "version int, exported_at string, total_rows bigint, total_bytes bigint, files array<struct<"
     "shard_index: int, remote_uri: string, rows: bigint, bytes: bigint, md5: string, skipped: boolean>>"
@@ -40,28 +58,88 @@ class Catalog:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.path = f"{root.rstrip('/')}/files"
+        self.root = root.rstrip("/")
+        self.path = f"{self.root}/files"
 
     def entries(self) -> DataFrame:
+        """All entries: those of the last snapshot, and of the log files that came since."""
+        return self._recorded().drop(LOG_FILE)
+
+    def _recorded(self) -> DataFrame:
+        """The entries, each with the log file it came from."""
+        snapshot, log = self._snapshot(), self._log()
+        if snapshot is None:
+            return log
+        return snapshot.unionByName(log.join(snapshot.select(LOG_FILE).distinct(), LOG_FILE, "left_anti"))
+
+    def _log(self) -> DataFrame:
         if not path_exists(self.spark, self.path):
-            return small_table(self.spark, [], CATALOG_SCHEMA)
-        return self.spark.read.schema(CATALOG_SCHEMA).parquet(self.path)
+            return small_table(self.spark, [], f"{CATALOG_SCHEMA}, {LOG_FILE} string")
+        found = self.spark.read.schema(CATALOG_SCHEMA).parquet(self.path)
+        return found.withColumns({"folder": F.coalesce("folder", "path"), LOG_FILE: F.col("_metadata.file_path")})
+
+    def _head(self) -> dict[str, Any]:
+        place = f"{self.root}/{SNAPSHOT_NAME}"
+        return json.loads(read_text(self.spark, place)) if path_exists(self.spark, place) else {}
+
+    def _snapshot(self) -> DataFrame | None:
+        name = self._head().get("snapshot")
+        if name is None:
+            return None
+        return self.spark.read.schema(f"{CATALOG_SCHEMA}, {LOG_FILE} string").parquet(f"{self.root}/{name}")
+
+    def compact(self) -> int:
+        """Merge the entries of all runs into a few files; returns how many log files they replace.
+
+        The new snapshot takes effect by one small document. Log files that it covers are no longer read,
+        and what the compaction before replaced is removed now, so that readers which began before a
+        compaction still find their files. Runs may go on meanwhile: their entries stay in the log.
+        """
+        before, snapshot, log = self._head(), self._snapshot(), self._log()
+        name = f"snapshot-{uuid.uuid4().hex}"
+        dealt = self._recorded().hint("rebalance", "job", "path").sortWithinPartitions("job", "path", "exported_at")
+        with with_settings(dealt, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}) as out:
+            out.write.parquet(f"{self.root}/{name}")
+        covered = log.select(LOG_FILE).distinct().count()
+        head = {"snapshot": name, "before": before.get("snapshot")}
+        write_text_atomically(self.spark, f"{self.root}/{SNAPSHOT_NAME}", [json.dumps(head)])
+        if before:
+            old = snapshot.select(LOG_FILE).distinct()
+            for row in old.toLocalIterator():
+                fs, file = hadoop_path(self.spark, unquote(row[LOG_FILE]))
+                fs.delete(file, False)
+                if fs.exists(file.getParent()) and not fs.listStatus(file.getParent()):
+                    fs.delete(file.getParent(), False)
+            if before.get("before"):
+                delete_path(self.spark, f"{self.root}/{before['before']}")
+        return covered
 
     def append(
-        self, job: str, run_id: str, path: str, inventory: DataFrame, exported_at: datetime | None = None
+        self,
+        job: str,
+        run_id: str,
+        path: str,
+        inventory: DataFrame,
+        exported_at: datetime | None = None,
+        folder: str | None = None,
     ) -> datetime:
-        """Record one attempt of a run. A repeated run adds a newer attempt."""
+        """Record one attempt of a run, whose files lie in ``folder`` (default: ``path`` itself).
+
+        A repeated run adds a newer attempt. The entries go to one file, so that they all appear at
+        once; there is one entry per data file.
+        """
         when = exported_at or datetime.now(timezone.utc)
         stamped = inventory.withColumns(
             {
                 "path": F.lit(qualify(self.spark, path)),
+                "folder": F.lit(qualify(self.spark, folder or path)),
                 "exported_at": F.lit(when.isoformat()).cast("timestamp"),
                 "job": F.lit(job),
                 "run_id": F.lit(run_id),
             }
         )
-        with conf_scope(self.spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
-            stamped.write.mode("append").partitionBy("job", "run_id").parquet(self.path)
+        with with_settings(stamped.coalesce(1), {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}) as out:
+            out.write.mode("append").partitionBy("job", "run_id").parquet(self.path)
         return when
 
     def run(self, job: str, run_id: str) -> DataFrame:
@@ -114,20 +192,21 @@ class Catalog:
         """Current entries of one export path."""
         return self.latest_files(job, path)
 
-    def landed_shards(self, job: str, path: str) -> list[int]:
+    def folder_of(self, job: str, path: str) -> str | None:
+        """Where the current files of an export path lie: the folder of its newest attempt."""
+        found = self.current(job, path).agg(F.max_by("folder", "exported_at")).first()[0]
+        return found if found is None or path_exists(self.spark, found) else None
+
+    def landed_shards(self, job: str, path: str, folder: str | None = None) -> list[int]:
         """Shards of ``job`` that are complete under ``path``; as long as the shard layout.
 
         A shard counts when its newest recorded attempt wrote files and all of them are
         still there, so neither leftovers of a crashed write nor stale entries pass.
         """
-        if not path_exists(self.spark, path):
+        folder = folder or self.folder_of(job, path)
+        if folder is None:
             return []
-        present = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(path)
-            .select(F.col("_metadata.file_path").alias("uri"), F.lit(True).alias("there"))
-        )
+        present = listed(self.spark, folder).select("uri", F.lit(True).alias("there"))
         complete = (
             self.files_in(job, path)
             .join(present, "uri", "left")
@@ -137,6 +216,15 @@ class Catalog:
         )
         return sorted(r[SHARD] for r in complete.collect())
 
+    def prune(self, job: str, path: str, keep: int = 1) -> list[str]:
+        """Remove the folders of replaced attempts, but for the ``keep`` newest of them, whose readers may
+        not have finished. Returns the folders removed."""
+        place = qualify(self.spark, path)
+        own = self.entries().filter((F.col("job") == job) & (F.col("path") == place) & (F.col("folder") != place))
+        newest = own.groupBy("folder").agg(F.max("exported_at").alias("at")).orderBy(F.desc("at"))
+        old = [r["folder"] for r in newest.offset(keep + 1).collect()]
+        return [folder for folder in old if delete_path(self.spark, folder)]
+
 
 def latest_per_uri(entries: DataFrame) -> DataFrame:
     """The newest entry of every file over several manifests (``read_manifest``)."""
@@ -148,16 +236,24 @@ def latest_per_uri(entries: DataFrame) -> DataFrame:
 def read_files(files: DataFrame, base: str, schema: StructType, verify: bool = True) -> DataFrame:
     """Rows of the files listed by ``Catalog.run_files``, not of whatever lies in a folder.
 
-    ``base`` is the export path, so that partition columns are found. Files are read by path; the
-    list is no longer than the one Spark keeps on the driver for any scan. ``verify`` compares
-    the row total with the catalog (footers only).
+    ``base`` is the folder of the run (the ``path`` of its result), so that partition columns are found.
+    The list stays a table: it is compared with what lies in the folder, and rows of files that it does
+    not name, if there are any, are left out by a join on the file they come from. A listed file that is
+    gone is a ``ValueError``. ``verify`` compares the row total with the catalog (footers only).
     """
     spark = files.sparkSession
     total = files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
-    reader = spark.read.schema(schema).option("basePath", base)
     if total["files"] == 0:
         return small_table(spark, [], schema)
-    data = reader.parquet(*[unquote(r["uri"]) for r in files.select("uri").collect()])
+    named = files.select("uri").distinct().withColumn("named", F.lit(True))
+    both = listed(spark, base).select("uri", F.lit(True).alias("there")).join(named, "uri", "full_outer")
+    odd = both.agg(F.count_if(F.isnull("named")).alias("strangers"), F.count_if(F.isnull("there")).alias("gone")).first()
+    if odd["gone"]:
+        raise ValueError(f"{odd['gone']} files that the catalog lists are not below {base}")
+    data = spark.read.schema(schema).option("basePath", base).parquet(base)
+    if odd["strangers"]:
+        own = F.col("_metadata.file_path")
+        data = data.withColumn("_uri", own).join(named.select(F.col("uri").alias("_uri")), "_uri", "left_semi").drop("_uri")
     if verify:
         found = data.count()
         if found != total["rows"]:
@@ -187,24 +283,33 @@ def manifest_files(entries: DataFrame) -> DataFrame:
 def publish(
     entries: DataFrame, location: str, exported_at: datetime | None = None, extra: dict[str, Any] | None = None
 ) -> dict[str, Any]:
-    """Write the manifest of one run's entries and return the document.
+    """Write the manifest of one run's entries; returns the document without its ``files``.
 
-    Files are sorted by shard. The format is the same whatever their number.
+    Files are sorted by shard, one to a line. They pass through the driver one partition at a time and
+    are never held together, so a manifest has one format and may have any length.
     """
     spark = entries.sparkSession
-    listed = manifest_files(entries).orderBy(SHARD, "remote_uri")
-    files = [r.asDict() for r in listed.collect()]
-    document: dict[str, Any] = {
+    files = manifest_files(entries)
+    totals = files.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", "bytes")]).first()
+    head: dict[str, Any] = {
         "version": MANIFEST_VERSION,
         "exported_at": (exported_at or datetime.now(timezone.utc)).isoformat(),
-        "total_rows": sum(f["rows"] for f in files),
-        "total_bytes": sum(f["bytes"] for f in files),
-        "files": files,
+        "total_rows": totals["rows"],
+        "total_bytes": totals["bytes"],
     }
     if extra:
-        document["extra"] = extra
-    write_text_atomically(spark, location, json.dumps(document, indent=2))
-    return document
+        head["extra"] = extra
+
+    def lines() -> Iterator[str]:
+        yield json.dumps(head, indent=2).removesuffix("\n}") + ',\n  "files": ['
+        between = "\n    "
+        for row in files.orderBy(SHARD, "remote_uri").toLocalIterator():
+            yield between + json.dumps(row.asDict())
+            between = ",\n    "
+        yield "\n  ]\n}\n"
+
+    write_text_atomically(spark, location, lines())
+    return head
 
 
 def read_manifest(spark: SparkSession, location: str) -> DataFrame:

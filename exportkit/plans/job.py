@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from string import Formatter
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,7 @@ from ..operators.shards import SHARD, Shards, SingleShard
 from ..operators.sink import Written, checked_path, unload, write_export
 from ..operators.windows import FIRST_RUN, Bounds, first_run_value, fixed_text, upper_bound, window
 from ..options import LayoutOptions, ParquetOptions, UnloadOptions
-from ..session import delete_path
+from ..session import delete_path, path_exists
 from ..sources.jdbc import JdbcSource
 from ..sources.sql import SqlSource, scalar
 from .catalog import Catalog, manifest_location, publish
@@ -76,8 +78,11 @@ class RunResult:
 class ExportJob:
     """Everything about an export except the run.
 
-    ``path`` is relative to ``base`` and may hold ``{run_id}``. ``catalog`` is the folder of
-    the catalog, state and run-log tables. ``bulk`` switches from shards to a bulk unload.
+    ``path`` is relative to ``base`` and may hold ``{run_id}``, ``{watermark_prev}``, ``{watermark_now}``
+    and the names of the run's values. Every attempt writes to a folder of its own below it (the ``path``
+    of its result) that the catalog and the manifest point to once it is complete; ``keep_attempts``
+    replaced ones stay for readers that have begun. ``catalog`` is the folder of the catalog, state and
+    run-log tables. ``bulk`` switches from shards to a bulk unload.
     """
 
     name: str
@@ -100,6 +105,7 @@ class ExportJob:
     manifest: bool = True
     manifest_path: str | None = None
     extra: dict[str, Any] = field(default_factory=dict)
+    keep_attempts: int = 1
 
     def __post_init__(self):
         windowed = self.incremental is not None
@@ -112,7 +118,7 @@ class ExportJob:
                     raise ValueError(f"the template does not use :{missing[0]}")
         if windowed and self.incremental.column is None and not self._source_sees_window():
             raise ValueError("this source cannot see the window: give a window column")
-        checked_path(self.base, self.path.replace("{run_id}", "run"))
+        checked_path(self.base, self.path)
 
     def _source_sees_window(self) -> bool:
         if isinstance(self.source, SqlSource):
@@ -124,22 +130,32 @@ class ExportJob:
     def run(self, spark: SparkSession, run_id: str, values: dict[str, Any] | None = None) -> RunResult:
         started = time.time()
         values = dict(values or {})
-        path = checked_path(self.base, self.path.replace("{run_id}", run_id))
         catalog, state = Catalog(spark, self.catalog), StateTable(spark, self.catalog)
         shards = SingleShard() if self.bulk else self.shards
 
         bounds, had_plan = self._plan_window(spark, state, run_id, values)
+        path = self._place(run_id, bounds, values)
 
-        skipped = catalog.landed_shards(self.name, path) if self.skip_existing else []
+        folder = catalog.folder_of(self.name, path)
+        skipped = catalog.landed_shards(self.name, path, folder) if self.skip_existing and folder else []
         left = [s for s in range(shards.count) if s not in skipped]
+        if not skipped:
+            if not self.overwrite and path_exists(spark, path):
+                raise FileExistsError(f"{path} already exists")
+            folder = f"{path}/attempt-{uuid.uuid4().hex}"
 
         written, listing, cached = None, None, None
         if left:
-            written = self._write(spark, path, self._rows(spark, bounds, values), skipped, left)
-            listing = inv.landed_files(spark, written, shards, md5=self.md5, only=left if skipped else None)
-            listing = cached = listing.persist()
-            if self.check:
-                inv.require_valid(inv.validate(spark, written, listing, level=self.check))
+            try:
+                written = self._write(spark, folder, self._rows(spark, bounds, values), skipped, left)
+                listing = inv.landed_files(spark, written, shards, md5=self.md5, only=left if skipped else None)
+                listing = cached = listing.persist()
+                if self.check:
+                    inv.require_valid(inv.validate(spark, written, listing, level=self.check))
+            except BaseException:
+                if not skipped:  # nothing points to this attempt
+                    delete_path(spark, folder)
+                raise
         if skipped:
             untouched = catalog.files_in(self.name, path).filter(F.col(SHARD).isin(*skipped)).select(
                 SHARD,
@@ -152,7 +168,7 @@ class ExportJob:
             )
             listing = untouched if listing is None else listing.unionByName(untouched)
 
-        exported_at = catalog.append(self.name, run_id, path, listing)
+        exported_at = catalog.append(self.name, run_id, path, listing, folder=folder)
         location = self._publish(listing, path, written, exported_at)
         if bounds is not None and (left or had_plan):
             state.commit(self.name, run_id, bounds)
@@ -164,16 +180,28 @@ class ExportJob:
         )
         if cached is not None:
             cached.unpersist()
+        if not skipped:
+            catalog.prune(self.name, path, self.keep_attempts)
         return RunResult(
             job=self.name,
             run_id=run_id,
-            path=path,
+            path=folder,
             schema=written.schema if written else None,
             skipped=tuple(skipped),
             manifest=location,
             **summary,
         )
 
+    def _place(self, run_id: str, bounds: Bounds | None, values: dict[str, Any]) -> str:
+        """The export path of a run: ``path`` with the run, the window and the run's values filled in."""
+        known = {k: str(v) for k, v in values.items()} | {"run_id": run_id}
+        if bounds is not None:
+            known |= {"watermark_prev": bounds.prev, "watermark_now": bounds.now}
+        named = {name for _, name, _, _ in Formatter().parse(self.path) if name}
+        if missing := sorted(named - set(known)):
+            raise ValueError(f"the path names {{{missing[0]}}}, which this run has no value for")
+        return checked_path(self.base, self.path.format(**known))
+
     def _plan_window(self, spark, state: StateTable, run_id: str, values) -> tuple[Bounds | None, bool]:
         """The run's window, and whether an earlier attempt of the same run had planned it."""
         rule = self.incremental

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import conf_scope, path_exists, small_table
+from ..session import path_exists, small_table, with_settings
 
 SUMMARY = ("shards", "total_rows", "total_bytes", "elapsed_s", "watermark", "mode")
 RUN_SCHEMA = (
@@ -30,7 +30,7 @@ class RunLog:
         """Record the one-row ``summary`` and return its values."""
         values = summary.select(*SUMMARY).first().asDict()
         row = (*values.values(), run_id, datetime.now(timezone.utc), job)
-        with conf_scope(self.spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
-            rows = small_table(self.spark, [row], RUN_SCHEMA)
-            rows.coalesce(1).write.mode("append").partitionBy("job").parquet(self.path)
+        rows = small_table(self.spark, [row], RUN_SCHEMA).coalesce(1)
+        with with_settings(rows, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}) as out:
+            out.write.mode("append").partitionBy("job").parquet(self.path)
         return values

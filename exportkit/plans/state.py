@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.windows import Bounds
-from ..session import conf_scope, path_exists, small_table
+from ..session import path_exists, small_table, with_settings
 
 STATE_SCHEMA = (
     "run_id string, status string, prev string, now string, type_name string, written_at timestamp, job string"
@@ -84,9 +84,9 @@ class StateTable:
 
     def _append(self, job: str, run_id: str, status: str, bounds: Bounds) -> None:
         row = (run_id, status, bounds.prev, bounds.now, bounds.type_name, datetime.now(timezone.utc), job)
-        with conf_scope(self.spark, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
-            rows = small_table(self.spark, [row], STATE_SCHEMA)
-            rows.coalesce(1).write.mode("append").partitionBy("job").parquet(self.path)
+        rows = small_table(self.spark, [row], STATE_SCHEMA).coalesce(1)
+        with with_settings(rows, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}) as out:
+            out.write.mode("append").partitionBy("job").parquet(self.path)
 
 
 def _newest_committed() -> Column:

@@ -124,13 +124,12 @@ def wm_max(spark, sf_dir):
 
 
 def dedup_latest(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return latest_per_key(events, ["user_id"], ["ts", "event_id"])
+    return latest_per_key(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
 
 
 def dedup_overlap(spark, sf_dir):
     """Two overlapping windows in a row, each event kept once."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    events = table(spark, sf_dir, "events")
     first = window(events, "ts", Bounds(FIRST_RUN, PREV, "timestamp_ntz"))
     second = window(events, "ts", Bounds(PREV, NOW, "timestamp_ntz"), lateness="2 days")
     return latest_per_key(first.unionAll(second), ["event_id"], ["ts"])
@@ -149,8 +148,8 @@ def skip_existing(spark, sf_dir):
         shards=ModShards("o_orderkey", 4),
         skip_existing=True,
     )
-    job.run(spark, "r1")
-    delete_path(spark, f"{root}/data/orders/shard_index=2")
+    first = job.run(spark, "r1")
+    delete_path(spark, f"{first.path}/shard_index=2")
     job.run(spark, "r2")
     entries = Catalog(spark, job.catalog).run(job.name, "r2")
     return entries.groupBy("shard_index", "skipped").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("b")).select(
@@ -193,11 +192,11 @@ ORACLE = {
     """,
     "wm_max": "SELECT CAST(MAX(ts) AS VARCHAR) AS watermark FROM events",
     "dedup_latest": """
-        SELECT event_id, ts, user_id, event_type, value FROM (
+        SELECT * EXCLUDE (rn) FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
         ) WHERE rn = 1
     """,
-    "dedup_overlap": f"SELECT event_id, ts, event_type FROM events WHERE ts <= TIMESTAMP '{NOW}'",
+    "dedup_overlap": f"SELECT * FROM events WHERE ts <= TIMESTAMP '{NOW}'",
     "skip_existing": """
         SELECT CAST(o_orderkey % 4 AS INTEGER) AS shard_index, o_orderkey % 4 <> 2 AS skipped,
                CAST(SUM(CASE WHEN o_orderkey % 4 = 2 THEN 1 ELSE 0 END) AS BIGINT) AS rows,

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from urllib.parse import unquote
 
 from pyspark.sql import functions as F
 
 from ..operators import (
     ModShards,
+    differing_rows,
     file_md5,
     files,
+    footers,
     landed_files,
     metrics,
     read_export,
@@ -20,7 +23,7 @@ from ..operators import (
 )
 from ..options import ParquetOptions, UnloadOptions
 from ..plans import Catalog, ExportJob, RunLog, latest_per_uri, read_files, read_manifest
-from ..session import hadoop_path, scratch_dir
+from ..session import hadoop_path, path_exists, scratch_dir, small_table
 from ..sources import SqlSource
 from ..streaming import StreamExport
 from .tables import table, views
@@ -80,6 +83,28 @@ def overwrite_failed(spark, sf_dir):
     raise AssertionError("the second run was meant to fail")
 
 
+def read_during_rerun(spark, sf_dir):
+    """A reader resolves a run, a second run on the same path goes through, then the reader reads: it gets
+    the rows of the first run, and one that comes now those of the second. No data file is renamed."""
+    job = _orders_job(spark, sf_dir, "read_during_rerun", path="orders")
+    first = job.run(spark, "r1")
+    catalog = Catalog(spark, job.catalog)
+    before = read_files(catalog.run_files(job.name, "r1"), first.path, first.schema)
+    doubled = replace(job, transforms=[lambda df: df.withColumn("o_totalprice", F.col("o_totalprice") * 2)])
+    second = doubled.run(spark, "r2")
+    after = read_files(catalog.run_files(job.name, "r2"), second.path, second.schema)
+    return before.withColumn("reader", F.lit("before")).unionAll(after.withColumn("reader", F.lit("after")))
+
+
+def attempts_pruned(spark, sf_dir):
+    """Five runs on one path: the last two attempts are there, with all rows; older ones are gone."""
+    job = _orders_job(spark, sf_dir, "attempts_pruned", path="orders")
+    runs = [job.run(spark, f"r{i}") for i in range(5)]
+    there = [F.lit(path_exists(spark, run.path)) for run in runs]
+    rows = Catalog(spark, job.catalog).run_files(job.name, "r4").groupBy("shard_index").agg(F.sum("rows").alias("rows"))
+    return rows.withColumns({f"attempt_{i}": found for i, found in enumerate(there)})
+
+
 def read_superseded(spark, sf_dir):
     """A run that a later one replaced is refused by name; the later one reads whole."""
     job = _orders_job(spark, sf_dir, "read_superseded", path="orders")
@@ -139,6 +164,31 @@ def catalog_current(spark, sf_dir):
     return current.groupBy("run_id", "shard_index").agg(F.sum("rows").alias("rows"))
 
 
+def catalog_compacted(spark, sf_dir):
+    """Six runs on two paths, compacted twice with runs in between: the cumulative catalog is the same as
+    before, and few files have to be read for it."""
+    root = scratch_dir(spark, "catalog_compacted")
+    views(spark, sf_dir, "orders")
+    job = lambda half: ExportJob(
+        name=f"half_{half}", source=SqlSource(query=f"SELECT * FROM orders WHERE o_orderkey % 2 = {half}"), base=f"{root}/{half}",
+        path="orders", catalog=f"{root}/catalog", shards=QUARTERS, parquet=EXACT,
+    )
+    catalog = Catalog(spark, f"{root}/catalog")
+    state = lambda: catalog.latest_files().groupBy("job", "run_id", "shard_index").agg(F.sum("rows").alias("rows"))
+    same = []
+    for half, run in ((0, "r1"), (1, "r1"), (0, "r2")):
+        job(half).run(spark, run)
+    for half, run in ((1, "r2"), (0, "r3"), (1, "r3")):
+        before = small_table(spark, list(map(tuple, state().collect())), "job string, run_id string, shard_index int, rows bigint")
+        catalog.compact()
+        same.append(differing_rows(before, state()).isEmpty())
+        job(half).run(spark, run)
+    catalog.compact()
+    catalog.compact()
+    found = state().withColumn("same", F.lit(all(same)))
+    return found.withColumn("few_files", F.lit(len(catalog.entries().inputFiles()) <= 4))
+
+
 def validate_export(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     written = write_export(orders, scratch_dir(spark, "validate_export"), QUARTERS, checksum=True)
@@ -146,6 +196,40 @@ def validate_export(spark, sf_dir):
     return checks.select("check_name", "ok")
 
 
+def _damage(spark, uri, offset, size):
+    """Overwrite some bytes of a file with zeros."""
+    fs, path = hadoop_path(spark, unquote(uri))
+    stream = fs.open(path)
+    try:
+        content = bytearray(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+    content[offset : offset + size] = bytes(size)
+    out = fs.create(path, True)
+    out.write(content)
+    out.close()
+
+
+def validate_damaged(spark, sf_dir):
+    """The third row group of one file is damaged: the default check fails, the footers alone pass."""
+    orders = table(spark, sf_dir, "orders").coalesce(1)
+    rows = max(1, orders.count() // 5)
+    parquet = ParquetOptions(row_group_rows=rows, coerce_timestamps=None)
+    written = write_export(orders, scratch_dir(spark, "validate_damaged"), parquet=parquet)
+    third = footers(spark, written.path).where("row_group = 2").groupBy("uri").agg(
+        F.min("offset").alias("offset"), F.sum("bytes").alias("bytes")
+    )
+    place = third.first()
+    _damage(spark, place["uri"], place["offset"], place["bytes"])
+    listing = landed_files(spark, written)
+    result = None
+    for level in ("footer", "sample"):
+        checks = validate(spark, written, listing, level=level)
+        checks = checks.select("check_name", "ok", F.lit(level).alias("level"), F.contains("detail", F.lit("row group 2")).alias("named"))
+        result = checks if result is None else result.unionAll(checks)
+    return result.withColumn("rows", listing.agg(F.sum("rows")).scalar())
+
+
 def reconcile_shards(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     written = _orders_export(spark, sf_dir, "reconcile")
@@ -162,6 +246,28 @@ def reconcile_changed(spark, sf_dir):
     return reconcile(QUARTERS.assign(orders), target)
 
 
+def reconcile_rows(spark, sf_dir):
+    """Two exports of the orders: prices changed, rows lost, added and repeated. The rows that differ."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    source = _orders_export(spark, sf_dir, "reconcile_rows")
+    changed = orders.where(key % 500 != 7).withColumn(
+        "o_totalprice", F.when(key % 700 == 11, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    )
+    changed = changed.unionAll(changed.where(key % 900 == 13)).unionAll(changed.where(key % 900 == 13))
+    added = orders.where(key % 800 == 5).withColumn("o_orderkey", -key)
+    target = write_export(changed.unionAll(added), scratch_dir(spark, "reconcile_rows"), QUARTERS, parquet=EXACT)
+    return differing_rows(read_export(spark, source), read_export(spark, target))
+
+
+def reconcile_rows_documents(spark, sf_dir):
+    """Whole texts: some documents lost a character, some lost their language."""
+    documents = table(spark, sf_dir, "documents")
+    cut = F.when(F.col("doc_id") % 50 == 3, F.expr("substr(text, 2)")).otherwise(F.col("text"))
+    lang = F.when(F.col("doc_id") % 70 == 4, F.lit(None)).otherwise(F.col("lang"))
+    return differing_rows(documents, documents.withColumns({"text": cut, "lang": lang}))
+
+
 def reconcile_documents(spark, sf_dir):
     """Whole texts of an export against their source, per language."""
     documents = table(spark, sf_dir, "documents")
@@ -314,6 +420,12 @@ QUERIES = {
     "file_md5_csv": file_md5_csv,
     "overwrite_failed": overwrite_failed,
     "read_superseded": read_superseded,
+    "read_during_rerun": read_during_rerun,
+    "attempts_pruned": attempts_pruned,
+    "catalog_compacted": catalog_compacted,
+    "reconcile_rows": reconcile_rows,
+    "reconcile_rows_documents": reconcile_rows_documents,
+    "validate_damaged": validate_damaged,
 }
 
 _PER_SHARD = "SELECT CAST(o_orderkey % 4 AS INTEGER) AS shard_index, CAST(COUNT(*) AS BIGINT) AS rows"
@@ -415,6 +527,57 @@ ORACLE = {
     """,
     "overwrite_failed": "SELECT *, CAST(o_orderkey % 4 AS INTEGER) AS shard_index FROM orders",
     "read_superseded": _PER_SHARD + ", TRUE AS refused FROM orders GROUP BY 1",
+    "read_during_rerun": """
+        SELECT *, CAST(o_orderkey % 4 AS INTEGER) AS shard_index, 'before' AS reader FROM orders
+        UNION ALL
+        SELECT * REPLACE (o_totalprice * 2 AS o_totalprice), CAST(o_orderkey % 4 AS INTEGER), 'after' FROM orders
+    """,
+    "catalog_compacted": """
+        SELECT 'half_' || (o_orderkey % 2) AS job, 'r3' AS run_id, CAST(o_orderkey % 4 AS INTEGER) AS shard_index,
+               CAST(COUNT(*) AS BIGINT) AS rows, TRUE AS same, TRUE AS few_files
+        FROM orders GROUP BY 1, 3
+    """,
+    "attempts_pruned": _PER_SHARD
+    + """, FALSE AS attempt_0, FALSE AS attempt_1, FALSE AS attempt_2, TRUE AS attempt_3, TRUE AS attempt_4
+        FROM orders GROUP BY 1
+    """,
+    "reconcile_rows": """
+        WITH source AS (SELECT *, CAST(o_orderkey % 4 AS INTEGER) AS shard_index FROM orders),
+        changed AS (
+          SELECT * REPLACE (CASE WHEN o_orderkey % 700 = 11 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+          FROM orders WHERE o_orderkey % 500 <> 7
+        ),
+        target AS (
+          SELECT *, CAST(((o_orderkey % 4) + 4) % 4 AS INTEGER) AS shard_index FROM (
+            SELECT * FROM changed
+            UNION ALL SELECT * FROM changed WHERE o_orderkey % 900 = 13
+            UNION ALL SELECT * FROM changed WHERE o_orderkey % 900 = 13
+            UNION ALL SELECT * REPLACE (-o_orderkey AS o_orderkey) FROM orders WHERE o_orderkey % 800 = 5
+          )
+        )
+        SELECT *, 'source' AS side, COUNT(*) AS copies
+        FROM (SELECT * FROM source EXCEPT ALL SELECT * FROM target) GROUP BY ALL
+        UNION ALL
+        SELECT *, 'target', COUNT(*) FROM (SELECT * FROM target EXCEPT ALL SELECT * FROM source) GROUP BY ALL
+    """,
+    "reconcile_rows_documents": """
+        WITH target AS (
+          SELECT * REPLACE (CASE WHEN doc_id % 50 = 3 THEN substr(text, 2) ELSE text END AS text,
+                            CASE WHEN doc_id % 70 = 4 THEN NULL ELSE lang END AS lang)
+          FROM documents
+        )
+        SELECT *, 'source' AS side, COUNT(*) AS copies
+        FROM (SELECT * FROM documents EXCEPT ALL SELECT * FROM target) GROUP BY ALL
+        UNION ALL
+        SELECT *, 'target', COUNT(*) FROM (SELECT * FROM target EXCEPT ALL SELECT * FROM documents) GROUP BY ALL
+    """,
+    "validate_damaged": """
+        SELECT check_name, ok, level, named, CAST((SELECT COUNT(*) FROM orders) AS BIGINT) AS rows
+        FROM (VALUES ('files_present', TRUE, 'footer', FALSE), ('files_not_empty', TRUE, 'footer', FALSE),
+                     ('row_total', TRUE, 'footer', FALSE), ('files_present', TRUE, 'sample', FALSE),
+                     ('files_not_empty', TRUE, 'sample', FALSE), ('row_total', TRUE, 'sample', FALSE),
+                     ('values_decode', FALSE, 'sample', TRUE)) AS t(check_name, ok, level, named)
+    """,
     "stream_old_files": """
         SELECT *, CAST(CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 0 ELSE 1 END AS INTEGER) AS batch FROM events
     """,

@@ -15,61 +15,63 @@ from ..operators import (
     coverage,
     day_columns,
     day_slice,
+    equal_depth_shards,
     files,
     read_export,
     write_export,
 )
+from ..options import ParquetOptions
 from ..session import scratch_dir
 from .tables import table
 
+EXACT = ParquetOptions(coerce_timestamps=None)
 RANGES = [(0, 3000), (3000, 9000), (9000, 12000), (12000, None)]
 SEGMENTS = ["BUILDING", "MACHINERY", "AUTOMOBILE"]
 KINDS = ["click", "purchase", "view"]
 DAYS = [3, 17, 28]
 
 
-def _landed(spark, df, layout, label, keys):
-    """Export, read the files back, and count rows by partition columns and shard number."""
-    written = write_export(df, scratch_dir(spark, label), layout)
-    back = read_export(spark, written)
-    return back.groupBy(layout.index().alias(SHARD), *keys).agg(F.count("*").alias("n"))
+def _landed(spark, df, layout, label):
+    """Export, read the files back: whole rows, each with the number of the shard it landed in."""
+    written = write_export(df, scratch_dir(spark, label), layout, parquet=EXACT)
+    return read_export(spark, written).withColumn(SHARD, layout.index().cast("int"))
 
 
 def shard_mod(spark, sf_dir):
-    return _landed(spark, table(spark, sf_dir, "orders"), ModShards("o_orderkey", 8), "shard_mod", [])
+    return _landed(spark, table(spark, sf_dir, "orders"), ModShards("o_orderkey", 8), "shard_mod")
 
 
 def shard_mod_signed(spark, sf_dir):
     """Negative and NULL keys: each still has a shard."""
     orders = table(spark, sf_dir, "orders").withColumn("key", F.nullif(-F.col("o_orderkey"), F.lit(-7)))
-    return _landed(spark, orders, ModShards("key", 8), "shard_mod_signed", [])
+    return _landed(spark, orders, ModShards("key", 8), "shard_mod_signed")
 
 
 def shard_range(spark, sf_dir):
-    return _landed(spark, table(spark, sf_dir, "orders"), RangeShards("o_orderkey", RANGES), "shard_range", [])
+    return _landed(spark, table(spark, sf_dir, "orders"), RangeShards("o_orderkey", RANGES), "shard_range")
 
 
 def shard_values(spark, sf_dir):
     layout = ValueShards("c_mktsegment", SEGMENTS)
-    return _landed(spark, table(spark, sf_dir, "customer"), layout, "shard_values", ["c_mktsegment"])
+    return _landed(spark, table(spark, sf_dir, "customer"), layout, "shard_values")
 
 
 def shard_cross(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("day", F.dayofmonth("ts"))
     layout = CrossShards({"event_type": KINDS, "day": DAYS})
-    return _landed(spark, events, layout, "shard_cross", ["event_type", "day"])
+    return _landed(spark, events, layout, "shard_cross")
 
 
 def shard_predicates(spark, sf_dir):
     """Overlapping conditions: a row lands once per condition it meets."""
     layout = PredicateShards(["o_totalprice > 200000", "o_orderstatus = 'F'", "o_orderpriority = '1-URGENT'"])
-    return _landed(spark, table(spark, sf_dir, "orders"), layout, "shard_predicates", [])
+    return _landed(spark, table(spark, sf_dir, "orders"), layout, "shard_predicates")
 
 
 def part_by_day(spark, sf_dir):
     events = day_columns(table(spark, sf_dir, "events"), "ts")
-    written = write_export(events, scratch_dir(spark, "part_by_day"), partition_by=DAY_COLUMNS)
-    return read_export(spark, written).groupBy(*DAY_COLUMNS).agg(F.count("*").alias("n"))
+    written = write_export(events, scratch_dir(spark, "part_by_day"), partition_by=DAY_COLUMNS, parquet=EXACT)
+    return read_export(spark, written)
 
 
 def slice_day(spark, sf_dir):
@@ -81,6 +83,19 @@ def shard_coverage(spark, sf_dir):
     return coverage(table(spark, sf_dir, "orders"), layout)
 
 
+def shard_depth(spark, sf_dir):
+    """Ranges of equal depth over a key of which one value holds a third of all rows: whole rows, each
+    once, and whether its shard is within twice the mean."""
+    orders = table(spark, sf_dir, "orders")
+    skewed = orders.withColumn("key", F.when(F.col("o_orderkey") % 3 == 0, F.lit(40)).otherwise(F.col("o_custkey")))
+    skewed = skewed.withColumn("key", F.nullif("key", F.lit(7)))
+    layout = equal_depth_shards(skewed, "key", 12, then="o_orderkey")
+    rows = layout.assign(skewed)
+    sizes = rows.groupBy(SHARD).agg(F.count("*").alias("held"))
+    mean = sizes.agg(F.avg("held")).scalar()
+    return rows.join(sizes.select(SHARD, (F.col("held") <= 2 * mean).alias("level")), SHARD).drop(SHARD)
+
+
 def shard_files(spark, sf_dir):
     """Every shard directory holds at least one file, and the files hold all rows."""
     layout = ModShards("l_suppkey", 8)
@@ -101,48 +116,42 @@ QUERIES = {
         part_by_day,
         slice_day,
         shard_coverage,
+        shard_depth,
         shard_files,
     )
 }
 
 ORACLE = {
-    "shard_mod": """
-        SELECT CAST(o_orderkey % 8 AS INTEGER) AS shard_index, CAST(COUNT(*) AS BIGINT) AS n FROM orders GROUP BY 1
-    """,
+    "shard_mod": "SELECT *, CAST(o_orderkey % 8 AS INTEGER) AS shard_index FROM orders",
     "shard_mod_signed": """
-        SELECT CAST(CASE WHEN o_orderkey = 7 THEN 0 ELSE ((-o_orderkey) % 8 + 8) % 8 END AS INTEGER) AS shard_index,
-               CAST(COUNT(*) AS BIGINT) AS n
-        FROM orders GROUP BY 1
+        SELECT *, nullif(-o_orderkey, -7) AS key,
+               CAST(CASE WHEN o_orderkey = 7 THEN 0 ELSE ((-o_orderkey) % 8 + 8) % 8 END AS INTEGER) AS shard_index
+        FROM orders
     """,
     "shard_range": """
-        SELECT CAST(CASE WHEN o_orderkey < 3000 THEN 0 WHEN o_orderkey < 9000 THEN 1
-                         WHEN o_orderkey < 12000 THEN 2 ELSE 3 END AS INTEGER) AS shard_index,
-               CAST(COUNT(*) AS BIGINT) AS n
-        FROM orders WHERE o_orderkey >= 0 GROUP BY 1
+        SELECT *, CAST(CASE WHEN o_orderkey < 3000 THEN 0 WHEN o_orderkey < 9000 THEN 1
+                            WHEN o_orderkey < 12000 THEN 2 ELSE 3 END AS INTEGER) AS shard_index
+        FROM orders WHERE o_orderkey >= 0
     """,
     "shard_values": """
-        SELECT CAST(list_position(['BUILDING', 'MACHINERY', 'AUTOMOBILE'], c_mktsegment) - 1 AS INTEGER) AS shard_index,
-               c_mktsegment, CAST(COUNT(*) AS BIGINT) AS n
-        FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') GROUP BY 1, 2
+        SELECT *, CAST(list_position(['BUILDING', 'MACHINERY', 'AUTOMOBILE'], c_mktsegment) - 1 AS INTEGER) AS shard_index
+        FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')
     """,
     "shard_cross": """
-        SELECT CAST((list_position(['click', 'purchase', 'view'], event_type) - 1) * 3
-                    + list_position([3, 17, 28], CAST(extract(day FROM ts) AS INTEGER)) - 1 AS INTEGER) AS shard_index,
-               event_type, CAST(extract(day FROM ts) AS INTEGER) AS day, CAST(COUNT(*) AS BIGINT) AS n
+        SELECT *, CAST(extract(day FROM ts) AS INTEGER) AS day,
+               CAST((list_position(['click', 'purchase', 'view'], event_type) - 1) * 3
+                    + list_position([3, 17, 28], CAST(extract(day FROM ts) AS INTEGER)) - 1 AS INTEGER) AS shard_index
         FROM events WHERE event_type IN ('click', 'purchase', 'view') AND extract(day FROM ts) IN (3, 17, 28)
-        GROUP BY 1, 2, 3
     """,
     "shard_predicates": """
-        SELECT CAST(0 AS INTEGER) AS shard_index, CAST(COUNT(*) AS BIGINT) AS n FROM orders WHERE o_totalprice > 200000
+        SELECT *, CAST(0 AS INTEGER) AS shard_index FROM orders WHERE o_totalprice > 200000
         UNION ALL
-        SELECT CAST(1 AS INTEGER), CAST(COUNT(*) AS BIGINT) FROM orders WHERE o_orderstatus = 'F'
+        SELECT *, CAST(1 AS INTEGER) FROM orders WHERE o_orderstatus = 'F'
         UNION ALL
-        SELECT CAST(2 AS INTEGER), CAST(COUNT(*) AS BIGINT) FROM orders WHERE o_orderpriority = '1-URGENT'
+        SELECT *, CAST(2 AS INTEGER) FROM orders WHERE o_orderpriority = '1-URGENT'
     """,
     "part_by_day": """
-        SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
-               CAST(COUNT(*) AS BIGINT) AS n
-        FROM events GROUP BY 1, 2, 3
+        SELECT *, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day FROM events
     """,
     "slice_day": """
         SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-06 00:00:00'
@@ -153,6 +162,9 @@ ORACLE = {
                CAST(COUNT(*) AS BIGINT) AS rows
         FROM orders GROUP BY 1
     """,
+    "shard_depth": """
+        SELECT *, nullif(CASE WHEN o_orderkey % 3 = 0 THEN 40 ELSE o_custkey END, 7) AS key, TRUE AS level FROM orders
+    """,
     "shard_files": """
         SELECT CAST(l_suppkey % 8 AS INTEGER) AS shard_index, CAST(COUNT(*) AS BIGINT) AS rows, TRUE AS has_files
         FROM lineitem GROUP BY 1

@@ -26,6 +26,8 @@ from ..functions import (
     rename,
     short_hash,
 )
+from ..operators import footers, landed_schemas, write_export
+from ..session import scratch_dir
 from .tables import table
 
 
@@ -148,6 +150,7 @@ def align_two(spark, sf_dir):
 
 
 def schema_audit(spark, sf_dir):
+    """An export of embeddings with nested columns added: what its files hold that a reader may trip over."""
     embeddings = table(spark, sf_dir, "embeddings")
     wide = embeddings.withColumns(
         {
@@ -156,16 +159,37 @@ def schema_audit(spark, sf_dir):
             "span": F.expr("INTERVAL '1' DAY"),
         }
     )
-    return audit(spark, wide.schema)
+    written = write_export(wide, scratch_dir(spark, "schema_audit"))
+    return _audited(spark, written)
+
+
+def _audited(spark, written):
+    ((schema, _),) = landed_schemas(spark, written.path)
+    counted = footers(spark, written.path).dropDuplicates(["uri", "row_group"]).agg(F.sum("group_rows")).scalar()
+    return audit(spark, schema).withColumn("rows", counted)
+
+
+def schema_audit_plain(spark, sf_dir):
+    """An export of lineitem has nothing to trip over."""
+    return _audited(spark, write_export(table(spark, sf_dir, "lineitem"), scratch_dir(spark, "schema_audit_plain")))
 
 
 def schema_drift(spark, sf_dir):
-    """An orders export against a later one with a column dropped, one added, one retyped."""
-    before = table(spark, sf_dir, "orders")
-    after = before.drop("o_orderpriority").withColumn("o_comment", F.lit("")).withColumn(
-        "o_custkey", F.col("o_custkey").cast(IntegerType())
+    """An orders export against a later one, by the schemas that their files hold: a column dropped, one
+    added, one retyped, and one field of a struct inside an array changed; with the rows on both sides."""
+    orders = table(spark, sf_dir, "orders")
+    status = lambda kind: F.array(F.struct(F.col("o_orderstatus").alias("code"), F.length("o_orderstatus").cast(kind).alias("size")))
+    before = orders.withColumn("history", status("int"))
+    after = orders.drop("o_orderpriority").withColumns(
+        {"o_comment": F.lit(""), "o_custkey": F.col("o_custkey").cast(IntegerType()), "history": status("bigint")}
     )
-    return drift(spark, before.schema, after.schema)
+    schemas, counts = [], []
+    for label, df in (("before", before), ("after", after)):
+        written = write_export(df, scratch_dir(spark, f"schema_drift_{label}"))
+        schemas += [schema for schema, _ in landed_schemas(spark, written.path)]
+        groups = footers(spark, written.path).dropDuplicates(["uri", "row_group"])
+        counts.append(groups.agg(F.sum("group_rows")).scalar())
+    return drift(spark, *schemas).withColumns({"before_rows": counts[0], "after_rows": counts[1]})
 
 
 QUERIES = {
@@ -188,6 +212,7 @@ QUERIES = {
     "align_schema": align_schema,
     "align_union": align_two,
     "schema_audit": schema_audit,
+    "schema_audit_plain": schema_audit_plain,
     "schema_drift": schema_drift,
 }
 
@@ -248,16 +273,19 @@ ORACLE = {
         SELECT c_custkey, c_name, CAST(NULL AS DOUBLE), c_mktsegment FROM customer
     """,
     "schema_audit": """
-        SELECT * FROM (VALUES
+        SELECT *, CAST((SELECT COUNT(*) FROM embeddings) AS BIGINT) AS rows FROM (VALUES
           ('embedding', 'array<float>', 'nested'), ('pair', 'struct<vec_id:bigint,label:int>', 'nested'),
           ('lookup', 'map<string,int>', 'nested'), ('lookup', 'map<string,int>', 'map'),
           ('span', 'interval day', 'interval')
         ) AS t("column", "type", finding)
     """,
+    "schema_audit_plain": """
+        SELECT 'a' AS "column", 'b' AS "type", 'c' AS finding, COUNT(*) AS rows FROM lineitem HAVING COUNT(*) < 0
+    """,
     "schema_drift": """
-        SELECT * FROM (VALUES
+        SELECT t.*, n AS before_rows, n AS after_rows FROM (VALUES
           ('o_orderpriority', 'string', NULL, 'removed'), ('o_comment', NULL, 'string', 'added'),
-          ('o_custkey', 'bigint', 'int', 'retyped')
-        ) AS t("column", before_type, after_type, change)
+          ('o_custkey', 'bigint', 'int', 'retyped'), ('history.element.size', 'int', 'bigint', 'retyped')
+        ) AS t("column", before_type, after_type, change), (SELECT COUNT(*) AS n FROM orders)
     """,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -21,6 +21,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+# Parts of a document that go to the store in one call.
+PARTS_AT_ONCE = 4_096
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RECOMMENDED.items():
@@ -40,7 +43,10 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str | Struct
 
 @contextmanager
 def conf_scope(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Apply runtime settings for the actions inside the block, then put the old ones back."""
+    """Apply runtime settings for the actions inside the block, then put the old ones back.
+
+    For a session that nothing else uses meanwhile; :func:`with_settings` suits those that are shared.
+    """
     before = {key: spark.conf.get(key, None) for key in settings}
     try:
         for key, value in settings.items():
@@ -54,6 +60,26 @@ def conf_scope(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+@contextmanager
+def with_settings(df: DataFrame, settings: dict[str, str]) -> Iterator[DataFrame]:
+    """The same rows in a session of their own that has ``settings``; the caller's session keeps its own.
+
+    Sessions of one application share tables, caches and the global views that carry a plan from one to
+    the other, but no settings: exports that run side by side cannot change each other's.
+    """
+    spark = df.sparkSession
+    other = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    view = f"exportkit_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    try:
+        yield other.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{view}")
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+
+
 # Folders of local sessions that name none, by application.
 _local_dirs: dict[str, str] = {}
 
@@ -101,8 +127,9 @@ def qualify(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(jpath).toString()
 
 
-def write_text_atomically(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small document under a temporary name, then rename it over the target in one step."""
+def write_text_atomically(spark: SparkSession, path: str, text: Iterable[str]) -> None:
+    """Write a document, in parts of any number, under a temporary name, then rename it over the target
+    in one step."""
     fs, target = hadoop_path(spark, path)
     jvm = spark._jvm
     staged = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
@@ -113,7 +140,13 @@ def write_text_atomically(spark: SparkSession, path: str, text: str) -> None:
     try:
         stream = fs.create(staged, True)
         try:
-            stream.write(bytearray(text.encode("utf-8")))
+            held: list[str] = []
+            for part in [text] if isinstance(text, str) else text:
+                held.append(part)
+                if len(held) == PARTS_AT_ONCE:
+                    stream.write(bytearray("".join(held).encode("utf-8")))
+                    held = []
+            stream.write(bytearray("".join(held).encode("utf-8")))
         finally:
             stream.close()
         context.rename(fs.makeQualified(staged), fs.makeQualified(target), options)

@@ -31,9 +31,10 @@ class JdbcSource:
     """A database table or query.
 
     Give ``predicates`` (SQL text, one per shard; see ``Shards.sql_predicates``) or the
-    ``column`` / ``lower`` / ``upper`` / ``partitions`` quartet to read in parallel. Without
-    either the read is one task, which only suits small tables. ``lower`` and ``upper`` set
-    the stride of the ranges; rows outside them still arrive in the first and last range.
+    ``column`` / ``lower`` / ``upper`` / ``partitions`` quartet to read in parallel; for ranges of equal
+    depth, take the texts of ``equal_depth_shards``. Without either the table would be read by one task,
+    which is refused unless ``one_task`` asks for it. ``lower`` and ``upper`` set the stride of the
+    ranges; rows outside them still arrive in the first and last range.
     A ``query`` that names ``:watermark_prev`` and ``:watermark_now`` applies the window itself;
     the bounds are put in as quoted literals.
     """
@@ -47,6 +48,7 @@ class JdbcSource:
     lower: str | int | None = None
     upper: str | int | None = None
     partitions: int | None = None
+    one_task: bool = False
     properties: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -96,4 +98,6 @@ class JdbcSource:
                 numPartitions=self.partitions,
                 properties=self.connection_properties(),
             )
+        if not self.one_task:
+            raise ValueError("give predicates or a column range to read in parallel, or one_task=True")
         return spark.read.jdbc(self.url, relation, properties=self.connection_properties())

@@ -1,7 +1,9 @@
+from dataclasses import replace
+
 import pytest
 
 from exportkit import JdbcSource, LayoutOptions, ParquetOptions, SqlSource, UnloadOptions
-from exportkit.operators import ModShards, checked_path
+from exportkit.operators import ModShards, checked_path, coverage, equal_depth_shards
 from exportkit.sources import jdbc
 
 
@@ -80,11 +82,14 @@ def test_jdbc_reads_a_column_range():
 
 
 def test_jdbc_plain_read():
-    assert JdbcSource(url="jdbc:x", query="SELECT 1 AS a").load(Recorder())[1] == "(SELECT 1 AS a) src"
+    source = JdbcSource(url="jdbc:x", query="SELECT 1 AS a")
+    with pytest.raises(ValueError, match="one_task"):
+        source.load(Recorder())
+    assert replace(source, one_task=True).load(Recorder())[1] == "(SELECT 1 AS a) src"
 
 
 def test_jdbc_query_with_a_window():
-    source = JdbcSource(url="jdbc:x", query="SELECT * FROM t WHERE at > :watermark_prev AND at <= :watermark_now")
+    source = JdbcSource(url="jdbc:x", query="SELECT * FROM t WHERE at > :watermark_prev AND at <= :watermark_now", one_task=True)
     assert source.windowed and not JdbcSource(url="jdbc:x", table="t").windowed
     relation = source.load(Recorder(), {"watermark_prev": "a'b", "watermark_now": "c"})[1]
     assert relation == "(SELECT * FROM t WHERE at > 'a''b' AND at <= 'c') src"
@@ -92,6 +97,31 @@ def test_jdbc_query_with_a_window():
         source.load(Recorder())
 
 
+def test_jdbc_takes_equal_depth_ranges(spark):
+    """Quoted names, doubled quotes, and every value in one range."""
+    rows = spark.range(1000).selectExpr("CASE WHEN id < 400 THEN 3 WHEN id = 999 THEN NULL ELSE id END AS `a``b`", "id AS other")
+    layout = equal_depth_shards(rows, "a`b", 5, then="other", quote='"')
+    texts = layout.sql_predicates()
+    assert all('"a`b"' in text for text in texts) and any('"other"' in text for text in texts)
+    source = JdbcSource(url="jdbc:x", table="t", predicates=texts)
+    assert source.load(Recorder())[2]["predicates"] == texts
+    back = equal_depth_shards(rows.withColumnRenamed("a`b", "ab"), "ab", 5, then="other")
+    sizes = [r["count"] for r in back.assign(rows.withColumnRenamed("a`b", "ab")).groupBy("shard_index").count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 2 * 1000 / 5
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 40])
+def test_equal_depth_without_or_with_few_values(spark, parts):
+    for expression in ("NULL", "5", "id % 2", "-id", "CAST(id AS DOUBLE) / 7", "CASE WHEN id > 3 THEN id END"):
+        rows = spark.range(300).selectExpr(f"CAST({expression} AS DOUBLE) AS k", "id")
+        layout = equal_depth_shards(rows, "k", parts)
+        assert coverage(rows, layout).collect()[0].asDict() == {"hits": 1, "rows": 300}
+        assert coverage(rows, layout).count() == 1
+    assert equal_depth_shards(rows.limit(0), "k", parts).count == 1
+    with pytest.raises(ValueError):
+        equal_depth_shards(rows, "k", 0)
+
+
 def test_jdbc_bounds_are_asked_of_the_database(monkeypatch):
     monkeypatch.setattr(jdbc, "first_text", lambda asked: asked[1])
     source = JdbcSource(url="jdbc:x", table="t")
