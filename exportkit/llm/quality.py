@@ -1,8 +1,8 @@
 """Line-first quality rules: clean line by line, then judge what is left of the document.
 
 Every line that holds a word passes three rules: punctuation (a short line has to end like a
-sentence, and few words may carry runs of symbols), navigation (menus, breadcrumbs, tables of
-links) and boilerplate (legal and cookie notices). Failing lines are removed. A document that
+sentence or read like a line of code, and few words may carry runs of symbols), navigation (menus,
+breadcrumbs, tables of links) and boilerplate (lines that consist of legal and cookie notices). Failing lines are removed. A document that
 loses more than ``max_lost`` of its characters that way is rejected.
 
 Only built-in functions are used and nothing is shuffled: each document is judged inside its own
@@ -24,7 +24,12 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class LineRules:
-    """Thresholds and patterns; the patterns are read alike by Java and RE2."""
+    """Thresholds and patterns; the patterns are read alike by Java and RE2.
+
+    Navigation and boilerplate are known in the four languages of the corpus. A phrase of boilerplate
+    fails a line only where it is most of what the line says: a line with more
+    than ``max_words_per_phrase`` words to a phrase is prose that mentions one.
+    """
 
     min_words: int = 20
     max_repeat_pct: int = 30
@@ -32,16 +37,28 @@ class LineRules:
     short_line: int = 12
     max_symbol_run_pct: int = 30
     max_separators: int = 3
+    max_words_per_phrase: int = 25
     sentence_end: str = r"[.!?:;,…。！？)\]\"'”’»]\s*\z"
+    code: str = r"(\A[ \t]+\S|[A-Za-z0-9_]\(|[\])A-Za-z0-9_] ?[-+*/:]?= ?[\[({A-Za-z0-9_\"'-]|[{};]\s*\z|\A\s*(//|/\*|import |return\b|def |class |else\b|end\b))"
     symbol_run: str = r"[!?*#$%&|<>~=_+^-]{2,}"
     separator: str = r"[|>»·•]"
     navigation: str = (
         r"(?i)\A\s*(home|menu|next|previous|back to top|read more|more|log ?in|sign (in|up)|search|share|tweet|"
-        r"skip to content|contact( us)?|about( us)?)\s*[|>».]*\s*\z"
+        r"skip to content|contact( us)?|about( us)?|"
+        r"startseite|men[üÜ]|weiter(lesen)?|zur[üÜ]ck|mehr (lesen|erfahren)|anmelden|suche|teilen|kontakt|[üÜ]ber uns|"
+        r"accueil|suivant|pr[éÉ]c[éÉ]dent|lire la suite|(se )?connecter|connexion|rechercher?|partager|contactez[- ]nous|[àÀ] propos|"
+        r"inicio|men[úÚ]|siguiente|anterior|leer m[áÁ]s|iniciar sesi[óÓ]n|buscar|compartir|cont[áÁ]cto?|sobre nosotros)"
+        r"\s*[|>».]*\s*\z"
     )
     boilerplate: str = (
         r"(?i)(all rights reserved|licensed under|privacy policy|terms of (use|service)|cookie policy|"
-        r"uses? cookies|enable javascript|lorem ipsum|unsubscribe|subscribe to our|copyright (\(c\)|©|[0-9]{4}))"
+        r"uses? cookies|enable javascript|lorem ipsum|unsubscribe|subscribe to our|copyright (\(c\)|©|[0-9]{4})|"
+        r"alle rechte vorbehalten|datenschutzerkl[äÄ]rung|impressum|nutzungsbedingungen|verwende[nt] cookies|"
+        r"newsletter (abonnieren|abbestellen)|"
+        r"tous droits r[éÉ]serv[éÉ]s|politique de confidentialit[éÉ]|mentions l[éÉ]gales|conditions d['’]utilisation|"
+        r"utilise(nt)? des cookies|abonnez-vous|se d[éÉ]sabonner|"
+        r"todos los derechos reservados|pol[íÍ]tica de (privacidad|cookies)|aviso legal|(t[éÉ]rminos|condiciones) de uso|"
+        r"utiliza(mos)? cookies|suscr[íÍ]bete|darse de baja)"
     )
 
 
@@ -59,11 +76,13 @@ def _settled(rows: DataFrame) -> DataFrame:
 def line_fails(line: Column, rules: LineRules) -> Column:
     """One boolean per line that holds a word."""
     words = F.regexp_count(line, F.lit(WORD))
-    unfinished = (words < rules.short_line) & ~line.rlike(rules.sentence_end)
+    unfinished = (words < rules.short_line) & ~line.rlike(rules.sentence_end) & ~line.rlike(rules.code)
     noisy = F.regexp_count(line, F.lit(rules.symbol_run)) * 100 > words * rules.max_symbol_run_pct
     links = F.regexp_count(line, F.lit(rules.separator))
     menu = ((links >= rules.max_separators) & (links * 4 >= words)) | line.rlike(rules.navigation)
-    return unfinished | noisy | menu | line.rlike(rules.boilerplate)
+    phrases = F.regexp_count(line, F.lit(rules.boilerplate))
+    legal = line.rlike(rules.boilerplate) & (words <= phrases * rules.max_words_per_phrase)
+    return unfinished | noisy | menu | legal
 
 
 def judge(
