@@ -79,6 +79,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = written(warc.write_archives(_table(spark, sf_dir, "pages"), folder), "warc-list")
     records = warc.read_archives(spark, folder, archives)
     records = written(records.drop("url", "payload"), "warc-records")
+    warc.require_all(records, archives)
     delete_path(spark, folder)
     return records
 
@@ -144,12 +145,14 @@ def _sql(pattern: str) -> str:
 
 
 _LINE_FAILS = f"""(
-    ({_count("l", _WORD)} < {_RULES.short_line} AND NOT regexp_matches(l, '{_sql(_RULES.sentence_end)}'))
+    ({_count("l", _WORD)} < {_RULES.short_line} AND NOT regexp_matches(l, '{_sql(_RULES.sentence_end)}')
+        AND NOT regexp_matches(l, '{_sql(_RULES.code)}'))
     OR {_count("l", _sql(_RULES.symbol_run))} * 100 > {_count("l", _WORD)} * {_RULES.max_symbol_run_pct}
     OR ({_count("l", _sql(_RULES.separator))} >= {_RULES.max_separators}
         AND {_count("l", _sql(_RULES.separator))} * 4 >= {_count("l", _WORD)})
     OR regexp_matches(l, '{_sql(_RULES.navigation)}')
-    OR regexp_matches(l, '{_sql(_RULES.boilerplate)}'))"""
+    OR ({_count("l", _sql(_RULES.boilerplate))} > 0
+        AND {_count("l", _WORD)} <= {_RULES.max_words_per_phrase} * {_count("l", _sql(_RULES.boilerplate))}))"""
 
 
 def quality_sql(table: str = "documents") -> str:
