@@ -14,6 +14,8 @@ merge, as array operations. Very long units keep a heap of their own instead.
 from __future__ import annotations
 
 import heapq
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +27,8 @@ from .common import narrow, rows_through_arrow
 SPACE = "▁"
 LONG_UNIT = 256  # characters; longer units use the heap
 BLOCK_CHARS = 1 << 17
+BLOCK_IDS = 1 << 16
+_UNIT = re.compile(r"(?<! ) ")  # a unit begins here
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -133,6 +137,21 @@ def vocabulary(model: str) -> Vocabulary:
     return _vocabularies[model]
 
 
+def _parts(text: str, size: int | None = None) -> Iterator[tuple[str, int]]:
+    """A text, with the space it is given in front, in parts that begin where units begin, and where each
+    begins. Merges never cross such a border, so the parts have the ids that the whole has."""
+    if not text:
+        return
+    whole, at, size = " " + text, 0, size or BLOCK_CHARS
+    while len(whole) - at > size:
+        cut = _UNIT.search(whole, at + size)
+        if cut is None:
+            break
+        yield whole[at : cut.start()], at
+        at = cut.start()
+    yield whole[at:], at
+
+
 class Encoder:
     def __init__(self, rules: PieceRules) -> None:
         self.rules, self.words = rules, vocabulary(rules.model)
@@ -149,42 +168,41 @@ class Encoder:
         return (value >> np.uint64(1)) < self.limit
 
     def encode(self, documents: list[tuple[int | None, str]]) -> list[np.ndarray]:
-        """Ids of each document; an empty text has none."""
-        out: list[np.ndarray] = []
-        at = 0
-        while at < len(documents):
-            part, chars = [], 0
-            while at < len(documents) and (not part or chars + len(documents[at][1]) <= BLOCK_CHARS):
-                part.append(documents[at])
-                chars += len(documents[at][1]) + 1
-                at += 1
-            out += self._block(part)
-        return out
-
-    def _block(self, documents: list[tuple[int | None, str]]) -> list[np.ndarray]:
-        sizes = np.array([len(text) + 1 if text else 0 for _, text in documents])
-        points = np.frombuffer("".join(" " + text if text else "" for _, text in documents).encode("utf-32-le"), "<u4")
+        """Ids of each document; an empty text has none. Long texts are encoded part by part."""
+        parts = ((n, doc_id, *part) for n, (doc_id, text) in enumerate(documents) for part in _parts(text))
+        found: list[list[np.ndarray]] = [[] for _ in documents]
+        block: list[tuple[int, int | None, str, int]] = []
+        chars = 0
+        for part in parts:
+            if block and chars + len(part[2]) > BLOCK_CHARS:
+                self._block(block, found)
+                block, chars = [], 0
+            block.append(part)
+            chars += len(part[2])
+        if block:
+            self._block(block, found)
+        return [ids[0] if len(ids) == 1 else np.concatenate([np.zeros(0, np.int32), *ids]) for ids in found]
+
+    def _block(self, parts: list[tuple[int, int | None, str, int]], found: list[list[np.ndarray]]) -> None:
+        """Encode parts ``(document, its id, characters, offset in it)`` together, and hand the ids out."""
+        sizes = np.array([len(part[2]) for part in parts])
+        points = np.frombuffer("".join(part[2] for part in parts).encode("utf-32-le", "surrogatepass"), "<u4")
         n = len(points)
-        if not n:
-            return [np.zeros(0, np.int32) for _ in documents]
         begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        owner = np.repeat(np.arange(len(documents)), sizes)
-        keys = np.array([self._document_key(doc_id) for doc_id, _ in documents], np.uint64)[owner]
-        offset = np.arange(n) - begin[owner]
+        owner = np.repeat(np.arange(len(parts)), sizes)
+        keys = np.array([self._document_key(part[1]) for part in parts], np.uint64)[owner]
+        offset = np.arange(n) + (np.array([part[3] for part in parts]) - begin)[owner]
         space = points == 32
         ids = np.where(space, self.words.space, self.words.char_id[points]).astype(np.int32)
-        head = np.ones(n, bool)  # a unit begins with a space behind a non-space, or with the document
+        head = np.ones(n, bool)  # a unit begins with a space behind a non-space, or with the part
         head[1:] = (space[1:] & ~space[:-1]) | (owner[1:] != owner[:-1])
         unit = np.cumsum(head) - 1
         lengths = np.bincount(unit)
-        merged = self._rounds(ids, unit, lengths, offset, keys)
-        symbols, starts = merged
-        result = []
+        symbols, starts = self._rounds(ids, unit, lengths, offset, keys)
         bounds = np.searchsorted(starts, np.concatenate((begin, [n])))
-        for i in range(len(documents)):
-            part, places = symbols[bounds[i] : bounds[i + 1]], starts[bounds[i] : bounds[i + 1]]
-            result.append(self._with_bytes(part, places, points))
-        return result
+        for i, part in enumerate(parts):
+            own, places = symbols[bounds[i] : bounds[i + 1]], starts[bounds[i] : bounds[i + 1]]
+            found[part[0]].append(self._with_bytes(own, places, points))
 
     def _with_bytes(self, symbols: np.ndarray, places: np.ndarray, points: np.ndarray) -> np.ndarray:
         """Characters without a piece become their UTF-8 bytes."""
@@ -304,11 +322,14 @@ class Encoder:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text that was encoded."""
-        words = self.words
-        lengths = words.byte_lengths[ids]
-        behind = np.cumsum(lengths)
-        inside = np.arange(int(behind[-1]) if len(ids) else 0) - np.repeat(behind - lengths, lengths)
-        return words.bytes[np.repeat(words.byte_starts[ids], lengths) + inside].tobytes().decode("utf-8", "surrogatepass")[1:]
+        words, parts = self.words, []
+        for at in range(0, len(ids), BLOCK_IDS):
+            part = ids[at : at + BLOCK_IDS]
+            lengths = words.byte_lengths[part]
+            behind = np.cumsum(lengths)
+            inside = np.arange(int(behind[-1])) - np.repeat(behind - lengths, lengths)
+            parts.append(words.bytes[np.repeat(words.byte_starts[part], lengths) + inside].tobytes())
+        return b"".join(parts).decode("utf-8", "surrogatepass")[1:]
 
 
 def encode(docs: DataFrame, rules: PieceRules = PieceRules(), id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,17 +40,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode with dropout, decode again, and digest both."""
     decoded = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents")))
-
-    def each(columns):
-        for doc_id, ids, text in zip(columns["doc_id"], columns["ids"], columns["text"]):
-            raw, body = ids.as_py(), text.as_py()
-            if raw is None:
-                yield doc_id.as_py(), None, None, None
-            else:
-                digest = hashlib.sha256(body.encode()).hexdigest()
-                yield doc_id.as_py(), len(raw) // 4, zlib.crc32(np.frombuffer(raw, "<i4").astype("<u4").tobytes()), digest
-
-    return rows_through_arrow(decoded, each, "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string")
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
 
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
