@@ -151,7 +151,8 @@ def test_a_long_text_repeats_a_passage(spark):
     words[200_000:200_100] = words[1_000:1_100]
     rows = [(1, " ".join(words)), (2, " ".join(words[5_000:5_050]))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    passage = len(" ".join(words[1_000:1_100])) + 2  # with the blanks on both sides
+    assert words[999][-1] != words[199_999][-1] and words[1_100][1] != words[200_100][1]
+    passage = len(" ".join(words[1_000:1_100])) + 3  # with the blanks on both sides, and the next word's w
     removed = {r["doc_id"]: sum(s["end"] - s["start"] for s in r["removed"]) for r in suffixes.deduplicate(df).collect()}
     assert removed == {1: 2 * passage + len(rows[1][1]), 2: len(rows[1][1])}
     removed = {r["doc_id"]: sum(s["end"] - s["start"] for s in r["removed"]) for r in substrings.deduplicate(df).collect()}
