@@ -259,8 +259,9 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
     options = options or UnloadOptions()
     settings = {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(options.max_file_bytes),
-        # Spark merges partitions up to this size whatever the advisory size says.
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min(MIB, options.max_file_bytes)),
+        # Spark merges partitions up to this size whatever the advisory size says; well below the cap, so
+        # that small results are spread over the cores too.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min(MIB, max(1, options.max_file_bytes // 8))),
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     }
     schema = df.schema
