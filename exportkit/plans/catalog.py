@@ -236,15 +236,22 @@ def latest_per_uri(entries: DataFrame) -> DataFrame:
 def read_files(files: DataFrame, base: str, schema: StructType, verify: bool = True) -> DataFrame:
     """Rows of the files listed by ``Catalog.run_files``, not of whatever lies in a folder.
 
-    ``base`` is the folder of the run (the ``path`` of its result), so that partition columns are found.
+    ``base`` is the folder of the run (the ``path`` of its result), so that partition columns are found;
+    where the list names the folder itself, as ``Catalog.run_files`` does, that one is taken.
     The list stays a table: it is compared with what lies in the folder, and rows of files that it does
     not name, if there are any, are left out by a join on the file they come from. A listed file that is
     gone is a ``ValueError``. ``verify`` compares the row total with the catalog (footers only).
     """
     spark = files.sparkSession
-    total = files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+    places = F.collect_set("folder") if "folder" in files.columns else F.array().cast("array<string>")
+    total = files.agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), places.alias("folders")
+    ).first()
     if total["files"] == 0:
         return small_table(spark, [], schema)
+    if len(total["folders"]) > 1:
+        raise ValueError(f"the files lie in {len(total['folders'])} folders: read the runs one by one")
+    base = total["folders"][0] if total["folders"] else base
     named = files.select("uri").distinct().withColumn("named", F.lit(True))
     both = listed(spark, base).select("uri", F.lit(True).alias("there")).join(named, "uri", "full_outer")
     odd = both.agg(F.count_if(F.isnull("named")).alias("strangers"), F.count_if(F.isnull("there")).alias("gone")).first()
