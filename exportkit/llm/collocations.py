@@ -156,7 +156,7 @@ def _chunks(columns: dict, limit: int = CHUNK_BYTES) -> Iterator[tuple[_Words, l
 
 
 def count_phrases(rows: DataFrame, length: int, known: np.ndarray | None = None, grown: np.ndarray | None = None) -> DataFrame:
-    """``lang``, ``w1`` .. and ``n``: how often each phrase of ``length`` words occurs.
+    """``lang``, ``phrase`` and ``n``: how often each phrase of ``length`` words occurs.
 
     Phrases with a word outside the sieve ``known`` are left out, and so are those of three words
     with neither their first nor their last pair in the sieve ``grown``.
@@ -192,13 +192,21 @@ def count_phrases(rows: DataFrame, length: int, known: np.ndarray | None = None,
             _, at, counts = np.unique(key, return_index=True, return_counts=True)
             first = last[at]
             out = {"lang": pa.array(names, pa.string()).take(pa.array(words.lang[first])), "n": counts}
-            for i in range(length):
-                out[f"w{i + 1}"] = words.kinds.take(pa.array(words.kind[first - (length - 1) + i]))
+            parts = [words.kinds.take(pa.array(words.kind[first - (length - 1) + i])) for i in range(length)]
+            out["phrase"] = pc.binary_join_element_wise(*parts, pa.scalar(" ", parts[0].type)) if length > 1 else parts[0]
             yield out
 
-    names = [f"w{i + 1}" for i in range(length)]
-    found = through_arrow(rows, each, ", ".join(["lang string", *(f"{w} string" for w in names), "n long"]))
-    return found.groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    # One key per phrase: words hold no blanks, so it can be taken apart again.
+    found = through_arrow(rows, each, "lang string, phrase string, n long")
+    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def frequent(counted: DataFrame, length: int, min_count: int) -> DataFrame:
+    """``lang``, ``w1`` .. and ``n`` of the phrases that occur often enough."""
+    words = F.split("phrase", " ")
+    return counted.where(F.col("n") >= min_count).select(
+        "lang", *(words[i].alias(f"w{i + 1}") for i in range(length)), "n"
+    )
 
 
 # ------------------------------------------------------------------------------ scoring
@@ -212,7 +220,7 @@ def exact_ratio(count: Column, below: tuple[Column, Column], times: Column | Non
 
 def scored_pairs(rows: DataFrame, common: DataFrame, known: np.ndarray, min_count: int) -> DataFrame:
     """Candidates of two words: ``a``, ``l``, ``r``, ``score``, and the ``bound`` of every phrase they begin."""
-    pairs = count_phrases(rows, 2, known).where(F.col("n") >= min_count).withColumnRenamed("n", "a")
+    pairs = frequent(count_phrases(rows, 2, known), 2, min_count).withColumnRenamed("n", "a")
     for word, name in (("w1", "l"), ("w2", "r")):
         pairs = pairs.join(common.select("lang", F.col("word").alias(word), F.col("n").alias(name)), ["lang", word])
     a, left, right = F.col("a"), F.col("l"), F.col("r")
@@ -277,7 +285,7 @@ def mine(docs: DataFrame, rules: PhraseRules = PhraseRules(), lang: str = "lang"
     beyond that the cast fails instead of wrapping.
     """
     rows = narrow(docs, lang=lang, text=text).withColumn("lang", F.coalesce("lang", F.lit(NO_LANGUAGE)))
-    words = written(count_phrases(rows, 1).withColumnRenamed("w1", "word"), "phrases-words")
+    words = written(count_phrases(rows, 1).withColumnRenamed("phrase", "word"), "phrases-words")
     common = words.where(F.col("n") >= rules.min_count)
     known = sieve_of(common, "word")
     pairs = written(scored_pairs(rows, common, known, rules.min_count), "phrases-pairs")
@@ -286,7 +294,7 @@ def mine(docs: DataFrame, rules: PhraseRules = PhraseRules(), lang: str = "lang"
         taus = written(frontier(pending, grow), "phrases-frontier")
         grown = pending.join(taus, "lang").where("bound >= tau")
         triples = count_phrases(rows, 3, known, sieve_of(grown, "lang", "w1", "w2"))
-        triples = written(triples.where(F.col("n") >= rules.min_count), "phrases-triples")
+        triples = written(frequent(triples, 3, rules.min_count), "phrases-triples")
         best = surviving(grown, triples, scored_triples(triples, common, pairs), taus, rules.cover_pct)
         best = written(best, "phrases-best")
         reached = best.groupBy("lang").agg(F.count(F.lit(1)).alias("found"))
