@@ -222,11 +222,12 @@ def _resolve_in_rows(contexts: DataFrame, length: int) -> DataFrame:
         offset = np.arange(len(windows)) - np.repeat(np.cumsum(counts) - counts, counts)
         of = pa.array(owner)
         start = columns["first"].to_numpy()[owner] + offset
-        yield {"window": windows, "start": start} | {name: columns[name].take(of) for name in ("n", "doc_id", "tag")}
+        yield {"window": windows, "start": start} | {name: columns[name].take(of) for name in ("key", "n", "doc_id", "tag")}
 
-    rows = through_arrow(contexts, each, "window long, start long, n long, doc_id long, tag long")
-    twice = rows.groupBy("window").agg(F.sum("n").alias("total")).where("total > 1").select("window")
-    again = rows.where("n = 1").join(twice, "window", "left_semi")
+    # Equal windows have the same anchor: they are compared within its key, never across all keys.
+    rows = through_arrow(contexts, each, "key long, window long, start long, n long, doc_id long, tag long")
+    twice = rows.groupBy("key", "window").agg(F.sum("n").alias("total")).where("total > 1").select("key", "window")
+    again = rows.where("n = 1").join(twice, ["key", "window"], "left_semi")
     return again.select("doc_id", "tag", "start", (F.col("start") + length).alias("end"))
 
 
