@@ -78,9 +78,12 @@ def file_facts(chunks: DataFrame) -> DataFrame:
 
 
 def with_facts(rows: DataFrame, facts: DataFrame) -> DataFrame:
-    """Rows read from files, each with the facts of the file it comes from."""
+    """Rows read from files, each with the facts of the file it comes from.
+
+    The facts go to the rows: dealt out by file, all rows of a file would meet in one task, to be sorted.
+    """
     own = rows.withColumn("uri", F.col("_metadata.file_path"))
-    return own.join(facts, "uri").drop("uri")
+    return own.join(F.broadcast(facts), "uri").drop("uri")
 
 
 # -------------------------------------------------------------------- schemas of landed files

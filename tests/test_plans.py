@@ -4,7 +4,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from landed import SMALL
-from exportkit.operators import Bounds, CrossShards, RangeShards, ValueShards, day_slice, latest_per_key, metrics, window
+from exportkit.operators import (
+    Bounds,
+    CrossShards,
+    RangeShards,
+    ValueShards,
+    day_slice,
+    file_facts,
+    footers,
+    latest_per_key,
+    metrics,
+    read_export,
+    window,
+    with_facts,
+    write_export,
+)
 from exportkit.operators.fingerprint import fingerprint
 from exportkit.operators.shards import PredicateShards
 from exportkit.queries import ORACLE, QUERIES
@@ -121,3 +135,17 @@ def test_smoke_entry(spark):
 
     rows = __spark_entry__.entry(spark).agg(F.count("*"), F.sum("rows")).first()
     assert tuple(rows) == (4, 1_500)
+
+
+def test_facts_of_files_go_to_the_rows(spark, orders, root):
+    """Dealt out by file, all rows of a file would be sorted in one task."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        written = write_export(orders, root)
+        plan = physical(with_facts(read_export(spark, written), file_facts(footers(spark, written.path))))
+    finally:
+        spark.conf.set(threshold, before)
+    rows = plan[plan.index("BroadcastHashJoin") :].split("BroadcastExchange")[0]
+    assert "o_orderkey" in rows and "Exchange" not in rows and "Sort" not in rows
