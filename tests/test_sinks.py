@@ -1,6 +1,7 @@
 import os
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from landed import data_files
@@ -112,6 +113,25 @@ def test_wide_rows_at_the_end_do_not_break_the_size_cap(spark, root):
     assert len(sizes) > 8 and max(sizes) <= cap
 
 
+def test_directories_are_written_side_by_side(spark, root, monkeypatch):
+    """A task sorts no directory; one with more of them than it keeps open still writes each row where it belongs."""
+    open_at_once = []
+    write = DataFrameWriter.parquet
+
+    def noted(writer, *args, **named):
+        open_at_once.append(int(writer._spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        return write(writer, *args, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    source = spark.range(0, 5_000, 1, 3).select("id", (F.col("id") % 61).alias("key"))
+    layout = ModShards("key", 50)
+    written = write_export(source.coalesce(1), root, layout, layout=LayoutOptions(shuffle=False))
+    assert open_at_once[0] > 1
+    back = read_export(spark, written)
+    assert back.where("shard_index <> key % 50").count() == 0 and same(source, back.drop("shard_index"))
+    assert len(data_files(root)) == 50
+
+
 def test_error_mode_refuses_an_existing_target(orders, root):
     write_export(orders, root)
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
