@@ -8,12 +8,17 @@ files. Rows keep their order across the file names.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 from math import ceil
 from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
 from ..session import hadoop_path
 
@@ -21,6 +26,10 @@ from ..session import hadoop_path
 # dictionaries that a part of a file no longer shares, are not in the running sum.
 FILL, LESS = 0.9, 0.75
 PLACE, BLOCK, WITHIN, WIDTH, FILE = "_cut_place", "_cut_block", "_cut_within", "_cut_width", "_cut_file"
+CHUNK, TARGET = "_cut_chunk", "_cut_target"
+# Rows of a chunk, as a power of two; bytes of a file from which on its rows are packed, and of a pack.
+CHUNK_BITS = 12
+PACK_ABOVE, PACK_BYTES = 8 << 20, 4 << 20
 
 
 def listed(spark: SparkSession, path: str) -> DataFrame:
@@ -38,9 +47,10 @@ def file_place(name: Column) -> Column:
 def cut_again(rows: DataFrame, sizes: DataFrame, capacity: float) -> DataFrame:
     """``rows`` of the files in ``sizes`` dealt to new files of ``capacity`` bytes, one task per file.
 
-    Sums run over the rows of one file, and over the files; no task sees all rows.
+    Sums run over the rows of one chunk of a file, over the chunks of a file, and over the files; no task sees
+    all rows of a large file but the one that writes it, which gets them packed (:func:`packed`).
     """
-    columns = rows.columns
+    columns, schema = rows.columns, rows.schema
     width = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in columns)))) + 1
     placed = rows.select(
         *(F.col(f"`{c}`") for c in columns),
@@ -49,8 +59,9 @@ def cut_again(rows: DataFrame, sizes: DataFrame, capacity: float) -> DataFrame:
         # Ascending inside one block, and the same again when a task is repeated.
         F.monotonically_increasing_id().alias(WITHIN),
         width.cast("double").alias(WIDTH),
-    )
-    totals = placed.groupBy(FILE).agg(F.sum(WIDTH).alias("all_width"))
+    ).withColumn(CHUNK, F.shiftright(WITHIN, CHUNK_BITS))
+    chunks = placed.groupBy(FILE, BLOCK, CHUNK).agg(F.sum(WIDTH).alias("chunk_width"))
+    totals = chunks.groupBy(FILE).agg(F.sum("chunk_width").alias("all_width"))
     totals = totals.join(sizes.select(F.col("uri").alias(FILE), "bytes"), FILE)
     totals = totals.withColumn(PLACE, file_place(F.col(FILE)))
     before = Window.orderBy(PLACE, FILE).rowsBetween(Window.unboundedPreceding, -1)
@@ -58,13 +69,72 @@ def cut_again(rows: DataFrame, sizes: DataFrame, capacity: float) -> DataFrame:
         FILE, PLACE, (F.col("bytes") / F.col("all_width")).alias("rate"),
         F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("before"),
     )
-    inside = Window.partitionBy(FILE).orderBy(BLOCK, WITHIN).rowsBetween(Window.unboundedPreceding, -1)
-    running = F.coalesce(F.sum(WIDTH).over(inside), F.lit(0.0))
-    dealt = placed.withColumn("_cut_running", running).join(files, FILE)
-    target = F.floor((F.col("before") + F.col("_cut_running") * F.col("rate")) / F.lit(capacity)).cast("int")
-    total = sizes.agg(F.sum("bytes")).first()[0]
-    dealt = dealt.withColumn("_cut_target", target).repartitionById(ceil(total / capacity) + 1, "_cut_target")
-    return dealt.sortWithinPartitions(PLACE, FILE, BLOCK, WITHIN).select(*(F.col(f"`{c}`") for c in columns))
+    earlier = Window.partitionBy(FILE).orderBy(BLOCK, CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.withColumn("chunk_starts", F.coalesce(F.sum("chunk_width").over(earlier), F.lit(0.0))).join(files, FILE)
+    inside = Window.partitionBy(FILE, BLOCK, CHUNK).orderBy(WITHIN).rowsBetween(Window.unboundedPreceding, -1)
+    running = placed.withColumn("_cut_running", F.coalesce(F.sum(WIDTH).over(inside), F.lit(0.0)))
+    dealt = running.join(chunks.drop("chunk_width"), [FILE, BLOCK, CHUNK])
+    reached = F.col("before") + (F.col("chunk_starts") + F.col("_cut_running")) * F.col("rate")
+    dealt = dealt.withColumn(TARGET, F.floor(reached / F.lit(capacity)).cast("int"))
+    parts = ceil(sizes.agg(F.sum("bytes")).first()[0] / capacity) + 1
+    order = (PLACE, FILE, BLOCK, WITHIN)
+    if capacity < PACK_ABOVE or not packs(schema):
+        dealt = dealt.repartitionById(parts, TARGET).sortWithinPartitions(*order)
+        return dealt.select(*(F.col(f"`{c}`") for c in columns))
+    body = F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns))).alias("body")
+    dealt = packed(dealt.select(TARGET, *order, body).sortWithinPartitions(TARGET, *order), order)
+    return unpacked(dealt.repartitionById(parts, TARGET).sortWithinPartitions(*order), schema)
+
+
+def packs(schema: StructType) -> bool:
+    """Whether Arrow has all types of ``schema``."""
+    try:
+        to_arrow_schema(schema)
+    except PySparkException:
+        return False
+    return True
+
+
+def packed(dealt: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Neighbouring rows of one target as compressed Arrow batches, each with the place of its first row.
+
+    A task that writes a large file sorts these, about as many bytes as the file has, instead of its rows.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [pc.run_end_encode(batch.column(k)).run_ends.to_pylist() for k in (TARGET, FILE, BLOCK)]
+            chunk = pc.run_end_encode(pc.shift_right(batch.column(WITHIN), CHUNK_BITS)).run_ends.to_pylist()
+            ends = sorted({end for found in (*keys, chunk) for end in found})
+            for start, end in zip([0, *ends], ends):
+                step = max(1, (end - start) // max(1, batch.slice(start, end - start).nbytes // PACK_BYTES))
+                for at in range(start, end, step):
+                    rows = batch.slice(at, min(step, end - at))
+                    body, sink = pa.RecordBatch.from_arrays([rows.column("body")], names=["body"]), pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, body.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                        out.write_batch(body)
+                    first = [rows.column(k).slice(0, 1) for k in (TARGET, *order)]
+                    content = pa.array([sink.getvalue().to_pybytes()], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*first, content], names=[TARGET, *order, "pack"])
+
+    kinds = {TARGET: "int", FILE: "string"}
+    return dealt.mapInArrow(pack, ", ".join(f"{k} {kinds.get(k, 'bigint')}" for k in (TARGET, *order)) + ", pack binary")
+
+
+def unpacked(packs: DataFrame, schema: StructType) -> DataFrame:
+    """The rows of ``packs``, in their order."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("pack"):
+                with pa.ipc.open_stream(content.as_buffer()) as rows:
+                    yield from rows
+
+    inner = StructType([StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema)])
+    rows = packs.select("pack").mapInArrow(unpack, StructType([StructField("body", inner)]))
+    return rows.select(*(F.col(f"body.c{i}").alias(f.name) for i, f in enumerate(schema)))
 
 
 def hold_cap(

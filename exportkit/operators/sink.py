@@ -29,6 +29,8 @@ SALTS_PER_PART = 8
 # Directories that a task writes side by side. Rows of further ones are sorted by directory first, which
 # a task that holds one large directory never has to do.
 OPEN_DIRECTORIES = 16
+# Shuffled bytes that a task of a second cut takes.
+CUT_BYTES = 16 * MIB
 
 
 @dataclass(frozen=True)
@@ -293,8 +295,14 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
         else:
             writer.options(compression=options.codec, ignoreNullFields=False, **TEXT_TIMES).json(target)
 
+    # Exchanges of the second cut decide on no file, so their tasks need not take a file's worth of rows.
+    again = settings | {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(CUT_BYTES, options.max_file_bytes)),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+    }
+
     def append(rows: DataFrame, target: str) -> None:
-        with with_settings(rows, settings) as out:
+        with with_settings(rows, again) as out:
             write(out, target, "append")
 
     plan = Written(path, schema, format=options.format, header=options.header)

@@ -24,6 +24,7 @@ from exportkit.operators import (
     unload,
     write_export,
 )
+from exportkit.operators import cut
 from exportkit.operators.cut import file_place
 from exportkit.plans import read_files, read_manifest
 from exportkit.session import read_text, small_table, with_settings
@@ -209,6 +210,30 @@ def test_a_single_sequence_is_filled_up(spark, orders, root):
     assert max(sizes) <= 9_000 and min(sizes[:-1]) >= 4_500
 
 
+def test_a_large_single_file_is_written_from_packs(spark, root, monkeypatch):
+    """Rows of all kinds come back in order; the task that writes the file sorts packs, not rows."""
+    taken = []
+    unpack = cut.unpacked
+    monkeypatch.setattr(cut, "PACK_ABOVE", 64 << 10)
+    monkeypatch.setattr(cut, "PACK_BYTES", 8 << 10)
+    monkeypatch.setattr(cut, "unpacked", lambda packs, schema: taken.append(packs.columns) or unpack(packs, schema))
+    source = spark.range(0, 20_000, 1, 4).select(
+        F.when(F.col("id") % 7 > 0, F.col("id")).alias("id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("a text"),
+        (F.col("id") / 3).cast("decimal(12,4)").alias("price"),
+        F.timestamp_micros(F.col("id") * 1_000_003).alias("at"),
+        F.array(F.struct("id", F.lit(None).cast("string").alias("none"))).alias("nested"),
+        F.col("id").cast("string").cast("binary").alias("raw"),
+    )
+    options = UnloadOptions(single=True, order_by=("a text",), max_file_bytes=600_000)
+    written = unload(source, root, options)
+    assert taken and "pack" in taken[0]
+    back = read_export(spark, written)
+    assert back.exceptAll(source).isEmpty() and source.exceptAll(back).isEmpty()
+    assert ordered_rows(root, "a text") == sorted(r["a text"] for r in source.select("a text").collect())
+    assert max(os.path.getsize(p) for p in data_files(root)) <= 600_000
+
+
 def test_nothing_to_unload(spark, orders, root):
     written = unload(orders.limit(0), root, UnloadOptions(single=True, order_by=("o_totalprice",), max_file_bytes=100))
     assert written.rows == 0 and read_export(spark, written).count() == 0
