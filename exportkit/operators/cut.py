@@ -141,13 +141,14 @@ def hold_cap(
     spark: SparkSession,
     path: str,
     read: Callable[[list[str]], DataFrame],
-    append: Callable[[DataFrame], None],
+    append: Callable[[DataFrame, int], None],
     cap: int,
     in_order: bool,
     fill_up: bool,
 ) -> None:
     """Cut the files below ``path`` until none is above ``cap``; a single row is never cut.
 
+    ``append(rows, n)`` adds files of at most ``n`` rows each, 0 for any number.
     Files within the cap stay as they are, unless the order across the file names matters: then all are
     cut anew. With ``fill_up`` they are also cut anew, once, when there are more than the cap asks for.
     The driver holds the names of files above the cap, never those of all files.
@@ -158,19 +159,32 @@ def hold_cap(
         total = found.agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")).first()
         scattered = fill_up and first and total["files"] > ceil((total["bytes"] or 0) / (cap * FILL))
         large = [r["uri"] for r in found.where(F.col("bytes") > cap).select("uri").collect() if r["uri"] not in lone]
-        above: list[str] = []
+        above: dict[str, int] = {}
         if large:
-            held = read([unquote(uri) for uri in large]).groupBy(F.col("_metadata.file_path").alias("uri")).count()
-            above = [r["uri"] for r in held.where("count > 1").collect()]
+            held = read([unquote(uri) for uri in large]).groupBy(
+                F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_size").alias("bytes")
+            )
+            counted = held.count().where("count > 1").collect()
+            above = {r["uri"]: even_rows(r["count"], r["bytes"], cap * FILL) for r in counted}
             lone |= set(large) - set(above)  # one row or none: as small as they get
         if not above and not scattered:
             return
         if in_order or scattered:
-            chosen, rows = found, read([path])
+            chosen = found
+            append(cut_again(read([path]), chosen, cap * fill), 0)
         else:
-            chosen, rows = found.where(F.col("uri").isin(above)), read([unquote(uri) for uri in above])
-        append(cut_again(rows, chosen, cap * fill))
+            chosen = found.where(F.col("uri").isin(list(above)))
+            # Files whose rows are about as wide go together: a task writes many files, no row is moved.
+            for size in sorted({n.bit_length() for n in above.values()}):
+                alike = {uri: n for uri, n in above.items() if n.bit_length() == size}
+                append(read([unquote(uri) for uri in alike]), min(alike.values()))
         for row in chosen.toLocalIterator():  # listed before the new files were there
             fs, old = hadoop_path(spark, unquote(row["uri"]))
             fs.delete(old, False)
         first, fill = False, fill * LESS
+
+
+def even_rows(rows: int, size: int, capacity: float) -> int:
+    """Rows of each part when a file of ``size`` bytes above ``capacity`` is cut into even parts below it."""
+    fitting = max(1, int(capacity * rows / size))
+    return ceil(rows / ceil(rows / fitting))

@@ -31,6 +31,8 @@ SALTS_PER_PART = 8
 OPEN_DIRECTORIES = 16
 # Shuffled bytes that a task of a second cut takes.
 CUT_BYTES = 16 * MIB
+# Shuffled bytes that a task of an unordered unload takes at least, where there are so many.
+FIRST_BYTES = 4 * MIB
 
 
 @dataclass(frozen=True)
@@ -271,6 +273,9 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     }
     schema = df.schema
+    if not options.order_by and not options.single:
+        # Files far below this are cut from larger ones, many to a task.
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(max(FIRST_BYTES, options.max_file_bytes))
     if options.single:
         settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     if options.order_by:
@@ -285,9 +290,9 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
         mark = F.raise_error(F.lit(f"the text {LONE_NULL!r} stands for NULL in a CSV of one column"))
         df = df.withColumn(lone_text, F.when(F.col(f"`{lone_text}`") == LONE_NULL, mark).otherwise(F.col(f"`{lone_text}`")))
 
-    def write(out: DataFrame, target: str, mode: str = "errorifexists") -> None:
+    def write(out: DataFrame, target: str, mode: str = "errorifexists", records: int = 0) -> None:
         writer = out.write.mode(mode)
-        writer = writer.option("partitionOverwriteMode", "static")
+        writer = writer.option("partitionOverwriteMode", "static").option("maxRecordsPerFile", records)
         if options.format == "parquet":
             writer.options(**ParquetOptions(compression=options.codec).writer_options()).parquet(target)
         elif options.format == "csv":
@@ -301,9 +306,9 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     }
 
-    def append(rows: DataFrame, target: str) -> None:
+    def append(rows: DataFrame, target: str, records: int) -> None:
         with with_settings(rows, again) as out:
-            write(out, target, "append")
+            write(out, target, "append", records)
 
     plan = Written(path, schema, format=options.format, header=options.header)
 
@@ -313,7 +318,7 @@ def unload(df: DataFrame, path: str, options: UnloadOptions | None = None, *, ch
             df.sparkSession,
             target,
             lambda places: read_export(df.sparkSession, plan, places),
-            lambda rows: append(rows, target),
+            lambda rows, records: append(rows, target, records),
             options.max_file_bytes,
             in_order=bool(options.order_by),
             fill_up=options.single,

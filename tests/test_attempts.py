@@ -234,6 +234,21 @@ def test_a_large_single_file_is_written_from_packs(spark, root, monkeypatch):
     assert max(os.path.getsize(p) for p in data_files(root)) <= 600_000
 
 
+def test_many_small_files_come_from_few_tasks(spark, orders, root):
+    """Each task costs the driver some kilobytes, so a file that is far below a task's share has no task of its own."""
+    written = unload(orders.repartition(5), root, UnloadOptions(max_file_bytes=3_000))
+    names = [os.path.basename(p) for p in data_files(root)]
+    writers = {(n.split("-c")[0]) for n in names}
+    assert len(names) > 3 * len(writers)
+    assert max(os.path.getsize(p) for p in data_files(root)) <= 3_000
+    assert reconcile(orders, read_export(spark, written), by=[]).first()["matches"]
+
+
+@pytest.mark.parametrize("rows, size, capacity, most", [(10, 101, 100, 5), (10, 1_000, 100, 1), (2, 101, 100, 1), (3, 9_000, 100, 1), (1_000, 1_000_000, 90_000, 84)])
+def test_parts_of_a_file_are_even_and_smaller(rows, size, capacity, most):
+    assert cut.even_rows(rows, size, capacity) == most
+
+
 def test_nothing_to_unload(spark, orders, root):
     written = unload(orders.limit(0), root, UnloadOptions(single=True, order_by=("o_totalprice",), max_file_bytes=100))
     assert written.rows == 0 and read_export(spark, written).count() == 0
