@@ -73,7 +73,9 @@ def cut_again(rows: DataFrame, sizes: DataFrame, capacity: float) -> DataFrame:
     chunks = chunks.withColumn("chunk_starts", F.coalesce(F.sum("chunk_width").over(earlier), F.lit(0.0))).join(files, FILE)
     inside = Window.partitionBy(FILE, BLOCK, CHUNK).orderBy(WITHIN).rowsBetween(Window.unboundedPreceding, -1)
     running = placed.withColumn("_cut_running", F.coalesce(F.sum(WIDTH).over(inside), F.lit(0.0)))
-    dealt = running.join(chunks.drop("chunk_width"), [FILE, BLOCK, CHUNK])
+    # The chunks go to the rows: of a result that is small when compressed, the rows would go to the one
+    # task that has the sums over the files.
+    dealt = running.join(F.broadcast(chunks.drop("chunk_width")), [FILE, BLOCK, CHUNK])
     reached = F.col("before") + (F.col("chunk_starts") + F.col("_cut_running")) * F.col("rate")
     dealt = dealt.withColumn(TARGET, F.floor(reached / F.lit(capacity)).cast("int"))
     parts = ceil(sizes.agg(F.sum("bytes")).first()[0] / capacity) + 1

@@ -174,7 +174,7 @@ def _within_cap(spark, written, cap):
     some = sizes.agg(F.count(F.lit(1)) > 1).scalar()
     fits = sizes.select("uri", (F.col("bytes") <= cap).alias("within_cap"))
     rows = read_export(spark, written).withColumn("uri", F.col("_metadata.file_path"))
-    return rows.join(fits, "uri").drop("uri").withColumn("several", some)
+    return rows.join(F.broadcast(fits), "uri").drop("uri").withColumn("several", some)
 
 
 def unload_max_records(spark, sf_dir):
@@ -203,7 +203,7 @@ def unload_capped_order(spark, sf_dir):
     before = spans.select((F.col("place") + 1_000_000).alias("place"), F.col("last").alias("before"))
     spans = spans.join(fits, "uri").join(before, "place", "left").select("uri", "within_cap", "before")
     later = F.coalesce(F.struct("o_totalprice", "o_orderkey") > F.col("before"), F.lit(True))
-    return rows.join(spans, "uri").withColumn("in_order", later).drop("uri", "place", "before")
+    return rows.join(F.broadcast(spans), "uri").withColumn("in_order", later).drop("uri", "place", "before")
 
 
 def unload_single(spark, sf_dir):

@@ -1,5 +1,7 @@
 """What Spark makes of the operators: pushed filters, pruned columns, no task that sees all."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,12 +15,14 @@ from exportkit.operators import (
     file_facts,
     footers,
     latest_per_key,
+    listed,
     metrics,
     read_export,
     window,
     with_facts,
     write_export,
 )
+from exportkit.operators.cut import cut_again
 from exportkit.operators.fingerprint import fingerprint
 from exportkit.operators.shards import PredicateShards
 from exportkit.queries import ORACLE, QUERIES
@@ -149,3 +153,10 @@ def test_facts_of_files_go_to_the_rows(spark, orders, root):
         spark.conf.set(threshold, before)
     rows = plan[plan.index("BroadcastHashJoin") :].split("BroadcastExchange")[0]
     assert "o_orderkey" in rows and "Exchange" not in rows and "Sort" not in rows
+
+
+def test_sums_of_chunks_go_to_the_rows_of_a_cut(spark, orders, root):
+    """Not the rows to the sums over files, which one task has."""
+    written = write_export(orders, root)
+    plan = physical(cut_again(read_export(spark, written), listed(spark, written.path), 10_000.0))
+    assert re.search(r"BroadcastHashJoin \[_cut_file#\d+, _cut_block#\d+L, _cut_chunk#\d+L\][^\n]*BuildRight", plan)
