@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, written
+from .common import drop_written, fewer_tasks, written
+
+LINKS_A_TASK = 1 << 16
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -24,7 +26,8 @@ def components(links: DataFrame, label: str) -> DataFrame:
 
     ``links`` has the long columns ``a`` and ``b``. Nodes hang on ever smaller neighbours until
     each hangs on the root of its component, which takes about log n rounds. Every round is
-    written to the shared folder; only a count and a checksum come to the driver.
+    written to the shared folder, by as many tasks as the links of the round before need; only a count
+    and a checksum come to the driver.
     """
     now = written(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label
@@ -35,5 +38,5 @@ def components(links: DataFrame, label: str) -> DataFrame:
         if mark[0] == 0 or mark == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen, before = mark, now
-        now = written(_stars(before), label)
+        now = written(fewer_tasks(_stars(before), mark[0], LINKS_A_TASK), label)
         drop_written(before)

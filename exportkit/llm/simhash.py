@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, partitions, texts, through_arrow, written
+from .common import fewer_tasks, narrow, partitions, texts, through_arrow, written
 from .components import components
 
 SHINGLE = 3
@@ -32,6 +32,7 @@ SEED = 42
 RADIUS = 3
 HALF = 32
 CHUNK = 1 << 16
+NODES_A_TASK = 2048  # fingerprints a task compares at least, with up to a thousand variants each
 _KEYS = ("id", "no_id", "tag")
 
 _SINGLE = [0] + [1 << bit for bit in range(64)]
@@ -75,12 +76,14 @@ def _halves(fp: Column) -> list[Column]:
     return [F.shiftrightunsigned(fp, HALF), fp.bitwiseAND(F.lit((1 << HALF) - 1))]
 
 
-def near_on_a_half(nodes: DataFrame) -> DataFrame:
+def near_on_a_half(nodes: DataFrame, count: int | None = None) -> DataFrame:
     """The fingerprints that share a half with another one, up to one bit.
 
     Halves that differ in one bit differ in parity: the even one emits all its flips, the odd one
-    only itself, and they meet at the odd one.
+    only itself, and they meet at the odd one. ``count`` is how many ``nodes`` there are at
+    most, if that is known.
     """
+    count = nodes.count() if count is None else count
     # Thousands of fingerprints fit a few bytes of a file, and each becomes many rows: the scan alone would
     # leave them to one task.
     nodes, keys = nodes.repartition(partitions(nodes.sparkSession), "fp"), []
@@ -91,8 +94,10 @@ def near_on_a_half(nodes: DataFrame) -> DataFrame:
         keys.append(nodes.select("fp", key).withColumn("side", F.lit(side)))
     rows = keys[0].unionByName(keys[1])
     shared = rows.groupBy("side", "key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-    shared = written(shared.where("low <> high").select("side", "key"), "simhash-halves")
-    return rows.join(shared.hint("merge"), ["side", "key"], "left_semi").select("fp").distinct()
+    shared = fewer_tasks(shared.where("low <> high").select("side", "key"), count, NODES_A_TASK)
+    shared = written(shared, "simhash-halves")
+    near = rows.join(shared.hint("merge"), ["side", "key"], "left_semi").select("fp").distinct()
+    return fewer_tasks(near, count, NODES_A_TASK)
 
 
 def links(nodes: DataFrame) -> DataFrame:
@@ -104,6 +109,7 @@ def links(nodes: DataFrame) -> DataFrame:
     single = F.lit([_signed(m) for m in _SINGLE]).cast("array<long>")
     larger = F.lit([_signed(m) for m in _SINGLE + _DOUBLE]).cast("array<long>")
     odd = F.bit_count("fp") % 2 == 1
+    count = nodes.count()
     nodes = nodes.repartition(partitions(nodes.sparkSession), "fp")
     balls = nodes.select("fp", F.explode(F.when(odd, larger).otherwise(single)).alias("mask"))
     balls = balls.select(
@@ -112,17 +118,18 @@ def links(nodes: DataFrame) -> DataFrame:
     meets = balls.groupBy("variant").agg(
         F.min("fp").alias("low"), F.max("fp").alias("high"), F.min(F.when(F.col("close"), F.col("fp"))).alias("hub")
     )
-    meets = written(meets.where("low <> high and hub is not null").select("variant", "hub"), "simhash-meets")
+    meets = fewer_tasks(meets.where("low <> high and hub is not null").select("variant", "hub"), count, NODES_A_TASK)
+    meets = written(meets, "simhash-meets")
     found = balls.join(meets.hint("merge"), "variant").where("fp <> hub")
     found = found.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= RADIUS)
-    return found.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
+    return fewer_tasks(found.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), count, NODES_A_TASK)
 
 
 def _labelled(prints: DataFrame) -> DataFrame:
     """``root`` for every fingerprint, with the smallest id and the ``best`` row (id and tag) that have it."""
     best = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "tag")).alias("best")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), best)
-    near = written(near_on_a_half(nodes.select("fp")), "simhash-near")
+    near = written(near_on_a_half(nodes.select("fp"), prints.count()), "simhash-near")
     roots = components(links(near), "simhash-links")
     labelled = nodes.join(roots.hint("merge"), nodes["fp"] == roots["node"], "left")
     return labelled.select("fp", "first", "best", F.coalesce("root", "fp").alias("root"))

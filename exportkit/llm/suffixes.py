@@ -4,9 +4,9 @@ Suffixes are sampled at anchors (see ``anchors``): every string of ``length`` by
 equal strings hold it at the same place. Documents arrive in batches. The sampled suffixes of a
 batch are sorted into its array, equal beginnings merged to one row with a count; the array is
 merge-scanned against each level of the index for beginnings that occur there too; then levels of
-equal rank merge geometrically, like the digits of a counter. Arrays are bucketed by the
-fingerprint of a suffix's first ``gram`` bytes and sorted by it inside a bucket, so scans and
-merges run bucket by bucket without a shuffle.
+equal rank merge geometrically, like the digits of a counter. Arrays are kept on the executors' disks,
+dealt by the fingerprint of a suffix's first ``gram`` bytes and sorted by it, so scans run side by
+side without a shuffle; a merge deals its rows once.
 
 Only suffixes whose beginning occurs more than once go on. Their full contexts (all bytes of the
 windows an anchor stands for) are compared: a context that occurs again is repeated throughout.
@@ -16,23 +16,22 @@ the contexts of one key in one task, or, where a key has very many, every window
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exportkit.session import delete_path, scratch_dir
-
 from .anchors import merged, runs
-from .common import carried, carried_schema, drop_written, narrow, partitions, rows_through_arrow, same, texts, through_arrow, written
+from .common import carried, carried_schema, drop_written, fewer_tasks, narrow, rows_through_arrow, same, texts, through_arrow, written
 
 _CODES = np.random.default_rng(0).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
+ENTRIES_A_TASK = 1 << 16  # about 5 MB of text
 TASK_CONTEXTS = 8192  # contexts compared at once
 HOT_CONTEXTS = 20_000  # keys with more contexts are compared row by row
 
@@ -92,47 +91,46 @@ def _flat(out: dict) -> dict:
 
 
 class IndexFamily:
-    """Suffix arrays of geometrically growing size; ``add`` takes a batch and returns its matches."""
-
-    def __init__(self, spark: SparkSession, label: str) -> None:
-        self.spark, self.buckets = spark, partitions(spark)
-        self.root, self.label = scratch_dir(spark, label), label
-        self.levels: list[tuple[int, str]] = []  # (rank, table), highest rank first
+    """Suffix arrays of geometrically growing size; ``add`` takes a batch and returns its matches.
 
-    def _table(self, rows: DataFrame) -> str:
-        name = f"suffix_array_{uuid.uuid4().hex}"
-        writer = rows.write.bucketBy(self.buckets, "key").sortBy("key").option("path", f"{self.root}/{name}")
-        writer.saveAsTable(name)
-        return name
+    Matches are read from the arrays: use them before ``close``. An array is computed when it is first scanned,
+    so what the last batch merges to never is; one that is lost with its executor is computed again.
+    """
 
-    def _drop(self, name: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        delete_path(self.spark, f"{self.root}/{name}")
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.label = spark, label
+        self.levels: list[tuple[int, DataFrame]] = []  # (rank, array), highest rank first
+        self.arrays: list[DataFrame] = []
+        self.ready: set[int] = set()
+
+    def _array(self, rows: DataFrame, count: str) -> DataFrame:
+        counted = rows.groupBy("key").agg(F.expr(count).alias("n"))
+        self.arrays.append(counted.sortWithinPartitions("key").persist(StorageLevel.DISK_ONLY))
+        return self.arrays[-1]
+
+    def _scanned(self, array: DataFrame) -> DataFrame:
+        """The array, computed: a join sees how it is dealt and sorted only then."""
+        if id(array) not in self.ready:
+            array.count()
+            self.ready.add(id(array))
+        return array
 
     def add(self, suffixes: DataFrame) -> DataFrame:
         """Index the ``key`` column of a batch; the keys seen twice in it or in a level before it."""
-        array = self._table(suffixes.groupBy("key").agg(F.count("*").alias("n")))
-        batch = self.spark.table(array)
+        array, rank = self._array(suffixes.select("key"), "count(*)"), 0
+        batch = self._scanned(array)
         found = batch.where("n > 1").select("key")
         for _, level in self.levels:
-            found = found.unionByName(batch.join(self.spark.table(level), "key", "left_semi").select("key"))
-        found = written(found, f"{self.label}-matches")
-        rank = 0
+            found = found.unionByName(batch.join(self._scanned(level), "key", "left_semi").select("key"))
         while self.levels and self.levels[-1][0] == rank:
             _, equal = self.levels.pop()
-            joined = self.spark.table(equal).alias("l").join(self.spark.table(array).alias("r"), "key", "full")
-            counts = F.coalesce("l.n", F.lit(0)) + F.coalesce("r.n", F.lit(0))
-            combined = self._table(joined.select("key", counts.alias("n")))
-            self._drop(equal)
-            self._drop(array)
-            array, rank = combined, rank + 1
+            array, rank = self._array(equal.unionByName(array), "sum(n)"), rank + 1
         self.levels.append((rank, array))
         return found
 
     def close(self) -> None:
-        for _, name in self.levels:
-            self._drop(name)
-        delete_path(self.spark, self.root)
+        for array in self.arrays:
+            array.unpersist()
 
 
 def contexts_of(spread: DataFrame, length: int) -> DataFrame:
@@ -232,22 +230,26 @@ def _resolve_in_rows(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, rules: SuffixRules) -> DataFrame:
-    """Spans ``(doc_id, tag, start, end)`` that cover every byte of a repeated string, and no other."""
-    spark = docs.sparkSession
+    """``doc_id``, ``tag`` and ``spans`` (start, end) that cover every byte of a repeated string, and no other."""
     suffixes = written(entries(docs, rules), "suffix-entries")
-    family = IndexFamily(spark, "suffix-arrays")
+    count = suffixes.count()
+
+    def kept(rows: DataFrame, label: str) -> DataFrame:
+        return written(fewer_tasks(rows, count, ENTRIES_A_TASK), label)
+
+    family = IndexFamily(docs.sparkSession, "suffix-arrays")
     matches = [family.add(suffixes.where(F.col("batch") == batch).select("key")) for batch in range(rules.batches)]
-    family.close()
     keys = matches[0]
     for found in matches[1:]:
         keys = keys.unionByName(found)
-    keys = written(keys.distinct(), "suffix-keys")  # a plain side, so that a skewed key can be split
+    keys = kept(keys.distinct(), "suffix-keys")  # a plain side, so that a skewed key can be split
+    family.close()
     shared = written(suffixes.drop("batch").join(keys, "key", "left_semi"), "suffix-shared")
     drop_written(suffixes)
 
     place = F.struct("doc_id", "tag", "first", "last")
     contexts = shared.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(place).alias("place"))
-    contexts = written(contexts, "suffix-contexts")
+    contexts = kept(contexts, "suffix-contexts")
     again = contexts.where("n > 1").select("key", "context")
     inside = shared.join(again, ["key", "context"], "left_semi")
     inside = inside.select("doc_id", "tag", F.col("first").alias("start"), (F.col("last") + rules.length).alias("end"))
@@ -257,10 +259,11 @@ def repeated_spans(docs: DataFrame, rules: SuffixRules) -> DataFrame:
     borders = contexts.join(several, "key").select("key", "hot", "n", "place.*")
     places = F.collect_list(F.struct("key", "hot", "first", "last", "n")).alias("places")
     spread = _with_owner(docs, borders.groupBy("doc_id", "tag").agg(places))
-    bodies = written(contexts_of(spread, rules.length), "suffix-borders")
+    bodies = kept(contexts_of(spread, rules.length), "suffix-borders")
     border = _resolve_in_tasks(bodies.where("not hot"), rules.length)
-    border = written(border.unionByName(_resolve_in_rows(bodies.where("hot"), rules.length)), "suffix-border-spans")
-    return inside.unionByName(border)
+    border = kept(border.unionByName(_resolve_in_rows(bodies.where("hot"), rules.length)), "suffix-border-spans")
+    spans = inside.unionByName(border).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    return kept(spans, "suffix-spans")
 
 
 def _with_owner(docs: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
@@ -285,8 +288,7 @@ def deduplicate(
     """
     keyed = _keyed(docs, id, text, carry)
     extra = carried(keyed)
-    spans = repeated_spans(keyed.drop("carried"), rules).groupBy("doc_id", "tag")
-    spans = written(spans.agg(F.collect_set(F.struct("start", "end")).alias("spans")), "suffix-spans")
+    spans = repeated_spans(keyed.drop("carried"), rules)
     joined = _with_owner(keyed, spans, "left")
 
     def each(columns):
