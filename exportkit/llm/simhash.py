@@ -32,7 +32,8 @@ SEED = 42
 RADIUS = 3
 HALF = 32
 CHUNK = 1 << 16
-NODES_A_TASK = 2048  # fingerprints a task compares at least, with up to a thousand variants each
+NODES_A_TASK = 2048  # fingerprints a task compares by halves at least, up to 34 rows each
+BALLS_A_TASK = 512  # the same for balls, up to 1,057 rows each
 _KEYS = ("id", "no_id", "tag")
 
 _SINGLE = [0] + [1 << bit for bit in range(64)]
@@ -118,11 +119,11 @@ def links(nodes: DataFrame) -> DataFrame:
     meets = balls.groupBy("variant").agg(
         F.min("fp").alias("low"), F.max("fp").alias("high"), F.min(F.when(F.col("close"), F.col("fp"))).alias("hub")
     )
-    meets = fewer_tasks(meets.where("low <> high and hub is not null").select("variant", "hub"), count, NODES_A_TASK)
+    meets = fewer_tasks(meets.where("low <> high and hub is not null").select("variant", "hub"), count, BALLS_A_TASK)
     meets = written(meets, "simhash-meets")
     found = balls.join(meets.hint("merge"), "variant").where("fp <> hub")
     found = found.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= RADIUS)
-    return fewer_tasks(found.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), count, NODES_A_TASK)
+    return fewer_tasks(found.select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), count, BALLS_A_TASK)
 
 
 def _labelled(prints: DataFrame) -> DataFrame:
